@@ -11,6 +11,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import fingerprint_neighbours
+
+    return fingerprint_neighbours(_table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .tokencount import token_counts
+
+    return token_counts(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import simhash_components
 
@@ -18,6 +30,8 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_fingerprints": op2_minhash_fingerprints,
+    "op8_token_counts": op8_token_counts,
     "op10_simhash_pigeonring": op10_simhash_pigeonring,
 }
 
