@@ -36,6 +36,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 #: Where an empty bin looks for a filled one, attempt by attempt: a hash of bin and attempt, the same for all texts.
 _PROBE = (_mixed(np.arange(PROBES * BINS, dtype=np.uint64) + np.uint64(0x51ED)) % np.uint64(BINS)).astype(np.int64).reshape(PROBES, BINS)
 
+_STEPS = [(0, 4), (4, 12), (12, 64), (64, PROBES)]
+
 
 class WordHashes:
     """XXH64 of words, kept for words seen before."""
@@ -70,19 +72,26 @@ def sketch(hashes: np.ndarray) -> np.ndarray | None:
     """The low bits of the least hash in each bin, empty bins filled; None without hashes. A hash's top bits name its bin."""
     if not hashes.size:
         return None
-    least = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
-    where = (hashes >> np.uint64(55)).astype(np.int64)
-    np.minimum.at(least, where, hashes)
-    filled = np.zeros(BINS, bool)
-    filled[where] = True
-    empty = np.flatnonzero(~filled)
-    if empty.size:
-        hit = filled[_PROBE[:, empty]]
-        source = _PROBE[hit.argmax(axis=0), empty]
-        lost = ~hit.any(axis=0)
-        if lost.any():
-            full = np.flatnonzero(filled)
-            source[lost] = full[np.searchsorted(full, empty[lost]) % full.size]
+    ordered = np.sort(hashes)
+    bins = (ordered >> np.uint64(55)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]])
+    least = np.zeros(BINS, np.uint64)
+    least[bins[first]] = ordered[first]
+    if first.size < BINS:
+        filled = np.zeros(BINS, bool)
+        filled[bins[first]] = True
+        empty = np.flatnonzero(~filled)
+        source = np.full(empty.size, -1, np.int64)
+        open_ = np.arange(empty.size)
+        for a, b in _STEPS:
+            probe = _PROBE[a:b, empty[open_]]
+            hit = filled[probe]
+            source[open_] = np.where(hit.any(axis=0), probe[hit.argmax(axis=0), np.arange(open_.size)], -1)
+            open_ = open_[source[open_] < 0]
+            if not open_.size:
+                break
+        else:
+            source[open_] = bins[first][np.searchsorted(bins[first], empty[open_]) % first.size]
         least[empty] = least[source]
     return (least & np.uint64((1 << BITS) - 1)).astype(np.uint8)
 

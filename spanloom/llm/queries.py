@@ -17,6 +17,18 @@ def op2_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality
+
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify
+
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokencount import token_counts
 
@@ -31,6 +43,8 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_fingerprints": op2_minhash_fingerprints,
+    "op3_quality_gam": op3_quality_gam,
+    "op6_language_id": op6_language_id,
     "op8_token_counts": op8_token_counts,
     "op10_simhash_pigeonring": op10_simhash_pigeonring,
 }
