@@ -50,7 +50,7 @@ class WordHashes:
         kept = self.kept
         if len(kept) > self.most:
             kept.clear()
-        for word in set(words) - kept.keys():
+        for word in [w for w in set(words) if w not in kept]:
             kept[word] = xxhash.xxh64_intdigest(word)
         return np.fromiter(map(kept.__getitem__, words), np.uint64, len(words))
 
