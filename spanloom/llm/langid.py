@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, utf8
-from .postings import chunk_postings, chunk_sums
+from .postings import chunk_postings, chunk_sums, chunks_of
 
 #: Labelled documents the model is learnt from, about, at most; chosen by a hash of doc_id.
 SAMPLE_DOCS = 12_000
@@ -115,9 +115,9 @@ def train(docs: DataFrame, held_out: Callable, pieces: list[str], sample_docs: i
         found: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), utf8(batch), strict=True):
-                found[lang].update(text.split())
+                found[lang].update(chunks_of(text))
         for lang, words in found.items():
-            some = {w.decode("utf-8", "replace").lower(): 0 for w in words}
+            some = Counter()
             for w, n in words.items():
                 some[w.decode("utf-8", "replace").lower()] += n
             yield pa.record_batch({"lang": pa.array([lang] * len(some), pa.string()), "word": pa.array(list(some), pa.string()), "n": pa.array(list(some.values()), pa.int64())})
@@ -181,13 +181,14 @@ def identify(docs: DataFrame, held_out: Callable | None = None, model_file: str
             words = [MARK + c.decode("utf-8", "replace").lower() for c in chunks]
             out = np.zeros((len(words), width + 1))
             for n, at, some in by_length(words):
-                out[at, :width] = lattice.forward(some, n, p)
+                logs = lattice.forward(some, n, p)
+                out[at, :width] = np.maximum(logs - logs.max(axis=1, keepdims=True), -60_000)  # only differences count
             out[:, width] = [any(map(str.isalpha, w)) for w in words]
             return out
 
         return worth
 
-    sums = chunk_sums(chunk_postings(docs, "langid", id_col, text_col), value, width + 1)
+    sums = chunk_sums(chunk_postings(docs, "langid", id_col, text_col), value, width + 1, "<f2")
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
