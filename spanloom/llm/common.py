@@ -78,3 +78,8 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         pending = [batch.slice(low)]
     if pending:
         yield pa.Table.from_batches(pending)
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once a row, though ``use`` may name it inside a lambda."""
+    return F.transform(F.array(value), use)[0]

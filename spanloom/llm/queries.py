@@ -11,6 +11,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_OP1 = r"""
+with d as (select doc_id, string_split_regex(trim(lower(coalesce(text, '')), e' \t\n\x0b\f\r'), '[\x20\x09-\x0D]+') w from documents),
+b as (select item_id, string_split_regex(trim(lower(coalesce(text, '')), e' \t\n\x0b\f\r'), '[\x20\x09-\x0D]+') w from benchmark),
+ds as (select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i+4], ' '))) s from d where w[1] <> ''),
+bs as (select distinct item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i+4], ' '))) s from b where w[1] <> ''),
+n as (select item_id, count(*) n_item from bs group by 1),
+p as (select doc_id, item_id, count(*) n_shared from ds join bs using (s) where doc_id is not null and item_id is not null group by all)
+select doc_id, item_id, n_shared, n_item, n_shared / n_item containment from p join n using (item_id) where n_shared >= n_item * 0.8::double
+"""
+
+
 def op2_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import fingerprint_neighbours
 
@@ -23,6 +40,24 @@ def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_warc_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import capture_histories
+
+    return capture_histories(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_OP5 = """
+with p as (select page_id, coalesce(html, '') h, sha1(coalesce(html, '')) x from pages),
+f as (select h, min(page_id) first_id from p group by 1)
+select page_id, octet_length(encode(h))::bigint payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(x, (i // 4 * 5 + 1)::int, 5))::int >> (15 - i % 4 * 5)::int) & 31) + 1, 1)), '') payload_digest,
+  case when page_id is distinct from first_id and first_id is not null then 'revisit' else 'response' end record_type,
+  case when page_id is distinct from first_id then first_id end refers_to
+from p join f using (h)
+"""
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import identify
 
@@ -42,11 +77,16 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_containment": op1_benchmark_containment,
     "op2_minhash_fingerprints": op2_minhash_fingerprints,
     "op3_quality_gam": op3_quality_gam,
+    "op5_warc_histories": op5_warc_histories,
     "op6_language_id": op6_language_id,
     "op8_token_counts": op8_token_counts,
     "op10_simhash_pigeonring": op10_simhash_pigeonring,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_benchmark_containment": _OP1,
+    "op5_warc_histories": _OP5,
+}
