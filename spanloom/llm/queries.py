@@ -64,12 +64,24 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import find_secrets
+
+    return find_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokencount import token_counts
 
     return token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import simhash_components
 
@@ -82,7 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_gam": op3_quality_gam,
     "op5_warc_histories": op5_warc_histories,
     "op6_language_id": op6_language_id,
+    "op7_secret_scans": op7_secret_scans,
     "op8_token_counts": op8_token_counts,
+    "op9_source_mixing": op9_source_mixing,
     "op10_simhash_pigeonring": op10_simhash_pigeonring,
 }
 
