@@ -40,6 +40,12 @@ def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_personal_data_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import replace_personal_data
+
+    return replace_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op5_warc_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import capture_histories
 
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_containment": op1_benchmark_containment,
     "op2_minhash_fingerprints": op2_minhash_fingerprints,
     "op3_quality_gam": op3_quality_gam,
+    "op4_personal_data_surrogates": op4_personal_data_surrogates,
     "op5_warc_histories": op5_warc_histories,
     "op6_language_id": op6_language_id,
     "op7_secret_scans": op7_secret_scans,
