@@ -53,9 +53,11 @@ def word_array(text: Column) -> Column:
     return F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
-def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
-    """A text column as UTF-8 bytes, null as empty."""
-    return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
+def utf8(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
+    """The texts of a column as UTF-8 bytes, null as empty, a few hundred held at a time."""
+    column = batch.column(name).cast(pa.binary())
+    for a in range(0, len(column), 256):
+        yield from (x or b"" for x in column.slice(a, 256).to_pylist())
 
 
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

@@ -98,8 +98,8 @@ def by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray, list[str]]]:
     for k, word in enumerate(words):
         places[len(word)].append(k)
     for n, at in places.items():
-        for a in range(0, len(at), 20_000):
-            some = at[a : a + 20_000]
+        for a in range(0, len(at), 5_000):
+            some = at[a : a + 5_000]
             yield n, np.array(some), [words[k] for k in some]
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import id_text, runs, stored, utf8
 
 #: A block ends at so many documents or so many bytes of text.
-BLOCK_DOCS, BLOCK_BYTES = 8192, 24 << 20
+BLOCK_DOCS, BLOCK_BYTES = 8192, 16 << 20
 MOST = 65535
 
 _FIELDS = [("block", pa.int64()), ("bucket", pa.int32()), ("chunks", pa.binary()), ("lengths", pa.binary()), ("places", pa.binary()), ("repeats", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))]
@@ -53,6 +53,7 @@ def chunk_postings(docs: DataFrame, label: str, id_col: str = "doc_id", text_col
         ids: list[int | None] = []
         sizes: list[int] = []
         numbers: list[np.ndarray] = []
+        times: list[np.ndarray] = []
         found: dict[bytes, int] = {}
 
         def block() -> Iterator[pa.RecordBatch]:
@@ -65,14 +66,11 @@ def chunk_postings(docs: DataFrame, label: str, id_col: str = "doc_id", text_col
             order = np.argsort(bucket, kind="stable")
             rank = np.empty(order.size, np.int64)
             rank[order] = np.arange(order.size)
-            words = np.concatenate(numbers)
             place = np.repeat(np.arange(len(numbers)), [x.size for x in numbers])
-            pairs, repeats = np.unique(rank[words] << 16 | place, return_counts=True)
-            while (repeats > MOST).any():  # a count that two bytes can't hold is split
-                over = repeats > MOST
-                pairs, repeats = np.r_[pairs, pairs[over]], np.r_[np.minimum(repeats, MOST), repeats[over] - MOST]
-                sort = np.argsort(pairs, kind="stable")
-                pairs, repeats = pairs[sort], repeats[sort]
+            pairs = rank[np.concatenate(numbers)] << 16 | place
+            sort = np.argsort(pairs)
+            pairs, repeats = pairs[sort], np.concatenate(times)[sort]
+            del place, sort
             lengths = np.bincount(pairs >> 16, minlength=order.size).astype(np.uint32)
             ends = np.r_[0, np.cumsum(lengths)]
             names, first = np.unique(bucket[order], return_index=True)
@@ -83,7 +81,7 @@ def chunk_postings(docs: DataFrame, label: str, id_col: str = "doc_id", text_col
                     [b" ".join(chunks[j] for j in order[edge[k] : edge[k + 1]].tolist()) for k in some],
                     [lengths[edge[k] : edge[k + 1]].tobytes() for k in some],
                     [(pairs[ends[edge[k]] : ends[edge[k + 1]]] & MOST).astype(np.uint16).tobytes() for k in some],
-                    [repeats[ends[edge[k]] : ends[edge[k + 1]]].astype(np.uint16).tobytes() for k in some],
+                    [repeats[ends[edge[k]] : ends[edge[k + 1]]].tobytes() for k in some],
                 )]
                 n = len(some)
                 yield pa.record_batch([np.full(n, own), names[some.start : some.stop].astype(np.int32), *(pa.array(c, pa.binary()) for c in cols), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64()))], schema=arrow)
@@ -97,11 +95,16 @@ def chunk_postings(docs: DataFrame, label: str, id_col: str = "doc_id", text_col
                 words = chunks_of(text)
                 for word, k in zip([w for w in set(words) if w not in found], count(len(found))):  # noqa: B905
                     found[word] = k
-                numbers.append(np.fromiter(map(found.__getitem__, words), np.int64, len(words)))
+                own, n = np.unique(np.fromiter(map(found.__getitem__, words), np.int32, len(words)), return_counts=True)
+                while (n > MOST).any():  # a count that two bytes can't hold is split
+                    over = n > MOST
+                    own, n = np.r_[own, own[over]], np.r_[np.minimum(n, MOST), n[over] - MOST]
+                numbers.append(own)
+                times.append(n.astype(np.uint16))
                 if len(ids) == BLOCK_DOCS or held >= BLOCK_BYTES:
                     yield from block()
                     number, held = number + 1, 0
-                    for x in (ids, sizes, numbers, found):
+                    for x in (ids, sizes, numbers, times, found):
                         x.clear()
         if ids:
             yield from block()
