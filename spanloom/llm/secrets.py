@@ -155,10 +155,11 @@ def find_secrets(docs: DataFrame, model: Markov | None = None, id_col: str = "do
     return found.select("doc_id", *(number(kind) for kind, _, _ in KINDS), F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("secret_spans")).alias("spans"))
 
 
-def redact_secrets(docs: DataFrame, model: Markov | None = None, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redact_secrets(docs: DataFrame, model: Markov | None = None, text_col: str = "text", mark: str = "[SECRET]", count_col: str | None = None) -> DataFrame:
     """``docs`` with every span of a secret replaced by ``mark``, spans that overlap by one; other columns are kept.
 
-    A text without secrets is left as it is, null included.
+    A text without secrets is left as it is, null included. With ``count_col`` that column holds the new text's characters where
+    it was changed.
     """
     found = with_secrets(docs, model, text_col, "__secret_spans")
     text = F.col(text_col)
@@ -170,4 +171,8 @@ def redact_secrets(docs: DataFrame, model: Markov | None = None, text_col: str =
 
     cut = F.aggregate(F.col("__secret_spans"), start, step)
     whole = let(cut, lambda c: F.concat(c["out"], F.substring(text, c["at"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size("__secret_spans") > 0, whole).otherwise(text)).drop("__secret_spans", "__secret_spans_base")
+    changed = F.size("__secret_spans") > 0
+    done = found.withColumn(text_col, F.when(changed, whole).otherwise(text))
+    if count_col:
+        done = done.withColumn(count_col, F.when(changed, F.length(text_col)).otherwise(F.col(count_col)).cast(docs.schema[count_col].dataType))
+    return done.drop("__secret_spans", "__secret_spans_base")
