@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["relational", "sequence"]
+MODULES = ["relational", "sequence", "temporal", "vector", "evaluation"]
 
 
 def load() -> None:
