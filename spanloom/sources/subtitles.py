@@ -21,7 +21,11 @@ def find_files(spark: SparkSession, path: str, glob: str = "*.srt") -> DataFrame
 def read_texts(spark: SparkSession, path: str, glob: str = "*.srt") -> DataFrame:
     """(path, text): whole files, as UTF-8 without a byte-order mark, or as Windows-1252 where that is not valid UTF-8."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path).select("path", "content")
-    text = F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.decode("content", "windows-1252"))
+    # Windows-1252 is Latin-1 but for the control characters from 0x80 to 0x9F
+    high = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+    given = {a: b for a, b in high.items() if b}
+    latin = F.translate(F.decode("content", "iso-8859-1"), "".join(given), "".join(given.values()))
+    text = F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), latin)
     return raw.select("path", F.regexp_replace(text, "^﻿", "").alias("text"))
 
 
