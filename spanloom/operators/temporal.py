@@ -70,8 +70,8 @@ def as_of_version(left: DataFrame, versions: DataFrame, keys: Sequence[str], at:
 
 def interpolate(points: DataFrame, knots: DataFrame, keys: Sequence[str], at: str, knot_at: str, knot_value: str, out: str) -> DataFrame:
     """``points`` with the piecewise-linear value of the knots at their time, flat beyond the ends; null without knots."""
-    packed = knots.select(*keys, F.col(knot_at), F.struct(F.col(knot_at).alias("t"), F.col(knot_value).cast("double").alias("v")).alias("k"))
-    both = as_of(as_of(points, packed, keys, at, knot_at, "k", "__a"), packed, keys, at, knot_at, "k", "__b", forward=True)
+    packed = knots.select(*keys, F.col(knot_at), F.struct(F.col(knot_at).alias("t"), F.col(knot_value).cast("double").alias("v")).alias("__k"))
+    both = as_of(as_of(points, packed, keys, at, knot_at, "__k", "__a"), packed, keys, at, knot_at, "__k", "__b", forward=True)
     span = (F.col("__b.t") - F.col("__a.t")).cast("double")
     inside = F.col("__a.v") + (F.col("__b.v") - F.col("__a.v")) * (F.col(at) - F.col("__a.t")).cast("double") / F.when(span > 0, span).otherwise(1.0)
     return both.withColumn(out, F.coalesce(inside, F.col("__a.v"), F.col("__b.v"))).drop("__a", "__b")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["relational", "sequence", "temporal", "vector", "evaluation", "text", "maintenance"]
+MODULES = ["relational", "sequence", "temporal", "vector", "evaluation", "text", "maintenance", "annotation"]
 
 
 def load() -> None:
