@@ -126,6 +126,24 @@ class Ring:
         return good
 
 
+    def first(self, u: np.ndarray, v: np.ndarray, start: np.ndarray, number: np.ndarray, equal: int) -> np.ndarray:
+        """Which pairs are at the first start whose chain they keep and there at the first pattern they share: each is told once.
+
+        What a pair's other buckets leave out is told, or joined by stars, at an earlier one; chains keep this true where full
+        buckets are keyed again, as a kept chain shares a pattern of any length.
+        """
+        x = u ^ v
+        diff = np.stack([np.bitwise_count((x >> s) & m) for s, m in zip(self.shift, self.mask, strict=True)], axis=1).astype(np.int64)
+        ring = np.concatenate([diff, diff], axis=1)
+        kept = np.ones(x.size, bool)
+        for s in range(self.m - 1):
+            kept &= (start <= s) | (np.cumsum(ring[:, s : s + self.m], axis=1) > self.budget).any(axis=1)
+        for k, pattern in enumerate(self.patterns(equal)):
+            shared = (ring[np.arange(x.size)[:, None], start[:, None] + np.array(pattern)] == 0).all(axis=1)
+            kept &= ~shared | (number <= k)
+        return kept
+
+
 def _star_links(fps: np.ndarray, start: int, ring: Ring) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is connected inside one bucket; each member is compared until it is reached."""
     left, right, rest = [], [], fps
@@ -186,6 +204,9 @@ def links(reps: DataFrame, radius: int = 4) -> DataFrame:
 
     def linked(equal: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def row(head: np.ndarray, u: np.ndarray, v: np.ndarray, again: bool = False) -> pa.RecordBatch:
+            if not again:
+                told = ring.first(u, v, head >> 6 & 31, head & 63, equal)
+                head, u, v = head[told], u[told], v[told]
             return pa.record_batch({"table": (head >> 11).astype(np.int32), "u": u.view(np.int64), "v": v.view(np.int64), "start": np.where(again, head >> 6 & 31, -1).astype(np.int32)})
 
         for rows in runs(batches, "key"):
