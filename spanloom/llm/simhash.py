@@ -144,9 +144,23 @@ class Ring:
         return kept
 
 
+def _middle(fps: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """For each group of rows, which begin at ``begin``, the place of the member closest to the group's majority bits.
+
+    Near copies lie around their original, so a star from there reaches most of a group of copies.
+    """
+    bits = np.unpackbits(fps.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    sizes = np.diff(np.r_[begin, fps.size])
+    most = np.packbits(2 * np.add.reduceat(bits, begin, axis=0, dtype=np.int64) > sizes[:, None], axis=1, bitorder="little").view("<u8").reshape(-1)
+    group = np.repeat(np.arange(begin.size), sizes)
+    order = np.lexsort((np.bitwise_count(fps ^ most[group]), group))
+    return order[begin]
+
+
 def _star_links(fps: np.ndarray, start: int, ring: Ring) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is connected inside one bucket; each member is compared until it is reached."""
-    left, right, rest = [], [], fps
+    middle = int(_middle(fps, np.array([0]))[0])
+    left, right, rest = [], [], np.r_[fps[middle], fps[:middle], fps[middle + 1 :]]
     while rest.size > 1:
         reached, rest = [rest[0]], rest[1:]
         while reached and rest.size:
@@ -160,28 +174,37 @@ def _star_links(fps: np.ndarray, start: int, ring: Ring) -> tuple[np.ndarray, np
 
 
 def _bucket_links(key: np.ndarray, fps: np.ndarray, start: np.ndarray, ring: Ring) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links (u, v, the place of u) inside many small buckets at once: a few stars first, then the pairs that no star joins."""
+    """Links (u, v, the place of u) inside many small buckets at once: a few stars first, then a link per pair of stars (or single
+    members) that have one."""
     left, right = [], []  # places
     star = np.full(key.size, -1, np.int64)
-    for _ in range(STARS):
+    for turn in range(STARS):
         free = np.flatnonzero(star < 0)
         if free.size < 2:
             break
         _, first, back = np.unique(key[free], return_index=True, return_inverse=True)
-        centre = free[first][back]
+        centre = (free[first] if turn else _middle(fps, first))[back]
         hit = ring.near(fps[centre], fps[free], start[free])
         star[free[hit]] = centre[hit]
         other = hit & (centre != free)
         left.append(centre[other])
         right.append(free[other])
+    group = np.where(star < 0, np.arange(key.size), star)
+    one, other_one = [], []
     for step in range(1, key.size):
         same = np.flatnonzero(key[step:] == key[:-step])
         if not same.size:
             break
-        same = same[(star[same] < 0) | (star[same] != star[same + step])]
+        same = same[group[same] != group[same + step]]
         hit = same[ring.near(fps[same], fps[same + step], start[same])]
-        left.append(hit)
-        right.append(hit + step)
+        one.append(hit)
+        other_one.append(hit + step)
+    if one:
+        x, y = np.concatenate(one), np.concatenate(other_one)
+        pair = np.minimum(group[x], group[y]) * key.size + np.maximum(group[x], group[y])
+        _, kept = np.unique(pair, return_index=True)
+        left.append(x[kept])
+        right.append(y[kept])
     at, to = np.concatenate(left), np.concatenate(right)
     return fps[at], fps[to], at
 
