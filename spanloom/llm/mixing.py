@@ -4,7 +4,8 @@ Every document of a source has the same fractional number of copies, its source'
 is taken; the fractions meet in pairs, and each pair moves words from one to the other until one of the two is 0 or 1. Which way
 is drawn so that no document's expected copies change, and the pair's words (fraction times size) stay the same. The pairing is
 a reduction tree: groups of documents of one source are folded from long to short, each passes on the one document that still
-has a fraction, and the next level folds those, up to one short document per source.
+has a fraction, and the next level folds those, up to one per source. Long documents are rounded first, and the one they leave
+is paired with all shorter documents of its source together.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 #: Members of a group of the reduction tree, on average.
 GROUP = 32
+#: Least words of the longer bands of documents; each band is rounded before the shorter ones.
+BANDS = (2048, 256)
 EPS = 1e-9
 
 
@@ -73,12 +76,8 @@ def _fold(members: Column, seed: str) -> Column:
     return F.aggregate(members, start, lambda acc, m: F.when(acc["open"].isNull(), alone(acc, m)).otherwise(step(acc, m)))
 
 
-def pivotal_round(units: DataFrame, seed: str = "mix") -> DataFrame:
-    """(row): the units rounded up, of units (row long, p in (0, 1), size > 0, lane string, spread long).
-
-    In every lane the sum of p * size is kept but for the last unit's rounding. Only units of one ``lane`` meet; the hash ``spread`` deals them into
-    groups: cells of its prefix that hold GROUP units on average whatever a lane's share, then of ever shorter prefixes.
-    """
+def _tree(units: DataFrame, seed: str) -> tuple[DataFrame, DataFrame]:
+    """(row) of the units rounded up, and (lane, row, p, size) of the one unit a lane that may still have a fraction."""
     now = stored(units.select("row", "p", F.col("size").cast("double").alias("size"), "lane", "spread"), "units")
     depth = max(0, ceil(log2(max(1, now.count()) / GROUP)))
     levels = [*range(depth, 0, -int(log2(GROUP))), 0]
@@ -91,8 +90,57 @@ def pivotal_round(units: DataFrame, seed: str = "mix") -> DataFrame:
         own = done.select(F.explode("f.ups").alias("row"))
         ups = own if ups is None else ups.unionByName(own)
         now = done.filter("f.open is not null").select("f.open.row", "f.open.p", "f.open.size", "lane", "spread")
-    last = now.filter(_chance(seed, F.col("row"), F.lit(-2).cast("long")) < F.col("p")).select("row")
-    return ups.unionByName(last)
+    return ups, now.select("lane", "row", "p", "size")
+
+
+def pivotal_round(units: DataFrame, seed: str = "mix") -> DataFrame:
+    """(row): the units rounded up, of units (row long, p in (0, 1), size > 0, lane string, spread long).
+
+    In every lane the sum of p * size is kept but for the last unit's rounding. Only units of one ``lane`` meet; the hash
+    ``spread`` deals them into groups: cells of its prefix that hold GROUP units on average whatever a lane's share, then of
+    ever shorter prefixes.
+    """
+    ups, left = _tree(units, seed)
+    return ups.unionByName(left.filter(_chance(seed, F.col("row"), F.lit(-2).cast("long")) < F.col("p")).select("row"))
+
+
+def banded_round(units: DataFrame, lanes: DataFrame, seed: str = "mix") -> DataFrame:
+    """(row): as ``pivotal_round`` for units (row, size, lane, spread) whose fraction is their lane's, ``lanes`` (lane, p).
+
+    Bands of sizes are rounded one after the other, the longest first. The unit a band leaves open is paired with the pool of
+    all shorter units of its lane, which moves words until the unit is integral and changes the pool's common fraction; so
+    long documents leave no error behind, and the last open unit is a short one.
+    """
+    spread = units.withColumn("band", F.lit(len(BANDS)))
+    for number in reversed(range(len(BANDS))):
+        spread = spread.withColumn("band", F.when(F.col("size") >= BANDS[number], number).otherwise(F.col("band")))
+    spread = stored(spread, "banded")
+    below = [F.sum(F.when(F.col("band") > number, F.col("size")).otherwise(0)).cast("double").alias(f"below_{number}") for number in range(len(BANDS) + 1)]
+    state = stored(lanes.join(spread.groupBy("lane").agg(*below), "lane"), "lanes")
+    n_lanes = state.count()
+    ups = None
+    for number in range(len(BANDS) + 1):
+        own = spread.filter(F.col("band") == number).join(small_side(state.select("lane", "p"), n_lanes), "lane")
+        rounded, left = _tree(own.filter((F.col("p") > EPS) & (F.col("p") < 1 - EPS)), f"{seed}-{number}")
+        pool = F.col(f"below_{number}")
+        up = F.least((1 - F.col("q")) * F.col("s"), F.col("p") * pool)
+        down = F.least(F.col("q") * F.col("s"), (1 - F.col("p")) * pool)
+        # a pool that can take nothing leaves the unit to chance
+        chance = _chance(f"{seed}-pool-{number}", F.col("row"), F.lit(-2).cast("long"))
+        stuck = (up + down) <= EPS
+        rises = F.when(stuck, chance < F.col("q")).otherwise(chance * (up + down) < down)
+        moved = F.when(stuck, F.lit(0.0)).when(rises, up).otherwise(-down)
+        after = F.col("q") + moved / F.col("s")
+        again = _chance(f"{seed}-last-{number}", F.col("row"), F.lit(-3).cast("long"))
+        taken = F.when(stuck, rises).otherwise(again < F.when(after >= 1 - EPS, F.lit(2.0)).when(after <= EPS, F.lit(-1.0)).otherwise(after))
+        joined = state.join(left.select("lane", "row", F.col("p").alias("q"), F.col("size").alias("s")), "lane", "left")
+        fresh = F.when(F.col("q").isNull() | (pool <= 0), F.col("p")).otherwise(F.least(F.greatest(F.col("p") - moved / pool, F.lit(0.0)), F.lit(1.0)))
+        kept = [f"below_{k}" for k in range(len(BANDS) + 1)]
+        settled = stored(joined.select("lane", fresh.alias("p"), *kept, F.when(F.col("q").isNotNull() & taken, F.col("row")).alias("up")), "lanes")
+        found = rounded.unionByName(own.filter(F.col("p") >= 1 - EPS).select("row")).unionByName(settled.filter("up is not null").select(F.col("up").alias("row")))
+        ups = found if ups is None else ups.unionByName(found)
+        state = settled.drop("up")
+    return ups
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST_COPIES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
@@ -109,17 +157,16 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST_
     targets = stored(source_targets(sizes, weights, most), "targets")
     n_sources = targets.count()
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    told = small_side(targets.select(F.col("source").alias("own"), "source_size", "target", share.alias("share")), n_sources)
+    targets = targets.withColumn("share", share)
+    told = small_side(targets.select(F.col("source").alias("own"), "source_size", "target", "share"), n_sources)
     joined = rows.join(told, F.col("source").eqNullSafe(F.col("own"))).drop("own")
     copies = F.floor(F.col("share") + EPS)
     fraction = F.greatest(F.col("share") - copies, F.lit(0.0))
+    lane = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
     units = joined.filter((fraction > EPS) & (F.col("size") > 0)).select(
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row"),
-        fraction.alias("p"),
-        F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("")).alias("lane"),
-        F.col("size"),
-        F.xxhash64(F.lit(seed), "doc_id").alias("spread"),
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row"), F.col("size"), lane.alias("lane"), F.xxhash64(F.lit(seed), "doc_id").alias("spread")
     )
-    ups = pivotal_round(units.dropDuplicates(["row"]), seed).select(F.col("row").alias("up"))
+    lanes = targets.filter(fraction > EPS).select(lane.alias("lane"), fraction.alias("p"))
+    ups = banded_round(units.dropDuplicates(["row"]), lanes, seed).select(F.col("row").alias("up"))
     taken = joined.join(ups, F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))) == F.col("up"), "left")
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * (copies + F.col("up").isNotNull().cast("int"))).cast("long").alias("taken"))
