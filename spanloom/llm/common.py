@@ -42,8 +42,17 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
+    """Lets no Arrow batch of this session hold more rows or bytes than this: rows are whole texts, and a task holds a few batches."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = int(str(spark.conf.get(key)).rstrip("bB"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns the operators read, null texts as empty ones; other columns can't clash with ours."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
