@@ -45,8 +45,8 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
 def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
     """Lets no Arrow batch of this session hold more rows or bytes than this: rows are whole texts, and a task holds a few batches."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
-        now = int(str(spark.conf.get(key)).rstrip("bB"))
-        if now <= 0 or now > most:
+        now = spark.conf.get(key).lower().rstrip("b")
+        if now.lstrip("-").isdigit() and not 0 < int(now) <= most:  # a size with another unit was somebody's choice
             spark.conf.set(key, str(most))
 
 

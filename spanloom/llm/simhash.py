@@ -24,6 +24,8 @@ from .graph import connected_components
 SEED = 42
 #: A bucket with more fingerprints than this is keyed again with a longer chain.
 FULL = 256
+#: Pairs looked at together, so that a task's memory doesn't follow a group's pairs.
+HELD = 100_000
 #: Near-duplicate removal: words of a shingle, bits, and independent fingerprints.
 WIDTH, RADIUS, TABLES = 5, 6, 4
 #: Stars drawn in a bucket before its remaining pairs are compared.
@@ -132,6 +134,8 @@ class Ring:
         What a pair's other buckets leave out is told, or joined by stars, at an earlier one; chains keep this true where full
         buckets are keyed again, as a kept chain shares a pattern of any length.
         """
+        if u.size > HELD:
+            return np.concatenate([self.first(*(c[a : a + HELD] for c in (u, v, start, number)), equal) for a in range(0, u.size, HELD)])
         x = u ^ v
         diff = np.stack([np.bitwise_count((x >> s) & m) for s, m in zip(self.shift, self.mask, strict=True)], axis=1).astype(np.int64)
         ring = np.concatenate([diff, diff], axis=1)
@@ -190,7 +194,14 @@ def _bucket_links(key: np.ndarray, fps: np.ndarray, start: np.ndarray, ring: Rin
         left.append(centre[other])
         right.append(free[other])
     group = np.where(star < 0, np.arange(key.size), star)
-    one, other_one = [], []
+    one, other_one, held, most = [], [], 0, HELD
+
+    def told_once() -> tuple[np.ndarray, np.ndarray]:
+        x, y = np.concatenate(one), np.concatenate(other_one)
+        pair = np.minimum(group[x], group[y]) * key.size + np.maximum(group[x], group[y])
+        _, kept = np.unique(pair, return_index=True)
+        return x[kept], y[kept]
+
     for step in range(1, key.size):
         same = np.flatnonzero(key[step:] == key[:-step])
         if not same.size:
@@ -199,12 +210,15 @@ def _bucket_links(key: np.ndarray, fps: np.ndarray, start: np.ndarray, ring: Rin
         hit = same[ring.near(fps[same], fps[same + step], start[same])]
         one.append(hit)
         other_one.append(hit + step)
+        held += hit.size
+        if held > most:
+            x, y = told_once()
+            one, other_one, held = [x], [y], x.size
+            most = max(HELD, 2 * held)
     if one:
-        x, y = np.concatenate(one), np.concatenate(other_one)
-        pair = np.minimum(group[x], group[y]) * key.size + np.maximum(group[x], group[y])
-        _, kept = np.unique(pair, return_index=True)
-        left.append(x[kept])
-        right.append(y[kept])
+        x, y = told_once()
+        left.append(x)
+        right.append(y)
     at, to = np.concatenate(left), np.concatenate(right)
     return fps[at], fps[to], at
 
