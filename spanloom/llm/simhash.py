@@ -20,14 +20,13 @@ from pyspark.sql import functions as F
 
 from .common import id_text, runs, small_side, stored, utf8
 from .graph import connected_components
+from .nearcopies import LEAST, near_copy_links, prints
 
 SEED = 42
 #: A bucket with more fingerprints than this is keyed again with a longer chain.
 FULL = 256
 #: Pairs looked at together, so that a task's memory doesn't follow a group's pairs.
 HELD = 100_000
-#: Near-duplicate removal: words of a shingle, bits, and independent fingerprints.
-WIDTH, RADIUS, TABLES = 5, 6, 4
 #: Stars drawn in a bucket before its remaining pairs are compared.
 STARS = 4
 
@@ -297,29 +296,28 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return fps.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS, tables: int = TABLES) -> DataFrame:
+def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
     """(doc_id): the documents that a smaller doc_id is linked to, directly or over others.
 
-    Two documents link if any of ``tables`` independent fingerprints of their ``width``-word shingles differ in at most
-    ``radius`` bits. With the defaults a pair of similarity 0.9 links with a chance of about 0.92, one of 0.95 or more nearly surely, one of
-    0.65 with 0.06. Null ids take no part; empty and wordless texts are copies of one another.
+    Two documents link if the Jaccard likeness of their five-word shingles is at least ``least``: candidates by MinHash bands, each
+    pair verified on all its shingles. With the default a pair at 0.8 isn't found with a chance of 0.0003, one at 0.85 with 0.00001.
+    Null ids take no part; empty and wordless texts are copies of one another.
     """
-    rows = stored(fingerprints(docs, id_col, text_col, width, tables).filter("doc_id is not null").select("doc_id", F.posexplode("fps").alias("table", "fp")), "simhash")
-    reps = stored(rows.groupBy("table", "fp").agg(F.min("doc_id").alias("least_id")), "reps")
-    near = links(reps, radius)
-    first = reps.select("table", F.col("fp").alias("u"), F.col("least_id").alias("a"))
-    second = reps.select("table", F.col("fp").alias("v"), F.col("least_id").alias("b"))
-    edges = near.join(first, ["table", "u"]).join(second, ["table", "v"]).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    copies = rows.join(reps, ["table", "fp"]).filter("doc_id <> least_id").select(F.col("doc_id").alias("u"), F.col("least_id").alias("v"))
+    rows = stored(prints(docs, id_col, text_col).filter("doc_id is not null"), "prints")
+    reps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "reps")
+    least_ids = reps.select("fp", "least_id")
+    near = near_copy_links(docs, reps, least, id_col, text_col)
+    edges = near.join(least_ids.toDF("u", "a"), "u").join(least_ids.toDF("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    copies = rows.select("doc_id", "fp").join(least_ids, "fp").filter("doc_id <> least_id").select(F.col("doc_id").alias("u"), F.col("least_id").alias("v"))
     return connected_components(edges.unionByName(copies)).filter("node <> root").select(F.col("node").alias("doc_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS, tables: int = TABLES) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, that with the smallest id; of rows with equal ids one stays.
 
     Rows with a null id all stay.
     """
-    gone = stored(near_duplicate_ids(docs, id_col, text_col, width, radius, tables), "gone")
+    gone = stored(near_duplicate_ids(docs, id_col, text_col, least), "gone")
     kept = docs.join(small_side(gone.withColumnRenamed("doc_id", id_col), gone.count()), id_col, "left_anti").select(docs.columns)
     again = stored(docs.groupBy(id_col).count().filter(f"`{id_col}` is not null and count > 1").select(id_col), "again")
     n = again.count()
