@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 from .common import let, stored
 
 #: The patterns of the kinds. A number with 13 to 19 digits is a card only if its check digit is right.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}"
+#: A mail address starts at a letter or digit, also after punctuation; inside a run of its characters only after another address, so that a
+#: run is read once. Its domain (127 labels at most, as in DNS) ends at the last label of letters.
+EMAIL = (
+    r"(?<![A-Za-z0-9])(?:(?<![A-Za-z0-9][._%+-]{1,8})|(?<=@[A-Za-z0-9.-]{1,255}[._%+-]{1,8}))"
+    r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){0,126}\.[A-Za-z]{2,}"
+)
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
