@@ -6,7 +6,7 @@ on pairs of features; a score is the sigmoid of the sum of the tables' entries a
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -25,7 +25,7 @@ FEATURES = [
     "distinct_words", "commonest_word", "repeated_next", "distinct_pairs", "log_lines", "distinct_lines", "mean_line",
     "exclamations", "symbols", "pipes", "stops", "commas", "capital_words", "symbol_words",
 ]
-_SYMBOL_END = re.compile(rb"[!%&$*#|=~^<>@]$")
+_SPACE, _CAPITAL, _SYMBOL = (np.isin(np.arange(256), np.frombuffer(x, np.uint8)) for x in (b" \t\n\r\x0b\x0c", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"!%&$*#|=~^<>@"))
 
 
 def features(text: bytes) -> list[float]:
@@ -34,22 +34,23 @@ def features(text: bytes) -> list[float]:
     if not words:
         return [0.0] * len(FEATURES)
     size, n = len(text), len(words)
-    count = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
+    raw = np.frombuffer(text, np.uint8)
+    count = np.bincount(raw, minlength=256)
     lengths = np.fromiter(map(len, words), np.float64, n)
-    distinct = set(words)
-    most = max(map(words.count, words[:3])) if n < 50 else 0
+    uses = Counter(words)
+    gap = np.r_[True, _SPACE[raw], True]
+    first, last = raw[gap[:-2] & ~gap[1:-1]], raw[~gap[1:-1] & gap[2:]]  # bytes of all words
     lines = [x for x in text.split(b"\n") if x.strip()]
     symbols = int(count[[33, 37, 38, 36, 42, 35, 124, 61, 126, 94, 60, 62, 64]].sum())
-    sampled = words[:: max(1, n // 400)]
     again = sum(map(bytes.__eq__, words, words[1:]))
     return [
         float(np.log1p(size)), float(np.log1p(n)), float(lengths.mean()), float(lengths.std()), float((lengths > 14).mean()),
         count[65:91].sum() / size, count[48:58].sum() / size, (count[33:48].sum() + count[58:65].sum() + count[91:97].sum() + count[123:127].sum()) / size,
         count[128:].sum() / size, (count[32] + count[9] + count[10]) / size,
-        len(distinct) / n, most / n, again / n, len(set(zip(words, words[1:], strict=False))) / n,
+        len(uses) / n, max(uses.values()) / n, again / n, len(set(zip(words, words[1:], strict=False))) / n,
         float(np.log1p(len(lines))), len(set(lines)) / max(1, len(lines)), float(np.log1p(size / max(1, len(lines)))),
         count[33] / n, symbols / n, count[124] / n, count[46] / n, count[44] / n,
-        sum(w[:1].isupper() for w in sampled) / len(sampled), sum(_SYMBOL_END.search(w) is not None for w in sampled) / len(sampled),
+        _CAPITAL[first].sum() / n, _SYMBOL[last].sum() / n,
     ]
 
 
