@@ -21,8 +21,10 @@ from .postings import chunk_postings, chunk_sums, chunks_of
 #: Labelled documents the model is learnt from, about, at most; chosen by a hash of doc_id.
 SAMPLE_DOCS = 12_000
 ROUNDS = 3
-#: Longer words are left out of learning, not of scoring.
-LEARN_CHARS = 32
+#: Longer words are learnt from in runs of so many characters, all of which count; scoring takes them whole.
+LEARN_CHARS = 31
+#: Distinct runs worked on together.
+LEARN_RUNS = 50_000
 #: Weight of the mean over languages in each language's counts, in expected pieces.
 SMOOTHING = 0.2
 #: Probability of a character that is no piece, the same in every language.
@@ -137,12 +139,20 @@ def train(docs: DataFrame, held_out: Callable, pieces: list[str], sample_docs: i
             into = np.zeros_like(p)
             for batch in batches:
                 rows: dict[str, np.ndarray] = {}
-                for word, lang, n in zip(*(batch.column(c).to_pylist() for c in ("word", "lang", "n")), strict=True):
-                    if len(word) < LEARN_CHARS:
-                        rows.setdefault(MARK + word, np.zeros(p.shape[1]))[number[lang]] += n
-                for n, at, some in by_length(list(rows)):
+
+                def learn(rows: dict[str, np.ndarray]) -> None:
                     values = list(rows.values())
-                    lattice.expected(some, n, np.array([values[k] for k in at]), p, into)
+                    for n, at, some in by_length(list(rows)):
+                        lattice.expected(some, n, np.array([values[k] for k in at]), p, into)
+
+                for word, lang, n in zip(*(batch.column(c).to_pylist() for c in ("word", "lang", "n")), strict=True):
+                    for a in range(0, max(1, len(word)), LEARN_CHARS):
+                        run = word[a : a + LEARN_CHARS]
+                        rows.setdefault(run if a else MARK + run, np.zeros(p.shape[1]))[number[lang]] += n
+                        if len(rows) >= LEARN_RUNS:
+                            learn(rows)
+                            rows.clear()
+                learn(rows)
             piece, lang = np.nonzero(into)
             yield pa.record_batch({"piece": piece.astype(np.int32), "lang": lang.astype(np.int32), "n": into[piece, lang]})
 
