@@ -15,17 +15,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
-#: Rows a broadcast side may have; beyond it the same join runs as a shuffle join.
+#: Rows and bytes of strings a broadcast side may have; beyond either the same join runs as a shuffle join.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset (local runs)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset, which only a local master may leave so."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if named:
         return named.rstrip("/")
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spanloom-"))
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -37,9 +40,10 @@ def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most BROADCAST_ROWS rows; else as it is, for a shuffle join."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def small_side(df: DataFrame, rows: int, size: int = 0) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most BROADCAST_ROWS rows and ``size``, the bytes of its strings, at most BROADCAST_BYTES;
+    else as it is, for a shuffle join."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
