@@ -53,10 +53,10 @@ def _chance(seed: str, a: Column, b: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), a, b), F.lit(1 << 52)).cast("double") / float(1 << 52)
 
 
-def _fold(members: Column, seed: str) -> Column:
-    """One group: (open: the member that keeps a fraction, ups: the rows rounded up)."""
-    unit = "struct<row:bigint,p:double,size:double>"
-    start = F.struct(F.lit(None).cast(unit).alias("open"), F.array().cast("array<bigint>").alias("ups"))
+def _fold(members: Column, seed: str, kind: str) -> Column:
+    """One group: (open: the member that keeps a fraction, ups: the rows, of type ``kind``, rounded up)."""
+    unit = f"struct<row:{kind},p:double,size:double>"
+    start = F.struct(F.lit(None).cast(unit).alias("open"), F.array().cast(f"array<{kind}>").alias("ups"))
 
     def step(acc: Column, m: Column) -> Column:
         a, b = acc["open"], m
@@ -78,6 +78,7 @@ def _fold(members: Column, seed: str) -> Column:
 
 def _tree(units: DataFrame, seed: str) -> tuple[DataFrame, DataFrame]:
     """(row) of the units rounded up, and (lane, row, p, size) of the one unit a lane that may still have a fraction."""
+    kind = units.schema["row"].dataType.simpleString()
     now = stored(units.select("row", "p", F.col("size").cast("double").alias("size"), "lane", "spread"), "units")
     depth = max(0, ceil(log2(max(1, now.count()) / GROUP)))
     levels = [*range(depth, 0, -int(log2(GROUP))), 0]
@@ -86,7 +87,7 @@ def _tree(units: DataFrame, seed: str) -> tuple[DataFrame, DataFrame]:
         cell = F.shiftrightunsigned(F.col("spread"), 64 - d) if d else F.lit(0).cast("long")
         in_order = F.transform(F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("last"), "spread", "row", "p", "size"))), lambda m: F.struct(m["row"].alias("row"), m["p"].alias("p"), m["size"].alias("size")))
         groups = now.groupBy("lane", cell.alias("cell")).agg(in_order.alias("members"), F.min("spread").alias("spread"))
-        done = stored(groups.select("lane", "spread", _fold(F.col("members"), f"{seed}-{number}").alias("f")), "folded")
+        done = stored(groups.select("lane", "spread", _fold(F.col("members"), f"{seed}-{number}", kind).alias("f")), "folded")
         own = done.select(F.explode("f.ups").alias("row"))
         ups = own if ups is None else ups.unionByName(own)
         now = done.filter("f.open is not null").select("f.open.row", "f.open.p", "f.open.size", "lane", "spread")
@@ -94,7 +95,7 @@ def _tree(units: DataFrame, seed: str) -> tuple[DataFrame, DataFrame]:
 
 
 def pivotal_round(units: DataFrame, seed: str = "mix") -> DataFrame:
-    """(row): the units rounded up, of units (row long, p in (0, 1), size > 0, lane string, spread long).
+    """(row): the units rounded up, of units (row, p in (0, 1), size > 0, lane string, spread long); no two have the same row.
 
     In every lane the sum of p * size is kept but for the last unit's rounding. Only units of one ``lane`` meet; the hash
     ``spread`` deals them into groups: cells of its prefix that hold GROUP units on average whatever a lane's share, then of
@@ -147,26 +148,30 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST_
     """(doc_id, size, source_size, target, taken) per row of ``docs``; taken is the row's copies times its size.
 
     size is the text's number of words (null: 0). A row has floor or ceil of target / source_size copies, so never more than
-    ``most``. A rerun takes the same. A null source is a source of its own, the last. Rows with equal ids, null
-    ids among them, share one rounding. A source without words has target 0. An empty table gives an empty result; other columns
-    are ignored.
+    ``most``. A rerun takes the same, however the rows are dealt. A null source is a source of its own, the last. Every row is
+    rounded by itself: rows with equal ids, null ids among them, are told apart by source and size, and those that are equal in
+    all three are counted and numbered, as it doesn't matter which of them is which. A source without words has target 0. An empty
+    table gives an empty result; other columns are ignored.
     """
     size = F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long")
-    rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size")), "sizes")
-    sizes = rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"))
+    # rows that are alike are counted, never gathered
+    alike = stored(rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n")), "sizes")
+    sizes = alike.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
     targets = stored(source_targets(sizes, weights, most), "targets")
     n_sources = targets.count()
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     targets = targets.withColumn("share", share)
     told = small_side(targets.select(F.col("source").alias("own"), "source_size", "target", "share"), n_sources)
-    joined = rows.join(told, F.col("source").eqNullSafe(F.col("own"))).drop("own")
+    lane = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
+    numbered = alike.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    # an id, and a hash of what tells its rows apart
+    row = F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64(F.col("doc_id").isNull(), lane, F.col("size"), F.col("nth")).alias("tag"))
+    joined = numbered.join(told, F.col("source").eqNullSafe(F.col("own"))).drop("own").withColumn("row", row)
     copies = F.floor(F.col("share") + EPS)
     fraction = F.greatest(F.col("share") - copies, F.lit(0.0))
-    lane = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
-    units = joined.filter((fraction > EPS) & (F.col("size") > 0)).select(
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row"), F.col("size"), lane.alias("lane"), F.xxhash64(F.lit(seed), "doc_id").alias("spread")
-    )
+    units = joined.filter((fraction > EPS) & (F.col("size") > 0)).select("row", "size", lane.alias("lane"), F.xxhash64(F.lit(seed), "row").alias("spread"))
     lanes = targets.filter(fraction > EPS).select(lane.alias("lane"), fraction.alias("p"))
-    ups = banded_round(units.dropDuplicates(["row"]), lanes, seed).select(F.col("row").alias("up"))
-    taken = joined.join(ups, F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))) == F.col("up"), "left")
+    ups = banded_round(units, lanes, seed).select(F.col("row").alias("up"))
+    taken = joined.join(ups, F.col("row") == F.col("up"), "left")
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * (copies + F.col("up").isNotNull().cast("int"))).cast("long").alias("taken"))
