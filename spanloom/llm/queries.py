@@ -41,9 +41,13 @@ def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_personal_data_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from secrets import token_hex
+
     from .pii import replace_personal_data
 
-    return replace_personal_data(_table(spark, sf_dir, "documents"))
+    # a key of one's own makes surrogates that can be made again; without one they are this run's only
+    key = spark.conf.get("spanloom.surrogate.key", None) or token_hex(32)
+    return replace_personal_data(_table(spark, sf_dir, "documents"), key)
 
 
 def op5_warc_histories(spark: SparkSession, sf_dir: str) -> DataFrame:

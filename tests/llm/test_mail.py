@@ -6,7 +6,7 @@ def test_mail_addresses_at_sentence_ends_and_in_punctuation(spark):
         "jane@example.com, .bob@x.org; carl-jane@x.org!", "no mail @ here. a@b or a-b-c-d", "well-known a.b.c",
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = replace_personal_data(df).orderBy("doc_id").collect()
+    got = replace_personal_data(df, "key").orderBy("doc_id").collect()
     assert [r["n_entities"] for r in got] == [1, 1, 1, 1, 1, 1, 1, 2, 3, 0, 0]
     for r, text in zip(got, texts, strict=True):
         assert len(r["text"]) == len(text) and not any(x in r["text"] for x in ("jane", "bob@", "example")), r["text"]
