@@ -14,51 +14,70 @@ from pyspark.sql import functions as F
 from .common import let
 
 #: The base kinds in order, each with its pattern, and the least length of the match (for assign: of group 2).
+#: A match of access or hex reaches to the end of its run, so asking for the length in the pattern drops the matches that are too short
+#: and moves no other; a short match of assign may hide one that begins inside it, so it is dropped afterwards.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"[0-9a-f]{24,}"
 KINDS = [("assign", ASSIGN, 6), ("access", ACCESS, 20), ("hex", HEX, 24)]
-#: Patterns that can match only where a kind's match may pass, so that most texts are done with one scan.
-SIEVE = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}"}
 
 #: Tokens the models look at, and when one counts as random.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 LEAST_RATIO = 0.5
 STATES = 96
 
-#: Parts of ordinary identifiers for the labelled samples.
+#: Words of ordinary identifiers for the labelled samples, from the whole alphabet.
 PARTS = """
-account action active address admin after agent alert align amount anchor angle api app apply area array asset async attach
-author auto available back background balance base batch before begin bind block body bool border bottom box branch buffer
-build button byte cache call cancel card case catch cell center change channel char check child class clean clear client clone
-close cloud code collection color column command comment commit common config connect container content context control copy
-core count create current cursor custom data database date day debug decode default delete depth device dialog dictionary
-direct disable display document domain double download draw drive dump edit element email empty enable encode end engine entity
-entry error event exception execute exit export factory field file fill filter final find first flag float flow focus folder
-font footer force form format forward frame free from function general get global graph grid group handle handler hash header
-height help hidden history host icon identifier image import index info init input insert instance integer interface internal
+account active address admin agent align anchor app archive array asset author backup badge balance batch bind block board body border bridge bucket
+buffer build bundle button cache canvas category cell channel child client clock cluster column config context cookie count customer daemon
+dashboard database delete device display driver editor element email encoder engine event export factory feature field filter folder frame function
+gateway global graph group handler header height history home host icon image import index input invoice item job join journal json kernel keyboard
+label layout library limit link list loader local lock logger manager matrix member menu message method mobile model module monitor network node
+notify number object offset option order output owner package page parser partner path payment pipeline player plugin policy portal process project
+proxy publish quality quantity query queue random range reader record region release request resource response router sample schema screen search
+section server service session socket source stage state storage stream style subject system table target task template thread ticket time timer
+topic track trigger unit update upload value vector version view virtual vocabulary volume wallet watch web weight widget window worker wrapper xml
+zero
 """.split()
+#: Syllables of ordinary words in several languages: beginnings, middles and ends.
+ONSETS = "b bl br c ch d dr f fr g gr h j k kl l m n p pl pr qu r s sch sh st str t tr v w z".split()
+NUCLEI = "a e i o u ai au ea ei ie io ou".split()
+CODAS = "n r s t l nd nt st ng ck m tion ment ung lich able ar er or".split()
 
 
-def labelled_samples(spark: SparkSession, n: int = 4000) -> DataFrame:
-    """(label, token): label 1 for random strings over the usual alphabets, 0 for identifiers joined from PARTS in the usual styles."""
+def labelled_samples(spark: SparkSession, n: int = 8000, seed: str = "train") -> DataFrame:
+    """(label, token): label 1 for random strings over the usual alphabets, 0 for names and paths joined from words in the usual styles.
+
+    A word is one of PARTS or made of syllables. Another ``seed`` gives other tokens, for instance to hold out.
+    """
     rows = spark.range(n, numPartitions=1)
+    bits = lambda name, size: F.unhex(F.sha2(F.concat(F.lit(f"{seed}-{name}"), F.col("id").cast("string")), size))
     random = rows.select(
         F.lit(1).alias("label"),
         F.element_at(
             F.array(
-                F.sha2(F.concat(F.lit("a"), F.col("id").cast("string")), 256),
-                F.base64(F.unhex(F.sha2(F.concat(F.lit("b"), F.col("id").cast("string")), 256))),
-                F.base64(F.unhex(F.sha2(F.concat(F.lit("c"), F.col("id").cast("string")), 384))),
-                F.translate(F.upper(F.base64(F.unhex(F.sha2(F.concat(F.lit("d"), F.col("id").cast("string")), 256)))), "+/=", "QZ"),
+                F.lower(F.hex(bits("a", 256))),
+                F.base64(bits("b", 256)),
+                F.base64(bits("c", 384)),
+                F.translate(F.upper(F.base64(bits("d", 256))), "+/=", "QZ"),
+                F.translate(F.base64(bits("e", 224)), "+/=", "-_"),
+                F.substring(F.translate(F.lower(F.base64(bits("f", 256))), "+/=", "7k"), 1, 32),
             ),
-            (F.col("id") % 4 + 1).cast("int"),
+            (F.col("id") % 6 + 1).cast("int"),
         ).alias("token"),
     )
-    words = F.array(*map(F.lit, PARTS))
-    pick = lambda k: F.element_at(words, (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(PARTS))) + 1).cast("int"))
-    chosen = F.slice(F.array(*map(pick, range(5))), 1, (F.pmod(F.xxhash64("id", F.lit(99)), F.lit(3)) + 3).cast("int"))
-    styles = [F.array_join("w", "_"), F.array_join("w", "-"), F.array_join(F.transform("w", F.initcap), ""), F.upper(F.array_join("w", "_")), F.array_join("w", ""), F.array_join("w", "/"), F.concat(F.array_join("w", "_"), (F.col("id") % 100).cast("string"))]
+    roll = lambda k, most: F.pmod(F.xxhash64(F.lit(seed), "id", F.lit(k)), F.lit(most)).cast("int")
+    of = lambda k, words: F.element_at(F.array(*map(F.lit, words)), roll(k, len(words)) + 1)
+    syllables = lambda k: F.concat(of(k + 1, ONSETS), of(k + 2, NUCLEI), of(k + 3, ONSETS), of(k + 4, NUCLEI), of(k + 5, CODAS))
+    word = lambda k: F.when(roll(k, 3) == 0, syllables(k)).otherwise(of(k + 6, PARTS))
+    chosen = F.slice(F.array(*(word(10 * k) for k in range(1, 7))), 1, roll(1, 4) + 3)
+    camel = F.array_join(F.transform("w", F.initcap), "")
+    number = roll(2, 2000).cast("string")
+    styles = [
+        F.array_join("w", "_"), F.array_join("w", "-"), camel, F.concat(F.lower(F.substring(camel, 1, 1)), F.substring(camel, 2, 200)), F.upper(F.array_join("w", "_")), F.array_join("w", ""),
+        F.array_join("w", "/"), F.concat(F.lit("/usr/"), F.array_join("w", "/"), F.lit("/"), camel), F.concat(F.array_join("w", "_"), F.lit("_"), number), F.concat(F.lit("//www"), F.lit("/"), F.array_join("w", "/"), F.lit("/"), number, F.lit("/"), F.array_join("w", "-")),
+        F.concat(of(3, ["is", "get", "set", "has", "on", "k", "m_", "I", "_"]), camel), F.concat(F.upper(of(4, PARTS)), camel, number), F.concat(camel, F.lit("/"), F.array_join("w", "_")), F.array_join(F.transform("w", F.initcap), "-"),
+    ]
     ordinary = rows.select("id", chosen.alias("w")).select(F.lit(0).alias("label"), F.element_at(F.array(*styles), (F.col("id") % len(styles) + 1).cast("int")).alias("token"))
     return random.unionByName(ordinary)
 
@@ -95,18 +114,30 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> Markov:
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,match:string>>"
 
 
+#: Matches placed together; a text's places are carried from one such block to the next, so that time follows a text's matches.
+BLOCK = 128
+
+
 def spans(text: Column, pattern: str, kind: str, rank: int) -> Column:
     """The leftmost non-overlapping matches of ``pattern``: array of (start, rank, end, kind, match), code points, end exclusive."""
-    pieces = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    pieces = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda gap, match: F.struct(F.length(gap).alias("gap"), match.alias("match")))
+    none = F.array().cast(_SPAN)
 
     def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
+        begin = acc["at"] + x["gap"]
         end = begin + F.coalesce(F.length(x["match"]), F.lit(0))
         span = F.struct(begin.cast("int").alias("start"), F.lit(rank).alias("rank"), end.cast("int").alias("end"), F.lit(kind).alias("kind"), x["match"].alias("match"))
         return F.struct(end.cast("int").alias("at"), F.when(x["match"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span))).alias("out"))
 
-    return F.aggregate(pieces, start, step, lambda acc: acc["out"])
+    def block(acc: Column, some: Column) -> Column:
+        placed = F.aggregate(some, F.struct(acc["at"].alias("at"), none.alias("out")), step)
+        return let(placed, lambda p: F.struct(p["at"].alias("at"), F.concat(acc["out"], F.array(p["out"])).alias("out")))
+
+    def whole(p: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")), lambda k: F.slice(p, k * BLOCK + 1, BLOCK))
+        return F.flatten(F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out")), block)["out"])
+
+    return F.when(text.rlike(pattern), let(pieces, whole)).otherwise(none)
 
 
 def _long_enough(kind: str, least: int):
@@ -118,15 +149,13 @@ def base_spans(text: Column) -> Column:
     """The spans of the base kinds in order of start, then kind."""
     found = []
     for rank, (kind, pattern, least) in enumerate(KINDS):
-        kept = F.filter(spans(text, pattern, kind, rank), _long_enough(kind, least))
-        found.append(F.when(text.rlike(SIEVE[kind]), kept).otherwise(F.array().cast(_SPAN)))
+        found.append(F.filter(spans(text, pattern, kind, rank), _long_enough(kind, least)))
     return F.array_sort(F.concat(*found))
 
 
 def model_spans(text: Column, model: Markov, least_ratio: float = LEAST_RATIO) -> Column:
     """The spans of tokens that are likelier random than ordinary by ``least_ratio`` a transition."""
-    kept = F.filter(spans(text, TOKEN, "markov", len(KINDS)), lambda s: model.score(s["match"]) >= least_ratio)
-    return F.when(text.rlike(r"[A-Za-z0-9+/_-]{20}"), kept).otherwise(F.array().cast(_SPAN))
+    return F.filter(spans(text, TOKEN, "markov", len(KINDS)), lambda s: model.score(s["match"]) >= least_ratio)
 
 
 def with_secrets(docs: DataFrame, model: Markov | None = None, text_col: str = "text", out: str = "secret_spans") -> DataFrame:
