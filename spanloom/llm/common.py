@@ -18,6 +18,8 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: Rows and bytes of strings a broadcast side may have; beyond either the same join runs as a shuffle join.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
+#: Keys that can each hold more than this part of a table's rows.
+HOT_KEYS = 50_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,6 +48,21 @@ def small_side(df: DataFrame, rows: int, size: int = 0) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
+def join_hot(rows: DataFrame, facts: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
+    """``rows`` (``total`` of them) joined with ``facts``, a row a key, whose column ``n`` counts the rows of its key.
+
+    Keys with more than a fifty-thousandth of all rows are told to all tasks and meet their rows where those are; there are fewer
+    than 50,000 of them, whatever the data. The others meet by a shuffle, which no key can fill. ``n`` is left out.
+    """
+    most = max(1000, total // HOT_KEYS)
+    hot = stored(facts.filter(F.col(n) > most).drop(n), "hot")
+    if hot.isEmpty():
+        return rows.join(facts.drop(n), key)
+    hot = F.broadcast(hot)
+    rest = rows.join(hot.select(key), key, "left_anti").join(facts.filter(F.col(n) <= most).drop(n), key)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
     """Lets no Arrow batch of this session hold more rows or bytes than this: rows are whole texts, and a task holds a few batches."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, runs, small_side, stored, utf8
+from .common import id_text, join_hot, runs, small_side, stored, utf8
 from .graph import connected_components
 from .nearcopies import LEAST, near_copy_links, prints
 
@@ -288,12 +288,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     gives an empty result. Other columns are ignored.
     """
     fps = stored(fingerprints(docs, id_col, text_col, width).select("doc_id", F.col("fps")[0].alias("fp")), "simhash")
-    reps = fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    total = fps.count()
+    reps = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "reps")
     roots = connected_components(links(reps.select(F.lit(0).alias("table"), "fp"), radius).select("u", "v"))
-    rooted = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_fp = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    rooted = stored(reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("n_fps"))
+    by_fp = join_hot(rooted, least, "root", total, "n_fps").select("fp", "component_id", "n")
+    return join_hot(fps, by_fp, "fp", total).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
@@ -304,12 +305,16 @@ def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null ids take no part; empty and wordless texts are copies of one another.
     """
     rows = stored(prints(docs, id_col, text_col).filter("doc_id is not null"), "prints")
-    reps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "reps")
-    least_ids = reps.select("fp", "least_id")
-    near = near_copy_links(docs, reps, least, id_col, text_col)
-    edges = near.join(least_ids.toDF("u", "a"), "u").join(least_ids.toDF("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    copies = rows.select("doc_id", "fp").join(least_ids, "fp").filter("doc_id <> least_id").select(F.col("doc_id").alias("u"), F.col("least_id").alias("v"))
-    return connected_components(edges.unionByName(copies)).filter("node <> root").select(F.col("node").alias("doc_id"))
+    sets = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.count("*").alias("n"))
+    reps = stored(sets, "reps")
+    near = near_copy_links(docs, reps.drop("n"), least, id_col, text_col)
+    # components of sets first: copies of one set need no edge of their own
+    roots = connected_components(near)
+    rooted = stored(reps.select("fp", "least_id", "n").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    first = rooted.groupBy("root").agg(F.min("least_id").alias("kept_id"), F.count("*").alias("n_sets"))
+    total = rows.count()
+    by_set = join_hot(rooted, first, "root", total, "n_sets").select("fp", "kept_id", "n")
+    return join_hot(rows.select("doc_id", "fp"), by_set, "fp", total).filter("doc_id <> kept_id").select("doc_id").distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:

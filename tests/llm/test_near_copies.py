@@ -59,3 +59,31 @@ def test_full_buckets_lose_no_near_copy(spark, monkeypatch):
     df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
     got = {r["doc_id"] for r in near_duplicate_ids(df).collect()}
     assert got == {k for k, r in enumerate(root) if r != k}
+
+
+def test_a_bucket_read_in_pieces_stays_connected(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from spanloom.llm import nearcopies as n
+
+    monkeypatch.setattr(n, "PIECE", 16)
+    rng = np.random.default_rng(2)
+    centre = rng.integers(0, 256, n._HASHES, dtype=np.uint8)
+    keys = np.repeat([1, 2, 3, 4], [5, 170, 1, 40])
+    sketches = []
+    for _ in keys:
+        own = centre.copy()
+        own[rng.integers(0, n._HASHES, 4)] = rng.integers(0, 256, 4)
+        sketches.append(own.tobytes())
+    table = pa.table({"key": keys, "fp": np.arange(keys.size), "sketch": pa.array(sketches, pa.binary())})
+    root, full = list(range(keys.size)), set()
+    for batch in n._told(iter(table.to_batches(max_chunksize=10)), 0.6):
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            if v is None:
+                full.add(u)
+            elif root[u] != root[v]:
+                a, b = sorted((root[u], root[v]))
+                root = [a if r == b else r for r in root]
+    assert root == [0] * 5 + [5] * 170 + [175] + [176] * 40
+    assert full == set(np.flatnonzero((keys == 2) | (keys == 4)).tolist())
