@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def token_norm(text: Column) -> Column:
     """Upper case without parentheticals, only letters, digits and .'-#, single spaces, no outer dots or dashes."""
-    bare = F.regexp_replace(F.upper(text), r"\([^)]*\)", " ")
+    bare = F.regexp_replace(F.upper(text), r"\([^)]*\)", "")
     kept = F.regexp_replace(bare, r"[^A-Z0-9.'\- #]", " ")
     return F.btrim(F.regexp_replace(kept, r"\s+", " "), F.lit(" .-"))
 
@@ -19,10 +22,9 @@ def slug(text: Column) -> Column:
 
 
 def upper_share(text: Column) -> Column:
-    """The share of upper-case letters among ASCII letters; 0 without letters."""
-    upper = F.length(F.regexp_replace(text, "[^A-Z]", ""))
-    letters = F.length(F.regexp_replace(text, "[^A-Za-z]", ""))
-    return F.when(letters == 0, F.lit(0.0)).otherwise(upper / letters)
+    """The share of upper-case letters among all letters; 0 without letters."""
+    letters = F.regexp_count(text, F.lit(r"\p{L}"))
+    return F.when(letters == 0, F.lit(0.0)).otherwise(F.regexp_count(text, F.lit(r"\p{Lu}")) / letters)
 
 
 def word_tokens(text: Column) -> Column:
@@ -42,14 +44,113 @@ def season_episode(text: Column) -> Column:
     return F.struct(number(1).alias("season"), number(2).alias("episode"), number(3).alias("second_episode"))
 
 
+#: Fixed values of subtitle lines: tags, turn marks, a speaker prefix, whole-line sounds, music.
+TAG = r"<[^>]+>|\{\\[^}]*\}"
+TURN = r"^\s*(?:>>|[-–—])\s*"
+SPEAKER = r"^\s*([A-Z][A-Z0-9.'\-#]*(?:\s+[A-Z0-9#][A-Z0-9.'\-#]*){0,2})\s*(?:\([^)]*\))?\s*:\s*(.*)$"
+SOUND = r"^\s*(?:\([^)]*\)|\[[^\]]*\]|♪+.*♪*|\*[^*]*\*)\s*$"
+MUSIC = "[♪♫]"
+INVISIBLE = "[\u200b\ufeff]"
+
+
 def clean_line(text: Column) -> Column:
-    """struct(text, name, is_turn, is_sound) of a subtitle line: tags, marks, a leading NAME:, bracketed sounds and spare space taken off."""
-    bare = F.regexp_replace(F.regexp_replace(text, r"<[^>]*>|\{[^}]*\}", ""), "[​﻿]", "")
-    turn = bare.rlike(r"^\s*(?:>>|-\s?)")
-    body = F.regexp_replace(bare, r"^\s*(?:>>\s*|-\s?)", "")
-    pattern = r"^([A-Z][A-Z.'#-]*(?: [A-Z0-9.'#-]+){0,2})(?: ?\([^)]*\))?:\s*"
-    name = F.nullif(F.regexp_extract(body, pattern, 1), F.lit(""))
-    rest = F.regexp_replace(body, pattern, "")
-    sound = F.trim(rest).rlike(r"^(?:[(\[][^)\]]*[)\]]|[♪♫#].*)$")
-    words = F.trim(F.regexp_replace(F.regexp_replace(rest, r"\([^)]*\)|\[[^\]]*\]|[♪♫]", " "), r"\s+", " "))
+    """struct(text, name, is_turn, is_sound) of a subtitle line: tags, marks, a leading NAME: of two letters or more, bracketed sounds and
+    spare space taken off; a line that is only a sound, or music with fewer than three other characters, has no text."""
+    bare = F.btrim(F.regexp_replace(F.regexp_replace(F.btrim(text, F.lit(" \t\r\n")), TAG, ""), INVISIBLE, ""), F.lit(" \t\r\n"))
+    turn = bare.rlike(TURN)
+    body = F.regexp_replace(bare, TURN, "")
+    prefix = F.regexp_extract(body, SPEAKER, 1)
+    named = F.length(prefix) >= 2
+    name = F.when(named, F.btrim(F.regexp_replace(prefix, r"\s+", " "), F.lit(" .")))
+    rest = F.when(named, F.regexp_extract(body, SPEAKER, 2)).otherwise(body)
+    sound = (F.length(rest) > 0) & (rest.rlike(SOUND) | (rest.rlike(MUSIC) & (F.length(F.regexp_replace(rest, r"[♪♫\s]", "")) < 3)))
+    words = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(rest, r"\([^()]*\)", ""), r"\[[^\[\]]*\]", ""), r"\s+", " "))
     return F.struct(F.when(sound, F.lit("")).otherwise(words).alias("text"), name.alias("name"), turn.alias("is_turn"), sound.alias("is_sound"))
+
+
+def italic_lines(lines: DataFrame, keys: Sequence[str], order: str, text: str) -> DataFrame:
+    """``lines`` with is_italic: the line opens an italic tag, or an earlier line of its key opened one that is still open.
+
+    A line that opens and closes leaves the state as it was, one that only opens sets it, one that only closes ends it.
+    """
+    opens, closes = F.col(text).rlike(r"(?i)<i\b[^>]*>"), F.col(text).rlike(r"(?i)</i\s*>")
+    change = F.when(opens & ~closes, True).when(closes & ~opens, False)
+    before = F.last(change, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    return lines.withColumn("is_italic", opens | F.coalesce(before, F.lit(False)))
+
+
+def name_words(text: Column) -> Column:
+    """The runs of ASCII letters, in lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"), F.lit(1))
+
+
+#: Fixed value of on-screen place cards: a tribe, then day or night and its number.
+PLACE = r"^([A-Z][A-Z' .-]{1,30}?)\s*(?:TRIBE)?\s*[/|]?\s*(DAY|NIGHT)\s*(\d{1,2})\b"
+
+
+def location_card(lines: Column) -> Column:
+    """struct(tribe, kind, n) of an on-screen place card, its lines (array) in normal form and joined by a stroke; null if it is none."""
+    kept = F.filter(lines, lambda x: F.length(F.trim(x)) > 0)
+    joined = F.array_join(F.transform(kept, token_norm), " / ")
+    part = lambda k: F.regexp_extract(joined, PLACE, k)
+    return F.when(joined.rlike(PLACE), F.struct(F.trim(F.replace(part(1), F.lit(" TRIBE"), F.lit(""))).alias("tribe"), F.lower(part(2)).alias("kind"), part(3).cast("int").alias("n")))
+
+
+def contains_any(text: Column, parts: Sequence[str]) -> Column:
+    """Whether a text holds one of some lower-case parts, whatever its case; false for null."""
+    found = F.lit(False)
+    for part in parts:
+        found = found | F.coalesce(F.contains(F.lower(text), F.lit(part)), F.lit(False))
+    return found
+
+
+def int_list(text: Column) -> Column:
+    """The whole numbers of a comma-separated list; empty parts are left out."""
+    return F.transform(F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != ""), lambda x: x.cast("int"))
+
+
+def markdown_table(heads: Sequence[str], rows: Column, cells) -> Column:
+    """A markdown table of an array of structs; ``cells(row)`` gives a row's columns."""
+    line = lambda values: F.concat(F.lit("| "), F.concat_ws(" | ", *values), F.lit(" |"))
+    top = f"| {' | '.join(heads)} |\n|{'---|' * len(heads)}"
+    return F.concat_ws("\n", F.lit(top), F.transform(rows, lambda r: line([F.coalesce(c.cast("string"), F.lit("")) for c in cells(r)])))
+
+
+def _common(a: str, b: str) -> int:
+    """The length of the longest common subsequence, by bit-parallel rows."""
+    places: dict[str, int] = {}
+    for k, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << k
+    full = (1 << len(a)) - 1
+    row = full
+    for c in b:
+        hit = row & places.get(c, 0)
+        row = (row + hit | row - hit) & full
+    return len(a) - row.bit_count()
+
+
+def _ratio(a: str, b: str) -> float:
+    return 200.0 * _common(a, b) / (len(a) + len(b)) if a or b else 100.0
+
+
+def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else _ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+def _part(x: str, y: str) -> float:
+    short, long = sorted((x, y), key=len)
+    return max((_ratio(short, long[max(0, k) : k + len(short)]) for k in range(1 - len(short), len(long))), default=0.0 if long else 100.0)
+
+
+def _parts(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else _part(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+def indel_ratio(a: Column, b: Column) -> Column:
+    """100 times the share of characters that insertions and deletions leave of two texts; null for null."""
+    return F.pandas_udf(_ratios, "double")(a, b)
+
+
+def partial_ratio(a: Column, b: Column) -> Column:
+    """The best ratio of the shorter text with a stretch of the longer one of at most its length; null for null."""
+    return F.pandas_udf(_parts, "double")(a, b)

@@ -130,16 +130,3 @@ def undo(now: DataFrame, log: DataFrame, key: str, schema: str) -> DataFrame:
     last = log.groupBy(key).agg(F.max_by("previous", "at").alias("__p"))
     back = last.filter("__p is not null").select(F.from_json("__p", schema).alias("r")).select("r.*")
     return now.join(last.select(key), key, "left_anti").select(now.columns).unionByName(back.select(now.columns))
-
-
-def left_out(df: DataFrame, group: str, fit, score) -> DataFrame:
-    """Rows of every group scored by ``score(model, rows)`` with a model ``fit`` on all other groups; groups are few and looped over on the driver."""
-    groups = [r[0] for r in df.select(group).distinct().orderBy(group).limit(1001).collect()]
-    if len(groups) > 1000:
-        raise ValueError("more than 1000 groups to leave out")
-    found = None
-    for name in groups:
-        own = score(fit(df.filter(F.col(group) != F.lit(name))), df.filter(F.col(group) == F.lit(name)))
-        found = own if found is None else found.unionByName(own)
-    return found
-

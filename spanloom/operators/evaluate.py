@@ -1,7 +1,7 @@
 """Evaluation: rank statistics, error rates, thresholds, reliability. Bounded results from aggregates over counted scores.
 
-Equal scores are counted first, so the ordered step sees one row per distinct score. Its order is over all of them: the scores of an
-evaluation set, rounded, are few next to the corpus the decisions were made on.
+Equal scores are counted first, so the ordered step sees one row per distinct score, and it runs over ranges of scores that add up
+(``running``): no task holds all of them.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .relational import average_rank
+from .running import running
 
 
 def confusion(df: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -31,18 +31,16 @@ def _counted(df: DataFrame, score: str, hit: Column, weight: Column | None = Non
 
 def auc(df: DataFrame, score: str, hit: Column) -> DataFrame:
     """One row (auc, n_pos, n_neg): the chance that a positive scores above a negative, ties half; null if a class is empty."""
-    below = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = _counted(df, score, hit).withColumn("under", F.coalesce(F.sum("neg").over(below), F.lit(0.0)))
-    sums = ranked.agg(F.sum(F.col("pos") * (F.col("under") + F.col("neg") / 2)).alias("u"), F.sum("pos").alias("p"), F.sum("neg").alias("q"))
+    ranked = running(_counted(df.filter(F.col(score).isNotNull()), score, hit), "s", {"upto": "neg"})
+    sums = ranked.agg(F.sum(F.col("pos") * (F.col("upto") - F.col("neg") / 2)).alias("u"), F.sum("pos").alias("p"), F.sum("neg").alias("q"))
     return sums.select((F.col("u") / F.nullif(F.col("p") * F.col("q"), F.lit(0.0))).alias("auc"), F.col("p").cast("long").alias("n_pos"), F.col("q").cast("long").alias("n_neg"))
 
 
 def eer(df: DataFrame, score: str, hit: Column) -> DataFrame:
     """One row (eer, threshold): where the shares of missed positives and of let-in negatives are closest, and their mean."""
-    upto = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    counted = _counted(df, score, hit)
+    counted = _counted(df.filter(F.col(score).isNotNull()), score, hit)
     totals = counted.agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
-    curve = counted.withColumns({"tp": F.sum("pos").over(upto), "fp": F.sum("neg").over(upto)}).crossJoin(F.broadcast(totals))  # one row
+    curve = running(counted, "s", {"tp": "pos", "fp": "neg"}, descending=True).crossJoin(F.broadcast(totals))  # one row
     rates = curve.select("s", (1 - F.col("tp") / F.col("p")).alias("frr"), (F.col("fp") / F.col("q")).alias("far"))
     best = rates.agg(F.min(F.struct(F.round(F.abs(F.col("frr") - F.col("far")), 9).alias("gap"), (-F.col("s")).alias("minus"), ((F.col("frr") + F.col("far")) / 2).alias("eer"))).alias("b"))
     return best.select(F.col("b.eer").alias("eer"), (-F.col("b.minus")).alias("threshold"))
@@ -50,8 +48,7 @@ def eer(df: DataFrame, score: str, hit: Column) -> DataFrame:
 
 def precision_threshold(df: DataFrame, score: str, hit: Column, target: float, weight: Column | None = None) -> DataFrame:
     """One row (threshold): the least score down to which the weighted precision from the top is at least ``target``; 1.0 if none."""
-    upto = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    curve = _counted(df, score, hit, weight).withColumns({"tp": F.sum("pos").over(upto), "fp": F.sum("neg").over(upto)})
+    curve = running(_counted(df.filter(F.col(score).isNotNull()), score, hit, weight), "s", {"tp": "pos", "fp": "neg"}, descending=True)
     return curve.agg(F.coalesce(F.min(F.when(F.col("tp") / (F.col("tp") + F.col("fp")) >= target, F.col("s"))), F.lit(1.0)).alias("threshold"))
 
 
@@ -66,16 +63,36 @@ def reliability(df: DataFrame, p: str, hit: Column, edges: Sequence[float]) -> D
 
 
 def bottom_share(df: DataFrame, score: str, key: str, hit: Column, shares: Sequence[float]) -> DataFrame:
-    """(share, n, wrong, captured): how many of the wrong are among the lowest-scored share of all rows, equals by key."""
-    ranked = df.select(F.col(score).alias("s"), F.col(key).alias("k"), (~hit).cast("int").alias("wrong")).withColumn("place", F.row_number().over(Window.orderBy("s", "k")))
-    total = ranked.agg(F.count("*").alias("all_n"), F.sum("wrong").alias("all_wrong"))
-    steps = ranked.sparkSession.createDataFrame([(float(x),) for x in shares], "share double")
-    limits = F.broadcast(steps).crossJoin(total).select("share", "all_wrong", F.floor(F.col("all_n") * F.col("share")).alias("n"))  # a row a share
-    return ranked.join(F.broadcast(limits), F.col("place") <= F.col("n")).groupBy("share", "n", "all_wrong").agg(F.sum("wrong").alias("wrong")).select("share", "n", "wrong", (F.col("wrong") / F.greatest(F.col("all_wrong"), F.lit(1))).alias("captured"))
+    """(share, n, wrong, captured): how many of the wrong are among the lowest-scored share of all rows, equals by (numeric) key.
+
+    Whole scores are counted; only the rows of the score at which a share ends are ordered by key.
+    """
+    rows = df.select(F.col(score).alias("s"), F.col(key).alias("k"), (~hit).cast("long").alias("wrong")).filter("s is not null")
+    counted = running(rows.groupBy("s").agg(F.count("*").alias("n"), F.sum("wrong").alias("w")), "s", {"upto": "n", "w_upto": "w"})
+    total = counted.agg(F.max("upto").alias("all_n"), F.max("w_upto").alias("all_wrong"))
+    steps = df.sparkSession.createDataFrame([(float(x),) for x in shares], "share double")
+    limits = F.broadcast(steps.crossJoin(total).withColumn("end", F.floor(F.col("all_n") * F.col("share"))))  # a row a share
+    whole = counted.join(limits, F.col("upto") <= F.col("end")).groupBy("share").agg(F.max("w_upto").alias("below"))
+    split = counted.join(limits, (F.col("upto") > F.col("end")) & (F.col("upto") - F.col("n") < F.col("end"))).select("share", F.col("s"), (F.col("end") - F.col("upto") + F.col("n")).alias("more"))
+    at_end = rows.join(F.broadcast(split), "s").groupBy("k", "share", "more").agg(F.count("*").alias("n"), F.sum("wrong").alias("w"))
+    found = limits.join(whole, "share", "left").withColumn("wrong", F.coalesce("below", F.lit(0)))
+    for share in shares:  # a few
+        placed = running(at_end.filter(F.col("share") == float(share)), "k", {"upto": "n"})
+        # several rows of the last key: those within the limit, the wrong ones last
+        extra = placed.filter("upto - n < more").agg(F.coalesce(F.sum(F.when(F.col("upto") <= F.col("more"), F.col("w")).otherwise(F.greatest(F.lit(0), F.col("w") - (F.col("upto") - F.col("more"))))), F.lit(0)).alias("__x"))
+        found = found.crossJoin(F.broadcast(extra)).withColumn("wrong", F.col("wrong") + F.when(F.col("share") == float(share), F.col("__x")).otherwise(0)).drop("__x")  # one row
+    return found.select("share", F.col("end").alias("n"), "wrong", (F.col("wrong") / F.greatest(F.col("all_wrong"), F.lit(1))).alias("captured"))
 
 
 def spearman_mae(df: DataFrame, a: str, b: str) -> DataFrame:
-    """One row (rho, mae, n): the correlation of average ranks, null for fewer than three rows, and the ranks' mean distance."""
-    ranked = df.select(average_rank([], a).alias("a"), average_rank([], b).alias("b"))
-    rho = F.when(F.count("*") >= 3, F.round(F.corr("a", "b"), 6))
-    return ranked.agg(rho.alias("rho"), F.round(F.avg(F.abs(F.col("a") - F.col("b"))), 2).alias("mae"), F.count("*").alias("n"))
+    """One row (rho, mae, n): the correlation of average ranks, null for fewer than three rows, and the ranks' mean distance.
+
+    Rows are counted by pair of values, so that no value is a task's work; a value's average rank follows from the rows up to it.
+    """
+    pairs = df.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null").groupBy("a", "b").agg(F.count("*").alias("n"))
+    ranks = {c: running(pairs.groupBy(c).agg(F.sum("n").alias("__n")), c, {"__upto": "__n"}).select(c, (F.col("__upto") - (F.col("__n") - 1) / 2).alias(f"r{c}")) for c in ("a", "b")}
+    ranked = pairs.join(ranks["a"], "a").join(ranks["b"], "b")
+    n, x, y = F.sum("n"), F.sum(F.col("n") * F.col("ra")), F.sum(F.col("n") * F.col("rb"))
+    xy, xx, yy = (F.sum(F.col("n") * F.col(u) * F.col(v)) for u, v in (("ra", "rb"), ("ra", "ra"), ("rb", "rb")))
+    rho = (xy - x * y / n) / F.nullif(F.sqrt((xx - x * x / n) * (yy - y * y / n)), F.lit(0.0))
+    return ranked.agg(F.when(n >= 3, F.round(rho, 6)).alias("rho"), F.round(F.sum(F.col("n") * F.abs(F.col("ra") - F.col("rb"))) / n, 2).alias("mae"), F.coalesce(n, F.lit(0)).alias("n"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -60,3 +61,71 @@ def fit_logistic(df: DataFrame, features: Sequence[str], label: str, l2: float =
         if np.abs(move).max() < tolerance:
             break
     return Logistic(features, mean, sd, beta[1:].tolist(), float(beta[0]))
+
+
+def left_out_scores(df: DataFrame, group: str, features: Sequence[str], label: str, l2: float = 1.0, steps: int = 50, tolerance: float = 1e-7, out: str = "p") -> DataFrame:
+    """``df`` with ``out``: each row's probability by the model fitted on the rows of all other groups; null where those have one label only.
+
+    All groups' models take their Newton steps together: a step is one aggregate over the rows, each counted for the other
+    groups. There may be 1,000 groups (and no more: their coefficients are sent to the tasks).
+    """
+    features = list(features)
+    d = len(features) + 1
+    x = [F.col(f).cast("double") for f in features]
+    per = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("double")).alias("y"), *(F.sum(c).alias(f"s{k}") for k, c in enumerate(x)), *(F.sum(c * c).alias(f"q{k}") for k, c in enumerate(x)), *(F.count(c).alias(f"n{k}") for k, c in enumerate(x)))
+    rows = per.orderBy(group).limit(1001).collect()
+    if len(rows) > 1000:
+        raise ValueError("more than 1000 groups to leave out")
+    total = lambda name: np.array([r[name] or 0 for r in rows], np.float64)
+    rest = lambda name: total(name).sum() - total(name)
+    usable = [k for k, (n, y) in enumerate(zip(rest("n"), rest("y"), strict=True)) if 0 < y < n]
+    mean = np.array([rest(f"s{k}") / np.maximum(rest(f"n{k}"), 1) for k in range(d - 1)]).reshape(d - 1, len(rows))
+    sd = np.sqrt(np.maximum(np.array([rest(f"q{k}") / np.maximum(rest(f"n{k}"), 1) for k in range(d - 1)]).reshape(d - 1, len(rows)) - mean**2, 0))
+    sd[sd < 1e-9] = 1.0
+    beta, ridge = np.zeros((len(rows), d)), np.diag([0.0] + [l2] * (d - 1))
+    spark = df.sparkSession
+    name_type = df.schema[group].dataType.simpleString()
+
+    def models(which: list[int]) -> DataFrame:
+        made = [(rows[k][group], mean[:, k].tolist(), sd[:, k].tolist(), beta[k].tolist()) for k in which]
+        return F.broadcast(spark.createDataFrame(made, f"__g {name_type}, __m array<double>, __s array<double>, __b array<double>"))
+
+    def linear() -> tuple[list[Column], Column]:
+        z = [F.lit(1.0)] + [(F.coalesce(c, F.col("__m")[k]) - F.col("__m")[k]) / F.col("__s")[k] for k, c in enumerate(x)]
+        return z, sum((F.col("__b")[k] * v for k, v in enumerate(z)), F.lit(0.0))
+
+    open_ = list(usable)
+    pairs = [(a, b) for a in range(d) for b in range(a, d)]
+    for _ in range(steps if usable else 0):
+        both = df.join(models(open_), F.col(group) != F.col("__g"))  # each row for the other groups: the models are few and broadcast
+        z, score = linear()
+        own = both.select("__g", F.array(*z).alias("z"), F.col(label).cast("double").alias("y"), sigmoid(score).alias("p")).withColumns({"g": F.col("y") - F.col("p"), "h": F.col("p") * (1 - F.col("p"))})
+        sums = own.groupBy("__g").agg(*(F.sum(F.col("g") * F.col("z")[k]).alias(f"g{k}") for k in range(d)), *(F.sum(F.col("h") * F.col("z")[a] * F.col("z")[b]).alias(f"h{a}_{b}") for a, b in pairs))
+        found = {r["__g"]: r for r in sums.collect()}  # a row a group
+        still = []
+        for k in open_:
+            r = found[rows[k][group]]
+            gradient = np.array([r[f"g{j}"] for j in range(d)]) - ridge @ beta[k]
+            hessian = ridge.copy()
+            for a, b in pairs:
+                hessian[a, b] += r[f"h{a}_{b}"]
+                hessian[b, a] = hessian[a, b]
+            move = np.linalg.solve(hessian + 1e-9 * np.eye(d), gradient)
+            beta[k] += move
+            if np.abs(move).max() >= tolerance:
+                still.append(k)
+        open_ = still
+        if not open_:
+            break
+    _, score = linear()
+    return df.join(models(usable), F.col(group) == F.col("__g"), "left").select(*df.columns, F.when(F.col("__g").isNotNull(), sigmoid(score)).alias(out))
+
+
+def to_json(model: Logistic) -> str:
+    """The model as JSON."""
+    return json.dumps(asdict(model))
+
+
+def from_json(text: str) -> Logistic:
+    """The model that ``to_json`` wrote."""
+    return Logistic(**json.loads(text))

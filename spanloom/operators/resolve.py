@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from difflib import SequenceMatcher
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.functions.text import indel_ratio, name_words, partial_ratio
+
 
 def with_borrowed(members: DataFrame, owned: DataFrame, member: str, group: str, value: str, order: Sequence[Column]) -> DataFrame:
     """(member, value, borrowed): the member's best own value, else the best one any member of its group has; null if none has."""
@@ -51,10 +55,68 @@ def fuzzy_unique(tokens: DataFrame, names: DataFrame, token: str, name: str, dis
     return best.filter("d = 0 or n = 1").select(token, F.col(f"b.{name}").alias(name), F.col("d").alias("distance"))
 
 
-def mentions(texts: DataFrame, key: str, words: Column, names: DataFrame, name: str) -> DataFrame:
-    """(key, name, n): whole-word mentions of one-word names, by an equi-join on the words."""
-    tokens = texts.select(key, F.explode(words).alias(name)).groupBy(key, name).agg(F.count("*").alias("n"))
-    return tokens.join(names.select(name).distinct(), name).select(key, name, "n")
+def fuzzy_best(tokens: DataFrame, names: DataFrame, token: str, name: str, least: float = 85.0, hint: str | None = None) -> DataFrame:
+    """(token, name, score): the name with the best ratio of at least ``least`` (equals: the least name), else the only one within one edit, at ``least``.
+
+    Two texts with a ratio over 60 share a pair of neighbouring characters, ends marked, so candidates come from an equi-join on
+    those. ``hint`` names a column of both sides: where one's hint is in the other's to 80 or more, a score under 100 rises by 5.
+    """
+    marked = lambda c: F.concat(F.lit("^"), c, F.lit("$"))
+    pairs_of = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(marked(c)) - 1), lambda i: F.substring(marked(c), i, F.lit(2)))))
+    left, right = tokens.select(token, *([F.col(hint).alias("__h")] if hint else [])).distinct(), names.select(name, *([F.col(hint).alias("__o")] if hint else [])).distinct()
+    near = left.select("*", pairs_of(F.col(token)).alias("__g")).join(right.select("*", pairs_of(F.col(name)).alias("__g")), "__g").drop("__g").distinct()
+    scored = near.withColumn("score", F.when(F.col(token) == F.col(name), 100.0).otherwise(indel_ratio(token, name))).filter(F.col("score") >= least)
+    if hint:
+        helped = (F.col("score") < 100) & (F.length("__o") > 0) & (partial_ratio(F.coalesce("__o", F.lit("")), F.coalesce("__h", F.lit(""))) >= 80)
+        scored = scored.withColumn("score", F.when(helped, F.least(F.lit(100.0), F.col("score") + 5)).otherwise(F.col("score")))
+    best = scored.groupBy(token).agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col(name))).alias("b")).select(token, F.col(f"b.{name}").alias(name), (-F.col("b.minus")).alias("score"))
+    rest = tokens.select(token).distinct().join(best, token, "left_anti")
+    return best.unionByName(fuzzy_unique(rest, names, token, name).select(token, name, F.lit(float(least)).alias("score")))
+
+
+def mentions(texts: DataFrame, key: str, text: str, names: DataFrame, who: str, name: str) -> DataFrame:
+    """(key, who, n): how often a text names someone, as whole words in any case; the longest of someone's names counts at a place.
+
+    ``names`` has a row per person and name, of one word or several. A name's first run of letters must be a run of the text, so
+    candidates come from an equi-join on runs; what is left is one pattern a person, matched on the text.
+    """
+    known = names.select(who, F.trim(F.lower(F.col(name))).alias("__n")).filter(F.length("__n") >= 2).distinct()
+    first = F.get(name_words(F.col("__n")), F.lit(0)).alias("__w")
+    quoted = F.transform(F.reverse(F.array_sort(F.collect_set(F.struct(F.length("__n").alias("l"), F.col("__n").alias("n"))))), lambda x: F.regexp_replace(x["n"], r"([^A-Za-z0-9 ])", r"\\$1"))
+    patterns = known.groupBy(who).agg(F.concat(F.lit("(?i)(?<![A-Za-z'])(?:"), F.array_join(quoted, "|"), F.lit(")(?![A-Za-z])")).alias("__p"))
+    runs = texts.select(key, F.explode(F.array_distinct(name_words(F.col(text)))).alias("__w"))
+    asked = runs.join(known.select(who, first).distinct(), "__w").select(key, who).distinct()
+    counted = texts.select(key, text).join(asked, key).join(patterns, who).withColumn("n", F.regexp_count(F.col(text), F.col("__p")))
+    return counted.filter("n > 0").select(key, who, F.col("n").cast("long").alias("n"))
+
+
+def ordered_blocks(pairs: DataFrame, key: str, a_words: str, b_words: str, least: int = 3) -> DataFrame:
+    """(key, a_at, b_at, n): the matching blocks of two word lists of a row, in order and without crossing, of ``least`` words or more.
+
+    A row's lists are an episode's words; blocks are the longest common run, then those before and after it. Rows are worked on
+    in Arrow batches, one list a time in memory.
+    """
+
+    def made(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            found = []
+            for name, a, b in zip(pdf[key], pdf[a_words], pdf[b_words], strict=True):
+                blocks = SequenceMatcher(None, list(a), list(b), autojunk=False).get_matching_blocks()
+                found += [(name, x.a, x.b, x.size) for x in blocks if x.size >= least]
+            yield pd.DataFrame(found, columns=[key, "a_at", "b_at", "n"])
+
+    own = pairs.filter((F.size(a_words) > 0) & (F.size(b_words) > 0)).select(key, a_words, b_words)
+    return own.mapInPandas(made, f"{key} {pairs.schema[key].dataType.simpleString()}, a_at long, b_at long, n long")
+
+
+def anchored_times(blocks: DataFrame, key: str, cues: DataFrame, words: DataFrame, cue: str, at: str, start: str, end: str) -> DataFrame:
+    """(key, cue, t0, t1): the times of a cue's first and last word, where a block of ``ordered_blocks`` holds that word.
+
+    ``cues`` has (key, at, cue, is_first, is_last) a word, ``words`` (key, at, start, end).
+    """
+    spread = blocks.select(key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k"), "a_at", "b_at").select(key, (F.col("a_at") + F.col("k")).alias(at), (F.col("b_at") + F.col("k")).alias("__b"))
+    timed = spread.join(words.select(key, F.col(at).alias("__b"), start, end), [key, "__b"])
+    return cues.join(timed, [key, at]).groupBy(key, cue).agg(F.min(F.when(F.col("is_first"), F.col(start))).alias("t0"), F.max(F.when(F.col("is_last"), F.col(end))).alias("t1")).filter("t0 is not null or t1 is not null")
 
 
 def shared_blocks(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_words: Column, b_words: Column, width: int) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import running
+
 
 def ordered(keys: Sequence[str], order: Sequence[str]):
     """The window of a key's rows in order."""
@@ -53,92 +56,138 @@ def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
     return zoned.withColumn(out, F.last(value, ignorenulls=True).over(span)).withColumn(inherited, F.col(out).isNotNull() & F.col(value).isNull()).drop("__zone")
 
 
-def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Rows that ``step`` makes of each key's rows in order: for rules whose state depends on all before. A key is one task's work."""
-
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        return step(group.sort_values(list(order), kind="stable", ignore_index=True))
-
-    return df.groupBy(*keys).applyInPandas(one, schema)
-
-
-def _units(group: pd.DataFrame, start: str, end: str, joins: Callable[[dict, float, float], bool]) -> Iterator[dict]:
-    unit: dict | None = None
-    for a, b in zip(group[start].tolist(), group[end].tolist(), strict=True):
-        if unit is not None and joins(unit, a, b):
-            unit["end"], unit["n"] = max(unit["end"], b), unit["n"] + 1
-        else:
-            if unit is not None:
-                yield unit
-            unit = {"start": a, "end": b, "n": 1}
-    if unit is not None:
-        yield unit
-
+#: Arrow types of the columns a rule makes.
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string()}
 
-def merge_capped(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, low: int, high: int, cap: int, key_schema: str) -> DataFrame:
-    """Units (keys, unit_start, unit_end, n): a row joins the open unit if its gap to the unit's end is in [low, high] and the unit would not get longer than cap."""
-    keys = list(keys)
 
-    def step(group: pd.DataFrame) -> pd.DataFrame:
-        found = list(_units(group, start, end, lambda u, a, b: low <= a - u["end"] <= high and b - u["start"] <= cap))
-        return pd.DataFrame({**{k: [group[k].iloc[0]] * len(found) for k in keys}, "unit_start": [u["start"] for u in found], "unit_end": [u["end"] for u in found], "n": [u["n"] for u in found]})
+def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], step: Callable[[Iterator[tuple]], Iterable[tuple]], out: str) -> DataFrame:
+    """(keys, ``out``): what ``step`` makes of the stream of each key's ``values`` in order, for rules whose state depends on all before.
 
-    return fold(df.select(*keys, *dict.fromkeys([*order, start, end])), keys, order, step, f"{key_schema}, unit_start long, unit_end long, n long")
+    Rows are sorted by Spark and pass through ``step`` one by one, so a task holds a batch and the rule's state, however long a
+    key is; a key is still one task's work.
+    """
+    keys, values = list(keys), list(values)
+    width = len(keys)
+    fresh = [x.strip().split(" ") for x in out.split(",")]
+    schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys), *(f"`{c}` {kind}" for c, kind in fresh)])
+    names = [*keys, *(c for c, _ in fresh)]
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: dict[str, pa.DataType] = {}
+        found: list[tuple] = []
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                given.update(zip(batch.schema.names, batch.schema.types, strict=True))
+                yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+        def batch_of(some: list[tuple]) -> pa.RecordBatch:
+            kinds = [*(given[k] for k in keys), *(ARROW.get(kind) or given[c] for c, kind in fresh)]
+            return pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*some, strict=True), kinds, strict=True)], names=names)
+
+        for key, group in groupby(rows(), key=lambda r: r[:width]):
+            found += [(*key, *row) for row in step(r[width:] for r in group)]
+            if len(found) >= 10_000:
+                yield batch_of(found)
+                found = []
+        if found:
+            yield batch_of(found)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).select(*keys, *values).mapInArrow(made, schema)
+
+
+def _units(rows: Iterator[tuple], joins: Callable[[int, int, int, int], bool]) -> Iterator[tuple]:
+    """(start, end, n) of units of rows (start, end); ``joins(unit start, unit end, row start, row end)`` says whether a row goes on the open unit."""
+    start = end = n = None
+    for a, b in rows:
+        if n and joins(start, end, a, b):
+            end, n = max(end, b), n + 1
+            continue
+        if n:
+            yield start, end, n
+        start, end, n = a, b, 1
+    if n:
+        yield start, end, n
+
+
+def merge_capped(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, low: int, high: int, cap: int) -> DataFrame:
+    """Units (keys, unit_start, unit_end, n): a row joins the open unit if its gap to the unit's end is in [low, high] and the unit would not get longer than cap.
+
+    Rows without a start or end are left out.
+    """
+    timed = df.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+    return fold(timed, keys, order, [start, end], lambda rows: _units(rows, lambda s, e, a, b: low <= a - e <= high and b - s <= cap), "unit_start long, unit_end long, n long")
 
 
-def dedupe_anchored(df: DataFrame, keys: Sequence[str], order: Sequence[str], at: str, score: str, horizon: int, key_schema: str) -> DataFrame:
-    """Kept rows (keys, at, last, best, n): a row within ``horizon`` of the first of the kept one's rows folds into it; the anchor doesn't move."""
-    keys = list(keys)
+def dedupe_anchored(df: DataFrame, keys: Sequence[str], order: Sequence[str], at: str, score: str, horizon: int) -> DataFrame:
+    """Kept rows (keys, at, last, best, n): a row within ``horizon`` of the first of the kept one's rows folds into it; the anchor doesn't move.
 
-    def step(group: pd.DataFrame) -> pd.DataFrame:
-        kept: list[list] = []
-        for t, s in zip(group[at].tolist(), group[score].tolist(), strict=True):
-            if kept and t - kept[-1][0] <= horizon:
-                kept[-1][1], kept[-1][2], kept[-1][3] = t, max(kept[-1][2], s), kept[-1][3] + 1
-            else:
-                kept.append([t, t, s, 1])
-        return pd.DataFrame({**{k: [group[k].iloc[0]] * len(kept) for k in keys}, "at": [x[0] for x in kept], "last": [x[1] for x in kept], "best": [x[2] for x in kept], "n": [x[3] for x in kept]})
+    Rows without a time are left out; a missing score counts as none.
+    """
 
-    return fold(df.select(*keys, *dict.fromkeys([*order, at, score])), keys, order, step, f"{key_schema}, at long, last long, best double, n long")
+    def step(rows: Iterator[tuple]) -> Iterator[tuple]:
+        kept: list | None = None
+        for t, s in rows:
+            if kept and t - kept[0] <= horizon:
+                kept[1], kept[2], kept[3] = t, max((x for x in (kept[2], s) if x is not None), default=None), kept[3] + 1
+                continue
+            if kept:
+                yield tuple(kept)
+            kept = [t, t, s, 1]
+        if kept:
+            yield tuple(kept)
 
+    return fold(df.filter(F.col(at).isNotNull()), keys, order, [at, score], step, "at long, last long, best double, n long")
 
-def changes_only(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, least: float, schema: str) -> DataFrame:
-    """The rows whose value is at least ``least`` away from the last kept row's."""
 
-    def step(group: pd.DataFrame) -> pd.DataFrame:
-        keep, last = [], None
-        for v in group[value].tolist():
-            hit = last is None or abs(v - last) >= least
-            keep.append(hit)
-            last = v if hit else last
-        return group[keep]
+def changes_only(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, least: float) -> DataFrame:
+    """The rows whose value is at least ``least`` away from the last kept row's; rows without a value are left out."""
+    others = [c for c in df.columns if c not in keys]
+    place = others.index(value)
 
-    return fold(df, keys, order, step, schema)
+    def step(rows: Iterator[tuple]) -> Iterator[tuple]:
+        last = None
+        for row in rows:
+            if last is None or abs(row[place] - last) >= least:
+                last = row[place]
+                yield row
 
+    out = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in others)
+    return fold(df.filter(F.col(value).isNotNull()), keys, order, others, step, out).select(df.columns)
 
-def scenes(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, gap: int, span: int, key_schema: str) -> DataFrame:
-    """Units (keys, unit_start, unit_end, n): a new one begins after a gap of more than ``gap`` or if the unit would span more than ``span``."""
-    keys = list(keys)
 
-    def step(group: pd.DataFrame) -> pd.DataFrame:
-        found = list(_units(group, start, end, lambda u, a, b: a - u["end"] <= gap and b - u["start"] <= span))
-        return pd.DataFrame({**{k: [group[k].iloc[0]] * len(found) for k in keys}, "unit_start": [u["start"] for u in found], "unit_end": [u["end"] for u in found], "n": [u["n"] for u in found]})
+def scenes(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, gap: int, span: int) -> DataFrame:
+    """Units (keys, unit_start, unit_end, n): a new one begins after a gap of more than ``gap`` or if the unit would span more than ``span``.
 
-    return fold(df.select(*keys, *dict.fromkeys([*order, start, end])), keys, order, step, f"{key_schema}, unit_start long, unit_end long, n long")
+    A gap before a row always ends a unit, so a key's rows are first cut there, by a window, and each stretch is folded by itself: a
+    long key is as many tasks' work as it has stretches. Rows without a start or end are left out.
+    """
+    timed = df.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+    at = ordered(keys, order)
+    reach = F.max(end).over(at.rowsBetween(Window.unboundedPreceding, -1))
+    cut = islands(timed.withColumn("__reach", reach), keys, order, F.col(start) - F.col("__reach") > gap, "__stretch")
+    found = fold(cut, [*keys, "__stretch"], order, [start, end], lambda rows: _units(rows, lambda s, e, a, b: a - e <= gap and b - s <= span), "unit_start long, unit_end long, n long")
+    return found.drop("__stretch")
 
 
-def bursts(df: DataFrame, at: str, who: str, window: int, least: int, day: int = 86_400_000_000) -> DataFrame:
+def bursts(df: DataFrame, at: str, who: str, window: int, least: int) -> DataFrame:
     """``df`` with in_burst: whether some row's forward window of ``window`` that holds ``least`` or more distinct ``who`` covers it.
 
-    All rows are one timeline, cut into stretches of ``day`` (longer than the window): each stretch also gets the rows that
-    windows from or into its neighbours need.
+    The distinct ``who`` in [t, t + window] are those with a row there, so each ``who``'s stretches [row - window, row] are united and the
+    starts up to t less the ends before t are counted: running sums over distinct times, no set of any window is built. A row
+    without a time or ``who`` is in no burst.
     """
-    piece = F.floor(F.col(at) / day)
-    spread = df.withColumn("__own", piece).withColumn("__piece", F.explode(F.array_distinct(F.array(piece, F.floor((F.col(at) - 2 * window) / day), F.floor((F.col(at) + window) / day)))))
-    ahead = Window.partitionBy("__piece").orderBy(at).rangeBetween(0, window)
-    back = Window.partitionBy("__piece").orderBy(at).rangeBetween(-window, 0)
-    marked = spread.withColumn("__burst", (F.size(F.collect_set(who).over(ahead)) >= least).cast("int")).withColumn("in_burst", F.max("__burst").over(back) == 1)
-    return marked.filter("__piece = __own").select(*df.columns, "in_burst")
+    known = df.filter(F.col(at).isNotNull() & F.col(who).isNotNull()).select(F.col(who).alias("__w"), F.col(at).alias("__b"), (F.col(at) - window).alias("__a")).distinct()
+    united = interval_union(known, ["__w"], "__a", "__b")
+    begun = united.groupBy(F.col("__a").alias("__t")).agg(F.count("*").alias("n"))
+    over = united.groupBy((F.col("__b") + 1).alias("__t")).agg((-F.count("*")).alias("n"))
+    anchors = known.select(F.col("__b").alias("__t"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("__anchor")).distinct()
+    steps = begun.unionByName(over).unionByName(anchors, allowMissingColumns=True).groupBy("__t").agg(F.sum("n").alias("n"), F.max("__anchor").alias("__anchor"))
+    counted = running(steps, "__t", {"__there": "n"})
+    # the last anchor of a burst at or before a time
+    opened = counted.filter("__anchor").withColumn("__open", F.when(F.col("__there") >= least, F.col("__t")))
+    last = running(opened, "__t", {"__last": "__open"}, F.max).filter(F.col("__last") >= F.col("__t") - window).select(F.col("__t").alias(at), F.lit(True).alias("__hit"))
+    return df.join(last, at, "left").select(*df.columns, (F.coalesce("__hit", F.lit(False)) & F.col(who).isNotNull()).alias("in_burst"))
 
 
 def interval_union(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:

@@ -16,8 +16,18 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.vectors import dot, unit
 
-#: Rows of the other side compared at once with a batch in a blocked search.
-BLOCK = 2048
+#: Rows a table of profiles, sent to every task, may have.
+MOST_LABELS = 200_000
+#: Items and queries of a block of a blocked search; a task holds a block's queries and streams its items.
+BLOCK_ITEMS, BLOCK_QUERIES = 65_536, 4_096
+
+
+def _small_table(table: DataFrame, what: str) -> list:
+    """The rows of a table with a row a label, once it is known to have no more than MOST_LABELS."""
+    rows = table.limit(MOST_LABELS + 1).collect()
+    if len(rows) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} {what} for a matrix in every task")
+    return rows
 
 
 def weighted_sums(df: DataFrame, keys: Sequence[str], vector: str, weight: Column | None = None) -> DataFrame:
@@ -41,9 +51,7 @@ def rank_profiles(items: DataFrame, key: str, vector: str, profile_table: DataFr
     are scored a batch at a time.
     """
     spark = items.sparkSession
-    rows = profile_table.select(label, profile).orderBy(label).collect()
-    if len(rows) > 200_000:
-        raise ValueError("too many profiles for a broadcast matrix; use nearest_in_blocks")
+    rows = _small_table(profile_table.select(label, profile).orderBy(label), "profiles")
     names = [r[0] for r in rows]
     matrix = spark.sparkContext.broadcast(np.array([r[1] for r in rows], np.float64))
     key_type, label_type = items.schema[key].dataType.simpleString(), profile_table.schema[label].dataType.simpleString()
@@ -67,6 +75,12 @@ def rank_profiles(items: DataFrame, key: str, vector: str, profile_table: DataFr
     return items.select(key, vector).filter(F.col(vector).isNotNull()).mapInArrow(scored, f"{key} {key_type}, rank_no int, {label} {label_type}, score double")
 
 
+def label_scores(items: DataFrame, key: str, vector: str, label: str, profile_table: DataFrame, profile: str, digits: int = 6) -> DataFrame:
+    """(key, score): each item's inner product with the profile of the one label it names; null if the label has none."""
+    own = profile_table.select(label, F.col(profile).alias("__p"))
+    return items.select(key, label, vector).join(own, label, "left").select(key, F.round(dot(F.col(vector), F.col("__p")), digits).alias("score"))
+
+
 def decide(ranked: DataFrame, key: str, label: str, accept: float = 0.55, margin: float = 0.08, floor: float = 0.35) -> DataFrame:
     """(key, label, top1, top2, decision): below the floor no_candidate, accepted with a margin auto, else low_margin. Without a second candidate top2 is -1."""
     best = ranked.groupBy(key).agg(
@@ -84,7 +98,7 @@ def leave_one_out(items: DataFrame, key: str, label: str, vector: str, digits: i
     """
     spark = items.sparkSession
     sums = weighted_sums(items.filter(F.col(vector).isNotNull()), [label], vector)
-    packed = sums.groupBy(label).agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "wx"))), lambda x: x["wx"]).alias("s"), F.max("n").alias("n")).orderBy(label).collect()
+    packed = _small_table(sums.groupBy(label).agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "wx"))), lambda x: x["wx"]).alias("s"), F.max("n").alias("n")).orderBy(label), "labels")
     names = [r[0] for r in packed]
     model = spark.sparkContext.broadcast((np.array([r[1] for r in packed], np.float64), np.array([r[2] for r in packed], np.float64)))
     number = {x: k for k, x in enumerate(names)}
@@ -123,37 +137,62 @@ def consistency(items: DataFrame, key: str, label: str, vector: str, duration: s
     loo = leave_one_out(pool, key, label, vector)
     first = loo.filter((F.col("pred") != F.col(label)) & (F.round(F.col("sim") - F.col("sim_true"), 6) > tolerance)).select(key)
     clean = profiles(pool.join(first, key, "left_anti"), [label], vector)
-    again = rank_profiles(pool.join(first, key, "left_semi"), key, vector, clean.withColumnRenamed(label, "other"), "other", "profile", 1_000)
-    own = again.join(pool.select(key, label), key).groupBy(key).agg(F.max("score").alias("best"), F.max(F.when(F.col("other") == F.col(label), F.col("score"))).alias("own"))
+    doubted = pool.join(first, key, "left_semi")
+    best = rank_profiles(doubted, key, vector, clean.withColumnRenamed(label, "other"), "other", "profile", 1).select(key, F.col("score").alias("best"))
+    own = label_scores(doubted, key, vector, label, clean, "profile").withColumnRenamed("score", "own").join(best, key)
     return own.select(key, F.lit(True).alias("first_pass"), (F.coalesce(F.round(F.col("best") - F.col("own"), 6), F.lit(9.0)) > tolerance).alias("dropped"))
 
 
-def nearest_in_blocks(items: DataFrame, key: str, vector: str, queries: DataFrame, blocks: int = 8, digits: int = 6) -> DataFrame:
+def nearest_in_blocks(items: DataFrame, key: str, vector: str, queries: DataFrame, digits: int = 6) -> DataFrame:
     """(key, other, score): for each query row the most similar other item. A stated query set against all items, in blocks.
 
-    Items are dealt into blocks by a hash, queries go to every block; a block's task streams its items past the queries a
-    batch at a time and keeps the best, and the best of the blocks wins; equals by least other key.
+    Items and queries are dealt into blocks by their numbers, and each pair of blocks is one group: a task holds the group's
+    queries, streams its items past them and keeps the best; the best of the groups wins, equals by least other key.
     """
-    sides = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(0).alias("side"), key, vector).unionByName(
-        items.select(F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"), F.lit(1).alias("side"), key, vector)
+    across = max(1, -(-items.count() // BLOCK_ITEMS), min(items.count() // 64, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    down = max(1, -(-queries.count() // BLOCK_QUERIES))
+    block = lambda n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    sides = queries.select(block(down).alias("down"), every(across).alias("across"), F.lit(0).alias("side"), key, vector).unionByName(
+        items.select(every(down).alias("down"), block(across).alias("across"), F.lit(1).alias("side"), key, vector)
     )
 
-    def best(pdf: pd.DataFrame) -> pd.DataFrame:
-        q, x = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1].sort_values(key)
-        if q.empty or x.empty:
-            return pd.DataFrame({key: [], "other": [], "score": []})
-        xs, ids, out = np.stack(x[vector].to_numpy()).astype(np.float64), x[key].to_numpy(), []
-        for a in range(0, len(q), BLOCK):
-            part = q.iloc[a : a + BLOCK]
-            score = np.round(np.stack(part[vector].to_numpy()).astype(np.float64) @ xs.T, digits)
-            score[part[key].to_numpy()[:, None] == ids[None, :]] = -np.inf
-            at = score.argmax(axis=1)
-            out.append(pd.DataFrame({key: part[key].to_numpy(), "other": ids[at], "score": score[np.arange(len(part)), at]}))
-        return pd.concat(out)
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, q, names, top, other = None, [], None, None, None, None
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if q is not None:
+                found = top > -np.inf
+                yield pa.record_batch({key: names[found], "other": other[found], "score": top[found]})
 
-    found = sides.groupBy("block").applyInPandas(best, f"{key} long, other long, score double").filter("score > -2")
-    top = found.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("other"))).alias("b"))
-    return top.select(key, F.col("b.other").alias("other"), (-F.col("b.minus")).alias("score"))
+        for batch in batches:
+            group = batch.column("down").to_numpy().astype(np.int64) << 32 | batch.column("across").to_numpy()
+            side, ids = batch.column("side").to_numpy(), batch.column(key).to_numpy()
+            x = np.asarray(batch.column(vector).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, -1)
+            ends = np.flatnonzero(np.r_[(group[1:] != group[:-1]) | (side[1:] != side[:-1]), True]) + 1
+            for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                if group[a] != now:
+                    yield from told()
+                    now, held, q = group[a], [], None
+                if side[a] == 0:
+                    held.append((ids[a:b], x[a:b]))
+                    continue
+                if not held:
+                    continue
+                if q is None:
+                    names, q = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+                    top, other = np.full(names.size, -np.inf), np.zeros(names.size, np.int64)
+                score = np.round(q @ x[a:b].T, digits)
+                score[names[:, None] == ids[None, a:b]] = -np.inf
+                most = score.max(axis=1)
+                least = np.where(score == most[:, None], ids[None, a:b], np.iinfo(np.int64).max).min(axis=1)
+                better = (most > top) | ((most == top) & (least < other))
+                top, other = np.where(better, most, top), np.where(better, least, other)
+        yield from told()
+
+    found = sides.repartition("down", "across").sortWithinPartitions("down", "across", "side").mapInArrow(best, f"{key} long, other long, score double")
+    first = found.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("other"))).alias("b"))
+    return first.select(key, F.col("b.other").alias("other"), (-F.col("b.minus")).alias("score"))
 
 
 def exemplars(items: DataFrame, key: str, label: str, vector: str, size: str, k: int) -> DataFrame:
@@ -181,11 +220,12 @@ def with_fallback(wanted: DataFrame, table: DataFrame, key: str, domain: str, va
     return wanted.join(there, key, "left").groupBy(key, domain).agg(best).select(key, domain, F.col("b.__d").alias("used_domain"), F.col("b.__v").alias(value))
 
 
-def contrast(left: DataFrame, right: DataFrame, key: str, label: str) -> DataFrame:
-    """(key, left_label, right_label, contrast): how much better two halves fit two different labels than each other's, from ranked scores of both halves."""
-    a, b = (s.select(key, F.col(label).alias(f"{n}_label"), F.col("score").alias(f"{n}_score"), F.col("rank_no").alias(f"{n}_rank")) for s, n in ((left, "l"), (right, "r")))
-    top = a.filter("l_rank = 1").join(b.filter("r_rank = 1"), key).filter("l_label <> r_label")
-    cross = top.join(a.select(key, F.col("l_label").alias("r_label"), F.col("l_score").alias("lr")), [key, "r_label"]).join(b.select(key, F.col("r_label").alias("l_label"), F.col("r_score").alias("rl")), [key, "l_label"])
+def contrast(left: DataFrame, right: DataFrame, key: str, vector: str, profile_table: DataFrame, label: str, profile: str) -> DataFrame:
+    """(key, left_label, right_label, contrast): how much better two halves (key, vector) fit two different labels than each other's."""
+    a, b = (rank_profiles(side, key, vector, profile_table, label, profile, 1).select(key, F.col(label).alias(f"{n}_label"), F.col("score").alias(f"{n}_score")) for side, n in ((left, "l"), (right, "r")))
+    top = a.join(b, key).filter("l_label <> r_label")
+    across = lambda side, other, out: label_scores(side.select(key, vector).join(top.select(key, F.col(other).alias(label)), key), key, vector, label, profile_table, profile).withColumnRenamed("score", out)
+    cross = top.join(across(left, "r_label", "lr"), key).join(across(right, "l_label", "rl"), key)
     return cross.select(key, F.col("l_label").alias("left_label"), F.col("r_label").alias("right_label"), F.round(F.col("l_score") - F.col("lr") + F.col("r_score") - F.col("rl"), 6).alias("contrast"))
 
 

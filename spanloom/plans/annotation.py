@@ -59,12 +59,12 @@ def queue_order(spark, sf):
 
 
 @register("q_coverage", """
-with o as (select l_suppkey k, count(*) n, sum(l_quantity) s, count(*) filter (l_returnflag = 'R') r from lineitem where l_orderkey % 40 = 0 group by 1)
-select s_suppkey k, coalesce(n, 0) n, coalesce(s, 0.0) secs, coalesce(r, 0) n_open, case when coalesce(n, 0) >= 5 and coalesce(s, 0) >= 150 then 'banked' when coalesce(s, 0) < 50 then 'quiet' else 'thin' end status
+with o as (select l_suppkey k, count(*) n, sum(l_quantity) s, count(*) filter (l_returnflag = 'R') r from lineitem group by 1)
+select s_suppkey k, coalesce(n, 0) n, coalesce(s, 0.0) secs, coalesce(r, 0) n_open, case when coalesce(n, 0) >= 600 and coalesce(s, 0) >= 15000 then 'banked' when coalesce(s, 0) < 14500 then 'quiet' else 'thin' end status
 from supplier left join o on k = s_suppkey""")
 def coverage(spark, sf):
-    lines = table(spark, sf, "lineitem").filter("l_orderkey % 40 = 0").select(F.col("l_suppkey").alias("k"), "l_quantity", "l_returnflag")
-    return an.coverage(lines, "k", "l_quantity", F.col("l_returnflag") == "R", table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k")), 5, 150.0, 50.0)
+    lines = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("k"), "l_quantity", "l_returnflag")
+    return an.coverage(lines, "k", "l_quantity", F.col("l_returnflag") == "R", table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k")), 600, 15_000.0, 14_500.0)
 
 
 @register("q_split_sets", """
@@ -82,15 +82,16 @@ def truncated(spark, sf):
 
 
 @register("q_words_to_lines", """
-with w as (select doc_id, unnest(range(n)) k from (select doc_id, least(n_chars, 60) n from documents)),
+with w as (select doc_id, unnest(range(n_chars)) k from documents),
 l as (select doc_id, line, (doc_id + line * 7) % 11 as n from documents cross join range(5) t(line)),
 e as (select *, sum(n) over (partition by doc_id order by line) z, line = max(line) over (partition by doc_id) last from l where n > 0)
-select w.doc_id, k::bigint word_no, line::bigint line from w join e on e.doc_id = w.doc_id and k >= z - n and (k < z or last)""")
+select w.doc_id, line::bigint line, count(*) n_words, min(k)::bigint first_no, max(k)::bigint last_no from w join e on e.doc_id = w.doc_id and k >= z - n and (k < z or last) group by 1, 2""")
 def words_to_lines(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.least("n_chars", F.lit(60)).alias("n"))
+    docs = table(spark, sf, "documents").select("doc_id", F.col("n_chars").alias("n"))
     words = docs.filter("n > 0").select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("word_no"))
     lines = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("line_no")).withColumn("k", (F.col("doc_id") + F.col("line_no") * 7) % 11)
-    return an.words_to_lines(words, lines, ["doc_id"], "word_no", "line_no", "k")
+    found = an.words_to_lines(words, lines, ["doc_id"], "word_no", "line_no", "k")
+    return found.groupBy("doc_id", "line").agg(F.count("*").alias("n_words"), F.min("word_no").alias("first_no"), F.max("word_no").alias("last_no"))
 
 
 @register("q_candidate_cuts", _E + """,

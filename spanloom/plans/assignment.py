@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spanloom.operators import assign as asg
-from spanloom.operators import evaluate as ev
-from spanloom.operators.learn import fit_logistic
-
 from .registry import register
 from .relational import table
 from .sequence import _E, HOUR, events
@@ -57,10 +54,10 @@ def candidates(spark, sf):
 
 
 @register("q_majority_remap", """
-with h as (select l_orderkey // 2 as old_id, l_orderkey // 3 as new_id, count(distinct l_orderkey * 10 + l_linenumber) n from lineitem where l_linenumber <= 4 group by 1, 2)
+with h as (select l_orderkey // 2 as old_id, l_orderkey // 3 as new_id, count(distinct l_orderkey * 10 + l_linenumber) n from lineitem group by 1, 2)
 select old_id, new_id from (select *, row_number() over (partition by old_id order by n desc, new_id) r from h) where r = 1""")
 def majority_remap(spark, sf):
-    lines = table(spark, sf, "lineitem").filter("l_linenumber <= 4").select("l_orderkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"))
     old, new = (lines.select(F.floor(F.col("l_orderkey") / n).alias(name), "key") for n, name in ((2, "old_id"), (3, "new_id")))
     return asg.majority_remap(old, new, "old_id", "new_id", "key")
 
@@ -122,12 +119,3 @@ def text_prior(spark, sf):
     kinds = F.element_at(F.array(*map(F.lit, ("auto", "no_candidate", "low_margin", "name_mentioned"))), (F.col("k") % 4 + 1).cast("int"))
     prior = orders.filter("k % 5 <> 0").select("k", F.when(F.col("k") % 3 == 0, "F").otherwise("O").alias("guess"), F.lit("P").alias("second"), ((F.col("k") % 10) / 10.0).alias("conf"))
     return asg.with_text_prior(orders.withColumn("decision", kinds), prior, ["k"], "label")
-
-
-@register("q_left_out_model")
-def left_out_model(spark, sf):
-    from spanloom.operators.vector import leave_one_out
-
-    rows = leave_one_out(vectors(spark, sf), "vec_id", "label", "embedding").select("sim", "margin", (F.col("pred") == F.col("label")).cast("int").alias("y"), (F.col("vec_id") % 3).alias("season")).cache()
-    scored = asg.left_out(rows, "season", lambda other: fit_logistic(other, ["sim", "margin"], "y"), lambda model, own: own.withColumn("p", model.score()))
-    return ev.reliability(scored, "p", F.col("y") == 1, [0.0, 0.05, 0.1, 0.2, 1.0])

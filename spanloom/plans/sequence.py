@@ -53,7 +53,7 @@ select k, min(t) unit_start, max(t) unit_end, count(*) n from f group by k, u"""
 
 @register("q_fold_merge", "select k user_id, unit_start, unit_end, n from (" + _fold_sql(12 * HOUR, 24 * HOUR, "user_id", "") + ")")
 def fold_merge(spark, sf):
-    return seq.merge_capped(events(spark, sf), ["user_id"], ORDER, "t", "t", -HOUR, 12 * HOUR, 24 * HOUR, "user_id long")
+    return seq.merge_capped(events(spark, sf), ["user_id"], ORDER, "t", "t", -HOUR, 12 * HOUR, 24 * HOUR)
 
 
 @register("q_dedupe_anchor", """
@@ -63,7 +63,7 @@ f as (select user_id, event_type, rn, t, value, t anchor from o where rn = 1
   from f join o on o.user_id = f.user_id and o.event_type = f.event_type and o.rn = f.rn + 1)
 select user_id, event_type, anchor as "at", max(t) "last", max(value) best, count(*) n from f group by user_id, event_type, anchor""")
 def dedupe_anchor(spark, sf):
-    return seq.dedupe_anchored(events(spark, sf), ["user_id", "event_type"], ORDER, "t", "value", 24 * HOUR, "user_id long, event_type string")
+    return seq.dedupe_anchored(events(spark, sf), ["user_id", "event_type"], ORDER, "t", "value", 24 * HOUR)
 
 
 @register("q_bursts", _E + """,
@@ -76,7 +76,7 @@ def bursts(spark, sf):
 @register("q_scene_cap", "select k event_day, unit_start, unit_end, n from (" + _fold_sql(HOUR // 2, 2 * HOUR, "epoch_us(ts) // 86400000000", "") + ")")
 def scene_cap(spark, sf):
     dated = events(spark, sf).withColumn("event_day", F.floor(F.col("t") / (24 * HOUR)))
-    return seq.scenes(dated, ["event_day"], ORDER, "t", "t", HOUR // 2, 2 * HOUR, "event_day long")
+    return seq.scenes(dated, ["event_day"], ORDER, "t", "t", HOUR // 2, 2 * HOUR)
 
 
 _UNION = _E + """,

@@ -122,5 +122,5 @@ select t.pair, la left_label, lb right_label, round(sa - x.score + sb - y.score,
 def contrast(spark, sf):
     rows = vectors(spark, sf).withColumn("pair", F.floor(F.col("vec_id") / 2))
     profile = vec.profiles(rows.filter("vec_id % 4 < 2"), ["label"], "embedding")
-    half = lambda side: vec.rank_profiles(rows.filter(f"vec_id % 4 >= 2 and vec_id % 2 = {side}"), "pair", "embedding", profile, "label", "profile", 1000)
-    return vec.contrast(half(0), half(1), "pair", "label")
+    half = lambda side: rows.filter(f"vec_id % 4 >= 2 and vec_id % 2 = {side}").select("pair", "embedding")
+    return vec.contrast(half(0), half(1), "pair", "embedding", profile, "label", "profile")

@@ -62,14 +62,14 @@ def test_runs_follow_the_previous_item(spark):
 def test_dedupe_keeps_the_anchor(spark):
     hits = [(100, "A", 90.0), (103, "A", 100.0), (111, "A", 80.0), (130, "A", 90.0), (101, "B", 95.0)]
     df = spark.createDataFrame(hits, "t long, who string, score double")
-    got = sequence.dedupe_anchored(df, ["who"], ["t"], "t", "score", 10, "who string")
+    got = sequence.dedupe_anchored(df, ["who"], ["t"], "t", "score", 10)
     assert rows(got.select("who", "at", "last", "best")) == [("A", 100, 103, 100.0), ("A", 111, 111, 80.0), ("A", 130, 130, 90.0), ("B", 101, 101, 95.0)]
 
 
 def test_bursts_over_a_day_boundary(spark):
     at = [95, 98, 99, 101, 300]
     df = spark.createDataFrame([(t, t) for t in at], "t long, who long")
-    got = sequence.bursts(df, "t", "who", 10, 4, day=100)
+    got = sequence.bursts(df, "t", "who", 10, 4)
     assert rows(got.select("t", "in_burst")) == [(95, True), (98, True), (99, True), (101, True), (300, False)]
 
 
@@ -82,7 +82,7 @@ def test_unions_and_bridges(spark):
 
 def test_changes_only(spark):
     df = spark.createDataFrame([(1, k, float(v)) for k, v in enumerate([0, 3, 6, 7, 13])], "g int, i int, v double")
-    assert [r[2] for r in rows(sequence.changes_only(df, ["g"], ["i"], "v", 6.0, "g int, i int, v double"))] == [0.0, 6.0, 13.0]
+    assert [r[2] for r in rows(sequence.changes_only(df, ["g"], ["i"], "v", 6.0))] == [0.0, 6.0, 13.0]
 
 
 def test_change_point_either_order(spark):
