@@ -63,16 +63,19 @@ def fit_logistic(df: DataFrame, features: Sequence[str], label: str, l2: float =
     return Logistic(features, mean, sd, beta[1:].tolist(), float(beta[0]))
 
 
-def left_out_scores(df: DataFrame, group: str, features: Sequence[str], label: str, l2: float = 1.0, steps: int = 50, tolerance: float = 1e-7, out: str = "p") -> DataFrame:
+def left_out_scores(df: DataFrame, group: str, features: Sequence[str], label: str, l2: float = 1.0, steps: int = 50, tolerance: float = 1e-7, out: str = "p", only: Column | None = None) -> DataFrame:
     """``df`` with ``out``: each row's probability by the model fitted on the rows of all other groups; null where those have one label only.
 
     All groups' models take their Newton steps together: a step is one aggregate over the rows, each counted for the other
-    groups. There may be 1,000 groups (and no more: their coefficients are sent to the tasks).
+    groups. There may be 1,000 groups (and no more: their coefficients are sent to the tasks). With ``only`` the models learn from the rows where it holds.
     """
+    learn = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
     features = list(features)
     d = len(features) + 1
     x = [F.col(f).cast("double") for f in features]
-    per = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("double")).alias("y"), *(F.sum(c).alias(f"s{k}") for k, c in enumerate(x)), *(F.sum(c * c).alias(f"q{k}") for k, c in enumerate(x)), *(F.count(c).alias(f"n{k}") for k, c in enumerate(x)))
+    masked = [F.when(learn, c) for c in x]
+    sums = [*(F.sum(c).alias(f"s{k}") for k, c in enumerate(masked)), *(F.sum(c * c).alias(f"q{k}") for k, c in enumerate(masked)), *(F.count(c).alias(f"n{k}") for k, c in enumerate(masked))]
+    per = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count_if(learn).alias("n"), F.sum(F.when(learn, F.col(label).cast("double"))).alias("y"), *sums)
     rows = per.orderBy(group).limit(1001).collect()
     if len(rows) > 1000:
         raise ValueError("more than 1000 groups to leave out")
@@ -97,7 +100,7 @@ def left_out_scores(df: DataFrame, group: str, features: Sequence[str], label: s
     open_ = list(usable)
     pairs = [(a, b) for a in range(d) for b in range(a, d)]
     for _ in range(steps if usable else 0):
-        both = df.join(models(open_), F.col(group) != F.col("__g"))  # each row for the other groups: the models are few and broadcast
+        both = df.filter(learn).join(models(open_), F.col(group) != F.col("__g"))  # each row for the other groups: the models are few and broadcast
         z, score = linear()
         own = both.select("__g", F.array(*z).alias("z"), F.col(label).cast("double").alias("y"), sigmoid(score).alias("p")).withColumns({"g": F.col("y") - F.col("p"), "h": F.col("p") * (1 - F.col("p"))})
         sums = own.groupBy("__g").agg(*(F.sum(F.col("g") * F.col("z")[k]).alias(f"g{k}") for k in range(d)), *(F.sum(F.col("h") * F.col("z")[a] * F.col("z")[b]).alias(f"h{a}_{b}") for a, b in pairs))

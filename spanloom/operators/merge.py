@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,3 +90,90 @@ def keep_newest(versions: DataFrame, group: str, at: str, keep: int) -> DataFram
     from .relational import first_per_group
 
     return first_per_group(versions, [group], [F.desc(at)], keep, "__r").drop("__r")
+
+
+def replace_partitions(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``old`` with the rows of every partition (by ``keys``) that ``new`` has rows of replaced by those."""
+    return old.join(new.select(*keys).distinct(), list(keys), "left_anti").select(old.columns).unionByName(new.select(old.columns))
+
+
+def write_partitions(new: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Writes ``new`` over the partitions it has rows of; others stay, and a second run leaves the same files' rows."""
+    new.write.partitionBy(*keys).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
+def delete_cascade(tables: Mapping[str, DataFrame], gone: DataFrame, key: str) -> dict[str, DataFrame]:
+    """Each table without the rows of the keys in ``gone``: one delete, carried to all tables that refer to it."""
+    dead = gone.select(key).distinct()
+    return {name: df.join(dead, key, "left_anti").select(df.columns) for name, df in tables.items()}
+
+
+def insert_from(target: DataFrame, rows: DataFrame, key: str, constants: Mapping[str, Column]) -> DataFrame:
+    """``target`` with a row for each of ``rows``: its columns where it has them, else ``constants``, else null; equal keys are replaced."""
+    values = [constants[c] if c in constants else F.col(c) if c in rows.columns else F.lit(None) for c in target.columns]
+    made = rows.select(*(v.cast(target.schema[c].dataType).alias(c) for v, c in zip(values, target.columns, strict=True)))
+    return upsert(target, made, [key])
+
+
+def resolve_queue(queue: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """``queue`` with resolved = 1 for the keys in ``done``."""
+    marked = queue.join(done.select(key).distinct().withColumn("__d", F.lit(1)), key, "left")
+    return marked.select(*(F.coalesce("__d", "resolved").cast(queue.schema["resolved"].dataType).alias(c) if c == "resolved" else F.col(c) for c in queue.columns))
+
+
+def record_verdicts(now: DataFrame, verdicts: DataFrame, key: str, label: str, at: str) -> tuple[DataFrame, DataFrame]:
+    """(the table after the verdicts, the log): a verdict (key, label, at) replaces the key's row by one from a human, and the log keeps the row it
+    replaced as JSON (null where there was none), as ``undo`` reads it. Of several verdicts on a key the newest counts."""
+    last = verdicts.groupBy(key).agg(F.max_by(label, at).alias("__l"), F.max(at).alias(at))
+    before = now.select(F.col(key), F.to_json(F.struct(*now.columns)).alias("previous"))
+    log = last.join(before, key, "left").select(key, F.col("__l").alias(label), "previous", at)
+    fresh = last.join(now.drop(label), key, "left").select(*(F.col("__l").alias(label) if c == label else F.lit("human").alias(c) if c == "source" else F.col(c) for c in now.columns))
+    return upsert(now, fresh, [key]), log
+
+
+def update_where(df: DataFrame, where: Column, values: Mapping[str, Column]) -> DataFrame:
+    """``df`` with new values in the rows where ``where`` holds."""
+    return df.withColumns({c: F.when(where, v).otherwise(F.col(c)) for c, v in values.items()})
+
+
+def backfill(df: DataFrame, facts: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """``df`` with missing values of ``columns`` taken from the row of ``facts`` (a row a key); columns it lacks are added."""
+    told = facts.select(key, *(F.col(c).alias(f"__{c}") for c in columns))
+    joined = df.join(told, key, "left")
+    rest = [F.col(f"__{c}").alias(c) for c in columns if c not in df.columns]
+    return joined.select(*(F.coalesce(F.col(c), F.col(f"__{c}")).alias(c) if c in columns else F.col(c) for c in df.columns), *rest)
+
+
+def card_labels(cards: DataFrame, items: DataFrame, labels: DataFrame, checks: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(labels after the cards, conflicts): cards (key, label, score, t_s), anchored on items, become labels of source card.
+
+    A person's check (t_s, label, checked_key; null: nobody speaks it) decides where its card goes, at score 1; labels by a human stay; a card against
+    an item's explicit other name (column explicit) is a conflict for the queue, unless it was checked. Of several cards of an item the
+    last counts. Earlier labels of source card go; ``labels`` has (key, label, source, confidence).
+    """
+    checked = cards.join(checks, ["t_s", "label"]).select(F.col("checked_key").alias(key), "label", F.lit(1.0).alias("confidence"), "t_s", F.lit(True).alias("sure"))
+    plain = cards.join(checks.select("t_s", "label"), ["t_s", "label"], "left_anti").select(key, "label", "score", "t_s")
+    told = checked.unionByName(plain.withColumn("confidence", F.col("score") / 100).withColumn("sure", F.lit(False)).drop("score")).filter(F.col(key).isNotNull())
+    kept = labels.filter("source <> 'card'")
+    open_ = told.join(kept.filter("source = 'human'").select(key), key, "left_anti").join(items.select(key, "explicit"), key)
+    against = ~F.col("sure") & F.coalesce(F.col("explicit") != F.col("label"), F.lit(False))
+    best = F.max(F.struct("t_s", "label", "confidence")).alias("b")
+    fresh = open_.filter(~against).groupBy(key).agg(best).select(key, "b.label", F.lit("card").alias("source"), "b.confidence")
+    conflicts = open_.filter(against).groupBy(key).agg(F.max(F.struct("t_s", "label", "explicit")).alias("b")).select(key, "b.label", "b.explicit", "b.t_s")
+    return upsert(kept, fresh, [key]), conflicts
+
+
+def stale(inputs: DataFrame, done: DataFrame, key: str, version: str) -> DataFrame:
+    """(key, reason): what has to be made again: missing in ``done``, or made from another version of its input. What is fresh is left out."""
+    had = done.select(key, F.col(version).alias("__v"), F.lit(True).alias("__there"))
+    both = inputs.join(had, key, "left")
+    reason = F.when(F.col("__there").isNull(), "missing").when(~F.col("__v").eqNullSafe(F.col(version)), "changed")
+    return both.withColumn("reason", reason).filter("reason is not null").select(key, "reason")
+
+
+def refreshed(inputs: DataFrame, done: DataFrame, key: str, version: str, make, force: bool = False) -> DataFrame:
+    """``done`` with the rows that ``make(some inputs)`` gives for stale inputs (all with ``force``); fresh ones are not made again, and rows of
+    inputs that are gone go."""
+    todo = inputs if force else inputs.join(stale(inputs, done, key, version).select(key), key, "left_semi")
+    kept = done.join(inputs.select(key), key, "left_semi")
+    return upsert(kept, make(todo), [key])

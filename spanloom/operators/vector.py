@@ -75,6 +75,105 @@ def rank_profiles(items: DataFrame, key: str, vector: str, profile_table: DataFr
     return items.select(key, vector).filter(F.col(vector).isNotNull()).mapInArrow(scored, f"{key} {key_type}, rank_no int, {label} {label_type}, score double")
 
 
+def rank_exemplars(items: DataFrame, key: str, vector: str, exemplar_table: DataFrame, label: str, exemplar: str, profile_table: DataFrame | None, top: int, mode: str = "exemplar", digits: int = 6) -> DataFrame:
+    """(key, rank_no, label, score): as ``rank_profiles``, an item's score for a label being that of the label's best exemplar (mode exemplar),
+    or the mean of that and its profile's (mode blend; ``profile_table`` has (label, profile)).
+
+    All exemplars are a small table, sent to the tasks; a batch's scores are one product, reduced by label.
+    """
+    if mode not in ("exemplar", "blend"):
+        raise ValueError(f"unknown mode {mode}")
+    spark = items.sparkSession
+    rows = _small_table(exemplar_table.select(label, exemplar).orderBy(label), "exemplars")
+    names = sorted({r[0] for r in rows})
+    number = {x: k for k, x in enumerate(names)}
+    starts = np.searchsorted([number[r[0]] for r in rows], np.arange(len(names)))
+    whole = {r[0]: r[1] for r in _small_table(profile_table, "profiles")} if mode == "blend" else {}
+    matrix = spark.sparkContext.broadcast((np.array([r[1] for r in rows], np.float64), np.array([whole.get(x, []) for x in names], np.float64) if mode == "blend" else None))
+    key_type, label_type = items.schema[key].dataType.simpleString(), exemplar_table.schema[label].dataType.simpleString()
+    arrow = pa.int32() if label_type == "int" else pa.int64() if label_type == "bigint" else pa.string()
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples, means = matrix.value
+        for batch in batches:
+            n = batch.num_rows
+            if not n or not names:
+                continue
+            x = np.asarray(batch.column(vector).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(n, -1)
+            score = np.maximum.reduceat(x @ samples.T, starts, axis=1)
+            score = np.round(score if means is None else (score + x @ means.T) / 2, digits)
+            best = np.argsort(-score, axis=1, kind="stable")[:, :top]
+            k = best.shape[1]
+            yield pa.record_batch({key: batch.column(key).take(pa.array(np.repeat(np.arange(n), k))), "rank_no": pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), n)), label: pa.array([names[j] for j in best.reshape(-1)]).cast(arrow), "score": np.take_along_axis(score, best, axis=1).reshape(-1)})
+
+    return items.select(key, vector).filter(F.col(vector).isNotNull()).mapInArrow(scored, f"{key} {key_type}, rank_no int, {label} {label_type}, score double")
+
+
+def rolling_profiles(labelled: DataFrame, keys: Sequence[str], period: str, vector: str, weight: Column, half_life: float = 3.0, out: str = "profile") -> DataFrame:
+    """(keys, period, profile, n): for each period with labelled items, each group's unit weighted mean over all items up to and with it.
+
+    An item weighs ``weight``, halved for every ``half_life`` periods of age. A later period only scales what is older, and a
+    unit mean doesn't change with scale, so one running sum over periods serves all of them: nothing is fitted again.
+    """
+    keys = list(keys)
+    first = labelled.agg(F.min(period).alias("__p0"))
+    aged = labelled.crossJoin(F.broadcast(first)).withColumn("__w", weight * F.pow(F.lit(2.0), (F.col(period) - F.col("__p0")) / half_life))  # one row
+    sums = weighted_sums(aged, [*keys, period], vector, F.col("__w"))
+    # every group at every period of its own and of others: its state holds on
+    periods = labelled.select(period).distinct()
+    frame = sums.select(*keys, "dim").distinct().join(F.broadcast(periods))  # periods are few, a row each
+    upto = Window.partitionBy(*keys, "dim").orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
+    state = frame.join(sums, [*keys, "dim", period], "left").select(*keys, period, "dim", F.sum("wx").over(upto).alias("wx"), F.sum("w").over(upto).alias("w"), F.sum("n").over(upto).alias("n")).filter("wx is not null")
+    packed = state.withColumn("m", F.col("wx") / F.greatest(F.col("w"), F.lit(1e-300))).groupBy(*keys, period).agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "m"))), lambda x: x["m"]).alias("__m"), F.max("n").alias("n"))
+    return packed.select(*keys, period, unit(F.col("__m")).alias(out), "n")
+
+
+def rolling_rank(items: DataFrame, key: str, period: str, vector: str, profile_table: DataFrame, label: str, profile: str, top: int, digits: int = 6) -> DataFrame:
+    """(key, rank_no, label, score): each item ranked by the profiles (label, period, profile) of the last period before its own; none before the first.
+
+    The profiles of all periods are a small table, sent to the tasks; a batch is worked on period by period.
+    """
+    spark = items.sparkSession
+    rows = _small_table(profile_table.select(period, label, profile).orderBy(period, label), "profiles of periods")
+    tables: dict = {}
+    for p, name, vec in rows:
+        tables.setdefault(p, ([], []))
+        tables[p][0].append(name)
+        tables[p][1].append(vec)
+    known = sorted(tables)
+    model = spark.sparkContext.broadcast({p: (names, np.array(vectors, np.float64)) for p, (names, vectors) in tables.items()})
+    key_type, label_type = items.schema[key].dataType.simpleString(), profile_table.schema[label].dataType.simpleString()
+    arrow = pa.int32() if label_type == "int" else pa.int64() if label_type == "bigint" else pa.string()
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows or not known:
+                continue
+            x = np.asarray(batch.column(vector).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, -1)
+            at = np.searchsorted(np.array(known), batch.column(period).to_numpy(zero_copy_only=False), side="left") - 1
+            for place in np.unique(at[at >= 0]).tolist():
+                own = np.flatnonzero(at == place)
+                names, matrix = model.value[known[place]]
+                score = np.round(x[own] @ matrix.T, digits)
+                best = np.argsort(-score, axis=1, kind="stable")[:, :top]
+                k = best.shape[1]
+                yield pa.record_batch({key: batch.column(key).take(pa.array(np.repeat(own, k))), "rank_no": pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), own.size)), label: pa.array([names[j] for j in best.reshape(-1)]).cast(arrow), "score": np.take_along_axis(score, best, axis=1).reshape(-1)})
+
+    return items.filter(F.col(vector).isNotNull() & F.col(period).isNotNull()).select(key, period, vector).mapInArrow(scored, f"{key} {key_type}, rank_no int, {label} {label_type}, score double")
+
+
+def left_out_profiles(labelled: DataFrame, keys: Sequence[str], period: str, vector: str, weight: Column, out: str = "profile") -> DataFrame:
+    """(keys, period, profile, n): for each period and group the unit weighted mean over the items of all other periods: the group's sums less the period's."""
+    keys = list(keys)
+    own = weighted_sums(labelled, [*keys, period], vector, weight)
+    periods = labelled.select(period).distinct()
+    whole = own.groupBy(*keys, "dim").agg(F.sum("wx").alias("__x"), F.sum("w").alias("__w"), F.sum("n").alias("__n"))
+    rest = whole.join(F.broadcast(periods)).join(own, [*keys, "dim", period], "left")  # periods are few
+    less = rest.select(*keys, period, "dim", (F.col("__x") - F.coalesce("wx", F.lit(0.0))).alias("wx"), (F.col("__w") - F.coalesce("w", F.lit(0.0))).alias("w"), (F.col("__n") - F.coalesce("n", F.lit(0))).alias("n")).filter("n > 0")
+    packed = less.withColumn("m", F.col("wx") / F.greatest(F.col("w"), F.lit(1e-9))).groupBy(*keys, period).agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "m"))), lambda x: x["m"]).alias("__m"), F.max("n").alias("n"))
+    return packed.select(*keys, period, unit(F.col("__m")).alias(out), "n")
+
+
 def label_scores(items: DataFrame, key: str, vector: str, label: str, profile_table: DataFrame, profile: str, digits: int = 6) -> DataFrame:
     """(key, score): each item's inner product with the profile of the one label it names; null if the label has none."""
     own = profile_table.select(label, F.col(profile).alias("__p"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spanloom.operators import evaluate as ev
 from spanloom.operators import vector as vec
-from spanloom.operators.learn import Logistic, fit_logistic
+from spanloom.operators.learn import Logistic
 
 from .registry import register
 from .vector import _LOO, vectors
@@ -66,13 +66,6 @@ def logit_score(spark, sf):
     return loo(spark, sf).select("vec_id", F.round(model.score(), 5).alias("p"))
 
 
-@register("q_logit_fit")
-def logit_fit(spark, sf):
-    rows = loo(spark, sf).withColumn("y", hit().cast("int"))
-    model = fit_logistic(rows, ["sim", "margin"], "y")
-    return spark.createDataFrame([*zip(model.features, map(float, model.coef), strict=True), ("bias", model.bias)], "feature string, coef double")
-
-
 @register("q_threshold_sweep", _S + """
 select thr::double thr, count(*) n, sum(y)::bigint hits, round(avg(y), 6) prec from z cross join (values (0.1::double), (0.2::double), (0.3::double), (0.4::double)) t(thr) where s >= thr group by thr""")
 def threshold_sweep(spark, sf):
