@@ -283,3 +283,18 @@ def last_after_first(df: DataFrame, keys: Sequence[str], at: str, first: Column,
     """(keys, first_at, then_at): the first row that meets ``first``, and the last at most ``reach`` later that meets ``then``."""
     opened = df.groupBy(*keys).agg(F.min(F.when(first, F.col(at))).alias("first_at")).filter("first_at is not null")
     return df.join(opened, list(keys)).groupBy(*keys, "first_at").agg(F.max(F.when(then & (F.col(at) > F.col("first_at")) & (F.col(at) <= F.col("first_at") + reach), F.col(at))).alias("then_at"))
+
+
+def split_on_mentions(df: DataFrame, keys: Sequence[str], order: Sequence[str], hit: str, out: str = "part") -> DataFrame:
+    """``df`` with islands of rows that mention the key's predicted name and of rows that don't; a key where all or none do stays one part."""
+    whole = Window.partitionBy(*keys)
+    flagged = F.coalesce(F.col(hit), F.lit(False)).cast("int")
+    plain = F.min(flagged).over(whole) == F.max(flagged).over(whole)
+    cut = split_on_flags(df.withColumn("__plain", plain).withColumn("__hit", flagged), keys, order, "__hit", out)
+    return cut.withColumn(out, F.when(F.col("__plain"), F.lit(1).cast("long")).otherwise(F.col(out))).drop("__plain", "__hit")
+
+
+def last_near_end(df: DataFrame, keys: Sequence[str], at: str, then: Column, share: float, out: str) -> DataFrame:
+    """(keys, ``out``): a key's last row that meets ``then`` at or after ``share`` of its last time; none: no row."""
+    ends = df.groupBy(*keys).agg(F.max(at).alias("__z"))
+    return df.join(ends, list(keys)).filter(then & (F.col(at) >= F.col("__z") * share)).groupBy(*keys).agg(F.max(at).alias(out))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["relational", "sequence", "temporal", "vector", "evaluation", "text", "maintenance", "annotation", "assignment", "audit"]
+MODULES = ["relational", "sequence", "temporal", "vector", "evaluation", "text", "maintenance", "annotation", "assignment", "audit", "tables", "reports"]
 
 
 def load() -> None:
