@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from spanloom.operators import merge as mg
+from spanloom.sources.files import private_folder
 from spanloom.streaming import sessions as ss
 
 from .registry import register
@@ -102,7 +101,6 @@ def sessions(spark, sf):
 def stream_sessions(spark, sf):
     shape = table(spark, sf, "events").schema
     stream = spark.readStream.schema(shape).option("pathGlobFilter", "events.parquet").parquet(sf)
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    base = f"{named.rstrip('/')}/stream-{spark.sparkContext.applicationId}-{id(stream)}" if named else tempfile.mkdtemp(prefix="spanloom-stream-")
+    base = private_folder(spark, "stream")
     found = ss.sessions(_stamped(stream), "user_id", "at", "30 minutes", late="1 hour")
     return _sessions(ss.run_available(found, f"{base}/out", f"{base}/state", "complete"))

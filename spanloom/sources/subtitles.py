@@ -80,6 +80,33 @@ def read_turns(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(part[1].alias("uri"), part[3].cast("double").alias("start_s"), part[4].cast("double").alias("dur_s"), part[7].alias("speaker"))
 
 
+def write_spans(spans: DataFrame, path: str) -> None:
+    """Text files of annotated stretches, one folder per uri, lines sorted by start: columns uri, start_s, end_s."""
+    line = F.format_string("%s 1 %.3f %.3f", "uri", "start_s", "end_s")
+    spans.select("uri", "start_s", line.alias("value")).repartition("uri").sortWithinPartitions("uri", "start_s").select("uri", "value").write.partitionBy("uri").text(path)
+
+
+def read_spans(spark: SparkSession, path: str) -> DataFrame:
+    """The stretches of such files."""
+    part = F.split("value", " ")
+    return spark.read.text(path).select(part[0].alias("uri"), part[2].cast("double").alias("start_s"), part[3].cast("double").alias("end_s"))
+
+
+def write_names(rows: DataFrame, uri: str, path: str, split: str = "split") -> None:
+    """Lists of uris, a line each, one folder per split."""
+    rows.select(split, F.col(uri).alias("value")).distinct().repartition(split).sortWithinPartitions(split, "value").write.partitionBy(split).text(path)
+
+
+def read_manifest(spark: SparkSession, path: str, schema: str, split: str = "split") -> DataFrame:
+    """The rows of ``write_manifest``; ``schema`` is that of the other columns."""
+    return spark.read.schema(f"{schema}, {split} string").option("header", True).csv(path)
+
+
+def write_trials(pairs: DataFrame, path: str) -> None:
+    """Trial lists: target, a and b, separated by spaces, without header."""
+    pairs.select("target", "a", "b").write.option("sep", " ").csv(path)
+
+
 def write_manifest(rows: DataFrame, path: str, split: str = "split") -> None:
     """CSV files with a header, one folder per split."""
     rows.write.partitionBy(split).option("header", True).csv(path)
