@@ -13,10 +13,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, stored
+from .common import shared_folder, small_side, stored
 
-#: Records of an archive file at most; a file is read by one task.
-RECORDS = 2000
+#: Payload bytes of an archive file, about, and its records at most; a file is read by one task.
+FILE_BYTES, RECORDS = 32 << 20, 20_000
 #: Index rows of a range of the merged index, about.
 RANGE_ROWS = 200_000
 #: Fixed values of the format: the base32 alphabet, the revisit profile, the first capture time where the table has none.
@@ -42,6 +42,9 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, id_col: st
     payload, the others are revisits that refer to it; smaller ones are all responses. Rows that share that smallest id are
     all responses, as is a payload that only null ids have. A null payload counts as empty, a null URL as none. Control
     characters and spaces in URLs are percent-encoded. Without ``time_col`` (epoch seconds) the time is drawn from the id.
+
+    Payloads don't move: each task writes its own rows, and what is known of repeated payloads comes to them, a row a digest that
+    occurs more than once. A file is one gzip member, as Spark's text sink makes it.
     """
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
@@ -50,8 +53,11 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, id_col: st
         (F.col(time_col).cast("long") if time_col else F.lit(EPOCH) + F.pmod(F.coalesce(F.col(id_col).cast("long"), F.lit(0)), F.lit(31_536_000))).alias("at"),
     ).withColumn("digest", base32_sha1(F.col("payload")))
     sized = rows.withColumn("bytes", F.octet_length("payload"))
-    first = sized.filter(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"))
-    marked = sized.join(first, "digest", "left").withColumn("revisit", F.coalesce((F.col("bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("first_id").isNotNull(), F.lit(False)))
+    first = sized.filter(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+    repeated = stored(first.filter("n > 1").drop("n"), "repeated")
+    facts = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("payload")).alias("bytes")).first()
+    records = max(1, min(RECORDS, FILE_BYTES * facts["n"] // max(1, facts["bytes"] or 0)))
+    marked = sized.join(small_side(repeated, repeated.count()), "digest", "left").withColumn("revisit", F.coalesce((F.col("bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("first_id").isNotNull(), F.lit(False)))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit("\r\n\r\n"), F.when(F.col("revisit"), F.lit("")).otherwise(F.col("payload")))
     made = marked.withColumn("block", http)
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
@@ -76,7 +82,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, id_col: st
         .select("value")
         .write.option("lineSep", "\r\n\r\n")  # the end of a WARC record
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", RECORDS)
+        .option("maxRecordsPerFile", records)
         .text(path)
     )
 
@@ -186,20 +192,24 @@ def loser_tree_merge(sources: list[list[tuple]], key) -> Iterator[tuple]:
 
 
 def merge_runs(captures: DataFrame) -> DataFrame:
-    """``captures`` in global order of URL key, time and id: each range of keys merges its slices of the sorted runs."""
+    """``captures`` in global order of URL key, time and id: each range of keys merges its slices of the sorted runs.
+
+    What a task reads of a run goes to a range as one slice, in the run's order, so a slice is sorted as it comes; a range has about
+    RANGE_ROWS index rows, without payloads.
+    """
     ranges = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-captures.count() // RANGE_ROWS))
     names = [x.split(" ")[0] for x in _INDEX.split(", ")]
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices: dict[str, list[tuple]] = {}
+        slices: dict[tuple, list[tuple]] = {}
         schema = None
         for batch in batches:
-            schema = batch.schema
-            for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-                slices.setdefault(row[0], []).append(row)
+            schema = pa.schema([batch.schema.field(c) for c in names])
+            for part, row in zip(batch.column("part").to_pylist(), zip(*(batch.column(c).to_pylist() for c in names), strict=True), strict=True):
+                slices.setdefault((row[0], part), []).append(row)
         for own in slices.values():
-            if any(_order(a) > _order(b) for a, b in zip(own, own[1:], strict=False)):  # the shuffle may hand blocks over in any order
-                own.sort(key=_order)
+            if any(_order(a) > _order(b) for a, b in zip(own, own[1:], strict=False)):
+                raise ValueError("a slice of a run came out of order")
         out: list[tuple] = []
         for row in loser_tree_merge([slices[r] for r in sorted(slices)], _order):
             out.append(row)
@@ -209,7 +219,7 @@ def merge_runs(captures: DataFrame) -> DataFrame:
         if out:
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], names=names)
 
-    return captures.select(*names).repartitionByRange(ranges, "url_key", "captured_at", "page_id").mapInArrow(merged, _INDEX)
+    return captures.select(*names, F.spark_partition_id().alias("part")).repartitionByRange(ranges, "url_key", "captured_at", "page_id").mapInArrow(merged, _INDEX)
 
 
 def capture_histories(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", time_col: str | None = None) -> DataFrame:
