@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, id_text, utf8
+from .common import bounded_batches, id_text, stored, utf8
 
 #: Labelled documents the model is fitted on, about, at most; chosen by a hash of doc_id.
 SAMPLE_DOCS = 20_000
@@ -160,16 +160,19 @@ def _held(c):
 
 def train(docs: DataFrame, labels: DataFrame, held_out: Callable = _held, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Additive:
     """The model fitted on a bounded sample of the labelled documents that are not held out."""
-    marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").filter(~held_out(F.col("doc_id")))
-    total = marks.count()
-    share = min(1.0, sample_docs / max(1, total))
-    marks = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").filter(~held_out(F.col("doc_id"))).distinct()
+    share = min(1.0, sample_docs / max(1, marks.count()))
+    drawn = lambda n, of, *columns: F.pmod(F.xxhash64(F.lit(n), *columns), F.lit(1_000_000)) < int(of * 1_000_000)
+    marks = F.broadcast(stored(marks.filter(drawn(1, share, F.col("doc_id"))), "marks"))  # two rows an id at most, and the sample's bound
+    # rows that share an id are drawn from again, by their texts, so that no id can fill the sample
+    joined = docs.select(F.col(id_col).cast("long").alias("doc_id")).join(marks, "doc_id").count()
+    again = min(1.0, 2 * sample_docs / max(1, joined))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.record_batch({"y": batch.column("y"), "x": pa.array([features(t) for t in utf8(batch)], pa.list_(pa.float64()))})
 
-    own = id_text(docs, id_col, text_col).join(F.broadcast(marks), "doc_id")  # the sample's bound holds for the broadcast
+    own = id_text(docs, id_col, text_col).join(marks, "doc_id").filter(drawn(2, again, F.col("doc_id"), F.col("text")))
     rows = own.mapInArrow(measured, "y int, x array<double>").toArrow()
     x = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)) if rows.num_rows else np.empty((0, len(FEATURES)))
     y = rows.column("y").to_numpy().astype(np.float64)
@@ -182,7 +185,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Callable = _held
 
     Only numbers drawn from the whole text are inputs. The model is fitted on about ``sample_docs`` labelled rows at most for which
     ``held_out`` (a function of the id column; by default crc32(doc_id as text) mod 3 = 1) is not true; labels other than 0 and
-    1 and null ids are left out, and a document with several labels counts once for each. predicted is 1 if score >= 0.5. A null text counts as
+    1 and null ids are left out, and a document with both labels counts once for each. predicted is 1 if score >= 0.5. A null text counts as
     empty and is scored too. Without usable labels every score is the same. Repeated rows are returned as often as they come;
     an empty table gives an empty result; other columns are ignored.
     """
