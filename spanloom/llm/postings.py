@@ -20,10 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, runs, stored, utf8
+from .common import id_text, stored, utf8
 
 #: A block ends at so many documents or so many bytes of text.
 BLOCK_DOCS, BLOCK_BYTES = 8192, 16 << 20
+#: Rows for each bucket, and buckets at most: a task keeps a bucket's distinct chunks with their values, and streams its rows.
+BUCKET_ROWS, MOST_BUCKETS = 4096, 8192
 MOST = 65535
 
 _FIELDS = [("block", pa.int64()), ("bucket", pa.int32()), ("chunks", pa.binary()), ("lengths", pa.binary()), ("places", pa.binary()), ("repeats", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))]
@@ -45,7 +47,7 @@ def chunk_postings(docs: DataFrame, label: str, id_col: str = "doc_id", text_col
     A lost task makes the same blocks again from the same rows.
     """
     arrow = pa.schema(_FIELDS)
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MOST_BUCKETS, max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.select(F.col(id_col)).count() // BUCKET_ROWS))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
@@ -120,17 +122,23 @@ def chunk_sums(postings: DataFrame, value: Callable[[], Callable[[list[bytes]],
 
     def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worth, pack, unpack = value(), zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
-        for table in runs(batches, "bucket"):
-            bucket = table.column("bucket").to_numpy()
+        now, number, values = None, {}, np.empty((0, width), kind)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket = batch.column("bucket").to_numpy()
             begin = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             for a, b in zip(begin.tolist(), [*begin[1:].tolist(), bucket.size], strict=True):
-                own = table.slice(a, b - a)
+                if bucket[a] != now:
+                    now, number, values = bucket[a], {}, np.empty((0, width), kind)
+                own = batch.slice(a, b - a)
                 texts = [unpack(x).split(b" ") for x in own.column("chunks").to_pylist()]
-                distinct = list(set().union(*texts))
-                number = dict(zip(distinct, range(len(distinct)), strict=True))
-                values = np.concatenate([worth(distinct[k : k + 50_000]) for k in range(0, len(distinct), 50_000)]).astype(kind)
+                fresh = [c for c in set().union(*texts) if c not in number]
+                number.update(zip(fresh, range(len(number), len(number) + len(fresh)), strict=True))
+                for k in range(0, len(fresh), 50_000):
+                    values = np.concatenate([values, worth(fresh[k : k + 50_000]).astype(kind)])
                 found = [pack(values[np.fromiter(map(number.__getitem__, t), np.int64, len(t))].tobytes()) for t in texts]
-                yield pa.record_batch({"block": own.column("block").combine_chunks(), "bucket": own.column("bucket").combine_chunks(), "worth": pa.array(found, pa.binary())})
+                yield pa.record_batch({"block": own.column("block"), "bucket": own.column("bucket"), "worth": pa.array(found, pa.binary())})
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
