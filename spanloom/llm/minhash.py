@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, id_text
+from .common import SPACE_CHARS, id_text, utf8
 
 #: Bins of a fingerprint, and the low-order bits kept of each bin's least hash.
 BINS, BITS = 512, 4
@@ -109,60 +109,88 @@ def likeness(a: np.ndarray | None, b: np.ndarray | None) -> float:
     return min(1.0, max(0.0, (float((a == b).mean()) - chance) / (1 - chance)))
 
 
-def _ranges(docs: DataFrame) -> tuple[list[int], DataFrame]:
-    """Bounds that cut the ids into ranges of about RANGE_DOCS rows, and the ids."""
+def _ranges(docs: DataFrame) -> tuple[list[tuple[int, int]], bool]:
+    """Bounds (id, text hash) that cut the rows into ranges of about RANGE_DOCS, and whether some id is cut within.
+
+    An id with more rows than a range is cut by the hashes of its texts; there are fewer such ids than ranges.
+    """
     ids = docs.select("doc_id")
     n = ids.count()
     parts = max(1, min(MOST_RANGES, round(n / RANGE_DOCS)))
-    bounds = sorted({int(x) for x in ids.select(F.col("doc_id").cast("double")).approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)}) if parts > 1 else []
-    return bounds, ids
+    size = max(RANGE_DOCS, -(-n // parts))
+    bounds = {(int(x), 0) for x in ids.select(F.col("doc_id").cast("double")).approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)} if parts > 1 else set()
+    heavy = ids.groupBy("doc_id").count().filter(F.col("count") > size).collect() if parts > 1 else []
+    for row in heavy:
+        pieces = -(-row["count"] // size)
+        bounds |= {(row["doc_id"], k * ((1 << 64) // pieces)) for k in range(pieces)} | {(row["doc_id"] + 1, 0)}
+    return sorted(bounds), bool(heavy)
 
 
 def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has the last floor(n_chars / 4) code points replaced by as many of the start of the next document's text
-    (or all of it), in ascending order of doc_id; after the last comes the first. Equal ids are ordered by text, null ids come
-    first. A null text counts as empty; an empty or blank text has an empty fingerprint, whose likeness is 1 to another such
-    and 0 to any other. With one row only, the next document is the row itself. An empty table gives an empty result; other
-    columns are ignored.
+    (or all of it), in ascending order of doc_id; after the last comes the first. Equal ids are ordered by the XXH64 of their UTF-8,
+    then by text; null ids come first. A null text counts as empty; an empty or blank text has an empty fingerprint, whose
+    likeness is 1 to another such and 0 to any other. With one row only, the next document is the row itself. An empty table gives
+    an empty result; other columns are ignored.
 
-    The texts are shuffled once, by ranges of ids; the first row of a range also goes to the range before it.
+    The texts are shuffled once, by ranges of ids and, where an id has very many rows, of their hashes; the first row of a range
+    also goes to the range before it. Only rows that are equal in both stay together.
     """
     spark = docs.sparkSession
     own = id_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    bounds, ids = _ranges(own)
-    cut = spark.sparkContext.broadcast(np.array(bounds, np.int64))
-
-    def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.searchsorted(cut.value, batch.column("doc_id").to_numpy(), side="right")
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "text": batch.column("text"), "part": at.astype(np.int32)})
-
-    # the least id of each range that has rows: a few numbers a range
+    bounds, cut_within = _ranges(own)
+    cut = spark.sparkContext.broadcast((np.array([d for d, _ in bounds], np.int64), np.array([h for _, h in bounds], np.uint64)))
+
+    def hashes_of(batch: pa.RecordBatch) -> np.ndarray:
+        return np.fromiter((xxhash.xxh64_intdigest(t) for t in utf8(batch)), np.uint64, batch.num_rows)
+
+    def parts_of(seen: np.ndarray, hashes: np.ndarray | None) -> np.ndarray:
+        """The number of bounds at or below each (id, hash)."""
+        ids, at_hash = cut.value
+        low, high = np.searchsorted(ids, seen), np.searchsorted(ids, seen, side="right")
+        if hashes is None:
+            return high
+        for k in np.flatnonzero(high - low > 1).tolist():
+            high[k] = low[k] + np.searchsorted(at_hash[low[k] : high[k]], hashes[k], side="right")
+        return high
+
+    # the least id and hash of each range that has rows: a few numbers a range
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             seen = batch.column("doc_id").to_numpy()
-            if seen.size:
-                at = np.searchsorted(cut.value, seen, side="right")
-                parts = np.unique(at)
-                yield pa.record_batch({"part": parts.astype(np.int32), "least": np.array([seen[at == p].min() for p in parts], np.int64)})
-
-    firsts = {r["part"]: r["least"] for r in ids.mapInArrow(edges, "part int, least long").groupBy("part").agg(F.min("least").alias("least")).collect()}
+            hashes = hashes_of(batch) if cut_within else np.zeros(seen.size, np.uint64)
+            at = parts_of(seen, hashes if cut_within else None)
+            order = np.lexsort((hashes, seen, at))
+            first = order[np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]])]
+            # as a signed number in the hashes' order
+            yield pa.record_batch({"part": at[first].astype(np.int32), "least": seen[first], "h": (hashes[first] ^ np.uint64(1 << 63)).view(np.int64)})
+
+    read = own if cut_within else own.select("doc_id")
+    found = read.mapInArrow(edges, "part int, least long, h long").groupBy("part").agg(F.min(F.struct("least", "h")).alias("m")).collect()
+    firsts = {r["part"]: (r["m"]["least"], (r["m"]["h"] + (1 << 63)) if cut_within else None) for r in found}
     order = sorted(firsts)
     # the first row of a range is also the last row's next document in the range before (the first range's: in the last range)
     before = {firsts[p]: order[k - 1] for k, p in enumerate(order)}
-    leads = spark.sparkContext.broadcast(before)
+    leads = spark.sparkContext.broadcast((before, {d for d, _ in before}))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ranged(batches):
+        back, ids = leads.value
+        for batch in batches:
             n = batch.num_rows
-            yield pa.record_batch({"part": batch.column("part"), "after": np.zeros(n, np.int32), "doc_id": batch.column("doc_id"), "text": batch.column("text")})
-            back = leads.value
-            at = [k for k, x in enumerate(batch.column("doc_id").to_pylist()) if x in back]
+            if not n:
+                continue
+            seen, hashes = batch.column("doc_id").to_numpy(), hashes_of(batch)
+            part, signed = parts_of(seen, hashes if cut_within else None).astype(np.int32), (hashes ^ np.uint64(1 << 63)).view(np.int64)
+            yield pa.record_batch({"part": part, "after": np.zeros(n, np.int32), "doc_id": seen, "h": signed, "text": batch.column("text")})
+            names = {k: (x, int(hashes[k]) if cut_within else None) for k, x in enumerate(seen.tolist()) if x in ids}
+            at = [k for k, name in names.items() if name in back]
             if at:
                 some = batch.take(pa.array(at))
-                yield pa.record_batch({"part": pa.array([back[x] for x in some.column("doc_id").to_pylist()], pa.int32()), "after": np.ones(len(at), np.int32), "doc_id": some.column("doc_id"), "text": some.column("text")})
+                yield pa.record_batch({"part": pa.array([back[names[k]] for k in at], pa.int32()), "after": np.ones(len(at), np.int32), "doc_id": some.column("doc_id"), "h": signed[at], "text": some.column("text")})
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
@@ -213,8 +241,8 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
         if out:
             yield batch_of(out)
 
-    rows = own.mapInArrow(dealt, "part int, after int, doc_id long, text string")
-    found = rows.repartition("part").sortWithinPartitions("part", "after", "doc_id", "text").mapInArrow(
+    rows = own.mapInArrow(dealt, "part int, after int, doc_id long, h long, text string")
+    found = rows.repartition("part").sortWithinPartitions("part", "after", "doc_id", "h", "text").mapInArrow(
         printed, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     )
     return found.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))

@@ -76,19 +76,63 @@ def test_leaks_against_brute_force(spark, awkward, nothing):
 # ---- 2: fingerprints
 
 
-def test_fingerprints_against_brute_force(awkward, nothing, documents):
+def mixed(x):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ x >> shift) * factor % 2**64
+    return x ^ x >> 31
+
+
+PROBED = [[mixed(t * 512 + k + 0x51ED) % 512 for t in range(256)] for k in range(512)]
+
+
+def slow_sketch(text):
+    """A fingerprint's bins by the words of the method: the least hash of each of 512 bins, empty ones filled from the first filled bin probed."""
+    from spanloom.llm import minhash as m
+
+    w = [xxhash.xxh64_intdigest(x) for x in text.encode().lower().split()]
+    runs = [w[k : k + 5] for k in range(max(1, len(w) - 4))] if w else []
+    least = {}
+    for h in (mixed(sum(a * int(b) for a, b in zip(run, m._MULTIPLY, strict=False)) % 2**64) for run in runs):
+        least[h >> 55] = min(h, least.get(h >> 55, h))
+    if not least:
+        return None
+    out = []
+    for k in range(512):
+        place = next((p for p in (k, *PROBED[k]) if p in least), None)
+        out.append(least[place if place is not None else min((p for p in least), key=lambda p: (p - k) % 512)] & 15)
+    return out
+
+
+def slow_likeness(a, b):
+    if a is None or b is None:
+        return float(a is b)
+    return min(1.0, max(0.0, (sum(x == y for x, y in zip(a, b, strict=True)) / 512 - 1 / 16) / (15 / 16)))
+
+
+def slow_packed(low):
+    return "" if low is None else __import__("base64").b64encode(bytes(low[k] << 4 | low[k + 1] for k in range(0, 512, 2))).decode()
+
+
+@pytest.mark.parametrize("cut", [False, True])
+def test_fingerprints_against_brute_force(spark, awkward, nothing, documents, monkeypatch, cut):
     from spanloom.llm import minhash as m
 
-    for docs, data in ((awkward, [(x[0], x[1]) for x in AWKWARD]), (documents, [tuple(r) for r in documents.select("doc_id", "text").collect()])):
-        rows = sorted(((d if d is not None else -(1 << 63), t or "") for d, t in data))
+    crowded = [(None if k % 3 else k % 2, f"{k % 40} " + BASE[k % 60 :]) for k in range(120)]
+    sources = [(awkward, [(x[0], x[1]) for x in AWKWARD]), (spark.createDataFrame(crowded, "doc_id long, text string").repartition(3), crowded)]
+    if cut:
+        monkeypatch.setattr(m, "RANGE_DOCS", 10)  # so that ids are cut by hashes
+    else:
+        few = documents.limit(40).cache()
+        sources.append((few, [tuple(r) for r in few.select("doc_id", "text").collect()]))
+    for docs, data in sources:
+        rows = sorted(((d if d is not None else -(1 << 63), xxhash.xxh64_intdigest((t or "").encode()), t or "") for d, t in data))
         want = []
-        hashes = m.WordHashes()
-        low = [m.sketch(m.shingles(hashes.of(t.encode().lower().split()))) for _, t in rows]
-        for k, (d, t) in enumerate(rows):
-            following = rows[(k + 1) % len(rows)][1]
+        low = [slow_sketch(t) for *_, t in rows]
+        for k, (d, _, t) in enumerate(rows):
+            following = rows[(k + 1) % len(rows)][2]
             edited = t[: len(t) - len(t) // 4] + following[: len(t) // 4]
-            after = m.sketch(m.shingles(hashes.of(edited.encode().lower().split())))
-            want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), m.packed(low[k]), m.packed(after), m.likeness(low[k], after), m.likeness(low[k], low[(k + 1) % len(rows)])))
+            after = slow_sketch(edited)
+            want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), slow_packed(low[k]), slow_packed(after), slow_likeness(low[k], after), slow_likeness(low[k], low[(k + 1) % len(rows)])))
         got = [tuple(r) for r in m.fingerprint_neighbours(docs).select(F.coalesce("doc_id", F.lit(-(1 << 63))), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next").collect()]
         assert sorted(got) == sorted(want)
     assert m.fingerprint_neighbours(nothing).count() == 0
