@@ -123,7 +123,7 @@ def lag_of_signals(pairs: DataFrame, key: str, a: str, b: str, most: int) -> Dat
         both = np.fft.irfft(np.fft.rfft(x, size) * np.conj(np.fft.rfft(y, size)), size)
         lags = np.arange(-most, most + 1)
         score = both[lags % size] / (np.linalg.norm(x) * np.linalg.norm(y) + 1e-9)
-        at = int(score.argmax())
+        at = int(np.round(score, 9).argmax())
         far = score[np.abs(lags - lags[at]) > 5]
         return int(lags[at]), float((score[at] - far.mean()) / (far.std() + 1e-9)) if far.size else 0.0
 
@@ -139,8 +139,8 @@ def lag_of_signals(pairs: DataFrame, key: str, a: str, b: str, most: int) -> Dat
 def sample_pairs(items: DataFrame, key: str, label: str, group: str, n: int, seed: str = "pairs") -> DataFrame:
     """(a, b, target): per label up to ``n`` pairs of its items (target 1), and per group up to ``n`` of items with different labels (0).
 
-    No group is paired with itself whole: items stand in a seeded order, and each meets the next few of its label and the next
-    of its group that has another label.
+    No group is paired with itself whole: items stand in a seeded order, and each meets the next one of its label and, if that has
+    another label, the next one of its group.
     """
     mix = F.sha1(F.concat(F.lit(seed), F.col(key).cast("string")))
     by_label, by_group = Window.partitionBy(label).orderBy(mix), Window.partitionBy(group).orderBy(mix)

@@ -124,14 +124,26 @@ def accuracy(spark, sf):
     return found.select("l_returnflag", "n", F.round("accuracy", 6).alias("accuracy"))
 
 
-@register("q_signal_lag")
+@register("q_signal_lag", _E + """,
+h as (select user_id, t // 3600000000 as h, sum(value) v from e group by 1, 2), a as (select user_id, row_number() over (partition by user_id order by h) - 1 i, v from h),
+n as (select user_id, count(*) n, avg(v) m, sum(v) / (count(*) + 3) mb from a group by 1), x as (select user_id, i, v - m v from a join n using (user_id)),
+y as (select user_id, i + 3 as i, v - mb v from a join n using (user_id) union all select user_id, unnest(range(3)), -mb from n),
+l as (select user_id, unnest(range(-10, 11)) lag from n), nx as (select user_id, sqrt(sum(v * v)) q from x group by 1), ny as (select user_id, sqrt(sum(v * v)) q from y group by 1),
+c as (select l.user_id, l.lag, coalesce(sum(x.v * y.v), 0) / (any_value(nx.q) * any_value(ny.q) + 1e-9) s from l join nx using (user_id) join ny using (user_id) left join x on x.user_id = l.user_id left join y on y.user_id = l.user_id and x.i = y.i + l.lag group by 1, 2),
+b as (select user_id, arg_max(lag, (round(s, 9), -lag)) k, max(s) s from c group by 1)
+select b.user_id, k::bigint lag, round((any_value(b.s) - avg(c.s)) / (stddev_pop(c.s) + 1e-9), 3) score from b join c on c.user_id = b.user_id and abs(c.lag - k) > 5 group by 1, 2""")
 def signal_lag(spark, sf):
     users = events(spark, sf).groupBy("user_id", F.floor(F.col("t") / 3_600_000_000).alias("h")).agg(F.sum("value").alias("v"))
     series = users.groupBy("user_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("h", "v"))), lambda x: x["v"]).alias("a"))
-    return an.lag_of_signals(series.withColumn("b", F.concat(F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0)), F.col("a"))), "user_id", "a", "b", 10)
+    found = an.lag_of_signals(series.withColumn("b", F.concat(F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0)), F.col("a"))), "user_id", "a", "b", 10)
+    return found.withColumn("score", F.round("score", 3))
 
 
-@register("q_sample_pairs")
+@register("q_sample_pairs", """
+with i as (select vec_id, label, vec_id % 4 as season, sha1('pairs' || vec_id) h from embeddings),
+s as (select vec_id a, lead(vec_id) over w b, row_number() over w r from i window w as (partition by label order by h)),
+o as (select vec_id a, h, season, label, lead(vec_id) over w b, lead(label) over w l from i window w as (partition by season order by h)), d as (select *, row_number() over (partition by season order by h) r from o where l <> label)
+select a, b, 1 target from s where b is not null and r <= 20 union all select a, b, 0 from d where r <= 20""")
 def sample_pairs(spark, sf):
     items = table(spark, sf, "embeddings").select("vec_id", "label", (F.col("vec_id") % 4).alias("season"))
     return an.sample_pairs(items, "vec_id", "label", "season", 20)

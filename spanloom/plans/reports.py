@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from spanloom.functions import text as tx
 from spanloom.functions import vectors as vx
 from spanloom.operators import report as rp
 from spanloom.operators import signal as sg
@@ -211,6 +212,43 @@ def scrubbed(spark, sf):
     return st.without_fields(nested).select("conv_id", F.to_json("body").alias("body"))
 
 
+@register("q_report_files", "select n_nationkey, null as missing, n_name from nation")
+def report_files(spark, sf):
+    path = private_folder(spark, "report")
+    st.write_report(table(spark, sf, "nation"), path, ["n_nationkey", "missing", "n_name"])
+    return spark.read.schema("n_nationkey int, missing string, n_name string").option("header", True).csv(path)
+
+
+@register("q_encodings", "select c_custkey, 'éñ ' || c_custkey as line from customer")
+def encodings(spark, sf):
+    """Text files, some in UTF-8 and some in Latin-1 (as Windows-1252 has it), read by the same reader."""
+    rows = table(spark, sf, "customer").select(F.concat(F.lit("éñ "), F.col("c_custkey").cast("string")).alias("value"), F.col("c_custkey") % 2 == 0)
+    path = private_folder(spark, "encoded")
+    for n, encoding in enumerate(("UTF-8", "iso-8859-1")):
+        rows.filter(rows[1] == (n == 0)).select("value").write.mode("append").option("encoding", encoding).option("quote", "").csv(path)
+    lines = st.read_texts(spark, path, "*.csv").select(F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''")
+    return lines.select(F.regexp_extract("line", "([0-9]+)$", 1).cast("long").alias("c_custkey"), "line")
+
+
+@register("q_ids", """
+select o_orderkey, 'S' || (o_custkey % 40) || '_E' || lpad((o_orderkey % 17)::varchar, 2, '0') || '_U' || lpad((o_orderkey % 9999)::varchar, 4, '0') id, (o_custkey % 40)::int season, (o_orderkey % 17)::int episode, case when o_orderkey % 3 = 0 then (o_orderkey % 17 + 1)::int end second_episode from orders""")
+def ids(spark, sf):
+    k, s = F.col("o_orderkey"), (F.col("o_custkey") % 40).cast("string")
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    name = F.concat(F.lit("show.s"), F.lpad(s, 2, "0"), F.lit("e"), two(k % 17), F.when(k % 3 == 0, F.concat(F.lit("e"), two(k % 17 + 1))).otherwise(F.lit("")), F.lit(".mkv"))
+    return table(spark, sf, "orders").select("o_orderkey", tx.item_id(F.concat(F.lit("S"), s), k % 17, "U", k % 9999).alias("id"), tx.season_episode(name).alias("n")).select("o_orderkey", "id", "n.*")
+
+
+@register("q_italics", """
+with l as (select conv_id, turn, case turn % 5 when 1 then '<i>' || substr(text, 1, 9) when 3 then substr(text, 1, 9) || '</i>' when 4 then '<I>all</I>' else substr(text, 1, 9) end line from conversations),
+f as (select *, regexp_matches(line, '(?i)<i\\b[^>]*>') o, regexp_matches(line, '(?i)</i\\s*>') c from l), s as (select *, last_value(case when o and not c then true when c and not o then false end ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) was from f)
+select conv_id, turn, o or coalesce(was, false) is_italic from s""")
+def italics(spark, sf):
+    cut, k = F.substring("text", 1, 9), F.col("turn") % 5
+    line = F.when(k == 1, F.concat(F.lit("<i>"), cut)).when(k == 3, F.concat(cut, F.lit("</i>"))).when(k == 4, "<I>all</I>").otherwise(cut)
+    return tx.italic_lines(table(spark, sf, "conversations").select("conv_id", "turn", line.alias("line")), ["conv_id"], "turn", "line").select("conv_id", "turn", "is_italic")
+
+
 # ---- streams
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanloom.functions.text import clean_line
+from spanloom.functions.text import clean_line, season_episode
 from spanloom.functions.time import clock_seconds
 
 TIMING = r"(\d+:\d{2}:\d{2}[,.]\d{1,3})\s*-->\s*(\d+:\d{2}:\d{2}[,.]\d{1,3})"
@@ -18,6 +20,26 @@ def find_files(spark: SparkSession, path: str, glob: str = "*.srt") -> DataFrame
     return found.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")).filter(~F.col("path").rlike(r"/\.[^/]+$"))
 
 
+#: The extensions of videos.
+VIDEOS = ("mkv", "mp4", "m4v", "avi", "ts", "mov")
+
+
+def find_videos(spark: SparkSession, path: str) -> DataFrame:
+    """(path, size, modified, season, episode, second_episode) of the videos below ``path`` by their names; numbers are null where a name has none."""
+    found = find_files(spark, path, "*").filter(F.lower(F.element_at(F.split("path", r"\."), -1)).isin(*VIDEOS))
+    return found.withColumn("n", season_episode(F.element_at(F.split("path", "/"), -1))).select("path", "size", "modified", "n.*")
+
+
+def write_report(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """CSV files with a header, of ``columns`` in that order; those that ``df`` lacks stay blank."""
+    df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns)).write.option("header", True).csv(path)
+
+
+def stamp(at: Column) -> Column:
+    """A time as ISO text in UTC, to the second."""
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def read_texts(spark: SparkSession, path: str, glob: str = "*.srt") -> DataFrame:
     """(path, text): whole files, as UTF-8 without a byte-order mark, or as Windows-1252 where that is not valid UTF-8."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path).select("path", "content")
