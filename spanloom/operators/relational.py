@@ -8,6 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows of a few numbers each that a side sent to every task may have.
+SMALL_ROWS = 500_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most SMALL_ROWS rows, counted as far as that; else as it is, for a shuffle join."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str = "rank_no") -> DataFrame:
     """The first ``n`` rows of each group by ``order``, numbered in ``rank``."""
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= n)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.text import indel_ratio, name_words, partial_ratio
 
+from .relational import small_side
+
 
 def with_borrowed(members: DataFrame, owned: DataFrame, member: str, group: str, value: str, order: Sequence[Column]) -> DataFrame:
     """(member, value, borrowed): the member's best own value, else the best one any member of its group has; null if none has."""
@@ -122,7 +124,8 @@ def anchored_times(blocks: DataFrame, key: str, cues: DataFrame, words: DataFram
 def shared_blocks(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_words: Column, b_words: Column, width: int) -> DataFrame:
     """(a_key, b_key, n, first_at): runs of ``width`` equal words that two texts share: how many of a's places, and the first.
 
-    Both sides are keyed by a hash of the run, made distinct on b's side first.
+    Both sides are keyed by a hash of the run; a's repeats are counted first, so that no common run fills a task, and b's distinct ones,
+    where they are few, come to a's rows, which then don't move.
     """
 
     def places(words: Column) -> Column:
@@ -131,4 +134,6 @@ def shared_blocks(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_words: C
 
     left = a.select(a_key, F.posexplode(places(a_words)).alias("at", "h"))
     right = b.select(b_key, F.explode(places(b_words)).alias("h")).distinct()
-    return left.join(right, "h").groupBy(a_key, b_key).agg(F.count("*").alias("n"), F.min("at").alias("first_at"))
+    wanted = small_side(right)
+    counted = left.join(small_side(right.select("h").distinct()), "h", "left_semi").groupBy(a_key, "h").agg(F.count("*").alias("n"), F.min("at").alias("at"))
+    return counted.join(wanted, "h").groupBy(a_key, b_key).agg(F.sum("n").alias("n"), F.min("at").alias("first_at"))

@@ -12,6 +12,7 @@ from spanloom.operators.learn import fit_logistic, left_out_scores
 from spanloom.operators.relational import first_per_group
 
 from .registry import register
+from .relational import table
 from .sequence import _E, HOUR, ORDER, events
 from .vector import _LOO, vectors
 
@@ -189,3 +190,13 @@ def ablation(spark, sf):
     scored = [vec.leave_one_out(rows.withColumn("embedding", F.slice("embedding", 1, n)), "vec_id", "label", "embedding").withColumn("variant", F.lit(name)) for n, name in ((64, "whole"), (32, "half"))]
     found = rp.ablation(scored[0].unionByName(scored[1]), "variant", F.col("pred") == F.col("label"), {"thirds": F.col("vec_id") % 3 == 0, "low": F.col("label") < 5})
     return found.withColumn("accuracy", F.round("accuracy", 6))
+
+
+@register("q_audit_frame", """
+with v as (select o_orderkey k, o_custkey g, case when o_orderkey % 9 = 0 then 'X' else o_orderstatus end prev, o_orderstatus pred, case when o_custkey % 4 = 0 then 'reject' else 'confirm' end verdict from orders)
+select c_custkey g, c_nationkey episode, round(c_acctbal, 2) top1, (c_custkey % 4 <> 0)::int::double y from customer where c_nationkey >= 2 and c_custkey in (select g from v where prev = pred)""")
+def audit_frame(spark, sf):
+    orders = table(spark, sf, "orders")
+    said = orders.select(F.col("o_custkey").alias("g"), F.when(F.col("o_orderkey") % 9 == 0, "X").otherwise(F.col("o_orderstatus")).alias("prev_label"), F.col("o_orderstatus").alias("pred"), F.when(F.col("o_custkey") % 4 == 0, "reject").otherwise("confirm").alias("verdict"))
+    groups = table(spark, sf, "customer").select(F.col("c_custkey").alias("g"), F.col("c_nationkey").alias("episode"), F.round("c_acctbal", 2).alias("top1"))
+    return cal.audit_frame(said, groups, "g").select("g", "episode", "top1", "y")

@@ -239,6 +239,13 @@ def ids(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", tx.item_id(F.concat(F.lit("S"), s), k % 17, "U", k % 9999).alias("id"), tx.season_episode(name).alias("n")).select("o_orderkey", "id", "n.*")
 
 
+@register("q_stamps", "select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') at_utc from events")
+def stamps(spark, sf):
+    from spanloom.functions.time import micros
+
+    return table(spark, sf, "events").select("event_id", st.stamp(F.timestamp_micros(micros("ts"))).alias("at_utc"))
+
+
 @register("q_italics", """
 with l as (select conv_id, turn, case turn % 5 when 1 then '<i>' || substr(text, 1, 9) when 3 then substr(text, 1, 9) || '</i>' when 4 then '<I>all</I>' else substr(text, 1, 9) end line from conversations),
 f as (select *, regexp_matches(line, '(?i)<i\\b[^>]*>') o, regexp_matches(line, '(?i)</i\\s*>') c from l), s as (select *, last_value(case when o and not c then true when c and not o then false end ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) was from f)
@@ -255,13 +262,13 @@ def italics(spark, sf):
 @register("q_stream_dedupe", """
 with recursive o as (select user_id, epoch_us(ts) / 1e6 t, row_number() over (partition by user_id order by epoch_us(ts), event_id) rn from events),
 f as (select user_id, rn, t, t a from o where rn = 1 union all select o.user_id, o.rn, o.t, case when o.t - f.a <= 86400 then f.a else o.t end from f join o on o.user_id = f.user_id and o.rn = f.rn + 1)
-select user_id, count(distinct a) n_kept, round(min(a), 3) first_s from f group by 1""")
+select user_id, count(distinct a) n_kept, round(min(a) * 1e6)::bigint first_us from f group by 1""")
 def stream_dedupe(spark, sf):
     from spanloom.functions.time import micros
 
     stream = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf).select("user_id", (micros("ts") / F.lit(1e6)).alias("at"))
     kept = ss.run_available(ss.dedupe_stream(stream, "user_id", "at", 86_400.0), private_folder(spark, "deduped"), private_folder(spark, "state"))
-    return kept.groupBy("user_id").agg(F.count("*").alias("n_kept"), F.round(F.min("at"), 3).alias("first_s"))
+    return kept.groupBy("user_id").agg(F.count("*").alias("n_kept"), F.round(F.min("at") * 1e6).cast("long").alias("first_us"))
 
 
 @register("q_stream_changes", """
