@@ -79,15 +79,18 @@ def fuzzy_best(tokens: DataFrame, names: DataFrame, token: str, name: str, least
 def mentions(texts: DataFrame, key: str, text: str, names: DataFrame, who: str, name: str) -> DataFrame:
     """(key, who, n): how often a text names someone, as whole words in any case; the longest of someone's names counts at a place.
 
-    ``names`` has a row per person and name, of one word or several. A name's first run of letters must be a run of the text, so
-    candidates come from an equi-join on runs; what is left is one pattern a person, matched on the text.
+    ``names`` has a row per person and name, of one word or several. A name's first run of letters, with the second if it has one, must be
+    a run of the text and the one after it, so candidates come from an equi-join on those; what is left is one pattern a person,
+    matched on the text.
     """
     known = names.select(who, F.trim(F.lower(F.col(name))).alias("__n")).filter(F.length("__n") >= 2).distinct()
-    first = F.get(name_words(F.col("__n")), F.lit(0)).alias("__w")
+    first = F.array_join(F.slice(name_words(F.col("__n")), 1, 2), " ").alias("__w")
     quoted = F.transform(F.reverse(F.array_sort(F.collect_set(F.struct(F.length("__n").alias("l"), F.col("__n").alias("n"))))), lambda x: F.regexp_replace(x["n"], r"([^A-Za-z0-9 ])", r"\\$1"))
     patterns = known.groupBy(who).agg(F.concat(F.lit("(?i)(?<![A-Za-z'])(?:"), F.array_join(quoted, "|"), F.lit(")(?![A-Za-z])")).alias("__p"))
-    runs = texts.select(key, F.explode(F.array_distinct(name_words(F.col(text)))).alias("__w"))
-    asked = runs.join(known.select(who, first).distinct(), "__w").select(key, who).distinct()
+    said = texts.select(key, name_words(F.col(text)).alias("__s"))
+    both = F.zip_with("__s", F.slice("__s", 2, 1 << 30), lambda a, b: F.concat_ws(" ", a, b))
+    runs = said.select(key, F.explode(F.array_distinct(F.concat("__s", both))).alias("__w"))
+    asked = runs.join(small_side(known.select(who, first).distinct()), "__w").select(key, who).distinct()
     counted = texts.select(key, text).join(asked, key).join(patterns, who).withColumn("n", F.regexp_count(F.col(text), F.col("__p")))
     return counted.filter("n > 0").select(key, who, F.col("n").cast("long").alias("n"))
 

@@ -179,15 +179,19 @@ def bursts(df: DataFrame, at: str, who: str, window: int, least: int) -> DataFra
     """
     known = df.filter(F.col(at).isNotNull() & F.col(who).isNotNull()).select(F.col(who).alias("__w"), F.col(at).alias("__b"), (F.col(at) - window).alias("__a")).distinct()
     united = interval_union(known, ["__w"], "__a", "__b")
-    begun = united.groupBy(F.col("__a").alias("__t")).agg(F.count("*").alias("n"))
-    over = united.groupBy((F.col("__b") + 1).alias("__t")).agg((-F.count("*")).alias("n"))
-    anchors = known.select(F.col("__b").alias("__t"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("__anchor")).distinct()
-    steps = begun.unionByName(over).unionByName(anchors, allowMissingColumns=True).groupBy("__t").agg(F.sum("n").alias("n"), F.max("__anchor").alias("__anchor"))
-    counted = running(steps, "__t", {"__there": "n"})
-    # the last anchor of a burst at or before a time
-    opened = counted.filter("__anchor").withColumn("__open", F.when(F.col("__there") >= least, F.col("__t")))
-    last = running(opened, "__t", {"__last": "__open"}, F.max).filter(F.col("__last") >= F.col("__t") - window).select(F.col("__t").alias(at), F.lit(True).alias("__hit"))
-    return df.join(last, at, "left").select(*df.columns, (F.coalesce("__hit", F.lit(False)) & F.col(who).isNotNull()).alias("in_burst"))
+    one = lambda t, n, anchor: F.struct(t.alias("t"), F.lit(n).cast("long").alias("n"), F.lit(anchor).alias("anchor"))
+    turns = united.select(F.explode(F.array(one(F.col("__a"), 1, False), one(F.col("__b") + 1, -1, False))).alias("s"))
+    steps = turns.unionByName(known.select(one(F.col("__b"), 0, True).alias("s"))).groupBy(F.col("s.t").alias("__t")).agg(F.sum("s.n").alias("n"), F.max("s.anchor").alias("__anchor"))
+    counted = running(steps, "__t", {"__there": "n"}, like=df.select(at))
+    # a bin as wide as the window: an anchor up to ``window`` before a time is in its bin, not after it, or in the bin before, late enough
+    of = lambda t: F.floor(t / window)
+    opened = counted.filter(F.col("__anchor") & (F.col("__there") >= least)).groupBy(of(F.col("__t")).alias("__bin")).agg(F.min("__t").alias("__lo"), F.max("__t").alias("__hi"))
+    nothing = F.lit(None).cast("long")
+    both = F.array(F.struct(F.col("__bin").alias("bin"), F.col("__lo").alias("lo"), nothing.alias("late")), F.struct((F.col("__bin") + 1).alias("bin"), nothing.alias("lo"), F.col("__hi").alias("late")))
+    bins = opened.select(F.explode(both).alias("s")).groupBy(F.col("s.bin").alias("__bin")).agg(F.min("s.lo").alias("__lo"), F.max("s.late").alias("__late"))
+    joined = df.withColumn("__bin", of(F.col(at))).join(bins, "__bin", "left")
+    hit = (F.col("__lo") <= F.col(at)) | (F.col("__late") >= F.col(at) - window)
+    return joined.select(*df.columns, (F.coalesce(hit, F.lit(False)) & F.col(who).isNotNull()).alias("in_burst"))
 
 
 def interval_union(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:

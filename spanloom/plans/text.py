@@ -31,11 +31,11 @@ def upper_share(spark, sf):
 
 @register("q_mentions", """
 with b as (select item_id, regexp_extract_all(lower(text), '([a-z]+)', 1) w from benchmark),
-n as (select item_id, w[1] || ' ' || w[2] a, w[3] b from b where len(w) >= 3)
-select doc_id, item_id from documents, n where regexp_matches(' ' || lower(text) || ' ', '[^a-z''](?:' || a || case when length(b) >= 2 then '|' || b else '' end || ')[^a-z]')""")
+n as (select item_id, w[1] || ' ' || w[2] a, w[3] || ' ' || w[4] b from b where len(w) >= 4)
+select doc_id, item_id from documents, n where regexp_matches(' ' || lower(text) || ' ', '[^a-z''](?:' || a || '|' || b || ')[^a-z]')""")
 def mentions(spark, sf):
     w = tx.name_words(F.col("text"))
-    items = table(spark, sf, "benchmark").filter(F.size(w) >= 3).select("item_id", F.explode(F.array(F.concat_ws(" ", w[0], w[1]), w[2])).alias("name"))
+    items = table(spark, sf, "benchmark").filter(F.size(w) >= 4).select("item_id", F.explode(F.array(F.concat_ws(" ", w[0], w[1]), F.concat_ws(" ", w[2], w[3]))).alias("name"))
     return rs.mentions(table(spark, sf, "documents"), "doc_id", "text", items, "item_id", "name").select("doc_id", "item_id")
 
 
