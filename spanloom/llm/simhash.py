@@ -318,9 +318,10 @@ def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates, that with the smallest id; of rows with equal ids one stays.
+    """``docs`` with one row of each group of near duplicates, that with the smallest id.
 
-    Rows with a null id all stay.
+    Rows with equal ids are one document: it goes if any of them is a near copy of a smaller id's; of one that stays, the row stays
+    whose columns come first as JSON, so a rerun keeps the same. Rows with a null id all stay.
     """
     gone = stored(near_duplicate_ids(docs, id_col, text_col, least), "gone")
     kept = docs.join(small_side(gone.withColumnRenamed("doc_id", id_col), gone.count()), id_col, "left_anti").select(docs.columns)
@@ -328,5 +329,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     n = again.count()
     if not n:
         return kept
-    once = kept.join(small_side(again, n), id_col, "left_semi").dropDuplicates([id_col])
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    once = kept.join(small_side(again, n), id_col, "left_semi").groupBy(id_col).agg(F.min_by(whole, F.to_json(whole)).alias("__row")).select("__row.*")
     return kept.join(small_side(again, n), id_col, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 VOCABULARY = [f"{a}{b}{c}" for a in "bcdfghklm" for b in "aeiou" for c in ("rt", "ls", "nd", "mp")]
 
@@ -87,3 +88,14 @@ def test_a_bucket_read_in_pieces_stays_connected(monkeypatch):
                 root = [a if r == b else r for r in root]
     assert root == [0] * 5 + [5] * 170 + [175] + [176] * 40
     assert full == set(np.flatnonzero((keys == 2) | (keys == 4)).tolist())
+
+
+def test_of_equal_ids_the_same_row_stays(spark):
+    from spanloom.llm.simhash import drop_near_duplicates
+
+    rng = random.Random(9)
+    text = lambda: " ".join(rng.choice(VOCABULARY) for _ in range(60))
+    rows = [(k % 12, text(), k) for k in range(36)] + [(None, text(), 99), (None, None, 98)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    kept = [sorted(map(tuple, drop_near_duplicates(some).collect()), key=str) for some in (df.repartition(5), df.orderBy(F.desc("n")).coalesce(2))]
+    assert kept[0] == kept[1] and sorted(r[0] for r in kept[0] if r[0] is not None) == list(range(12)) and len(kept[0]) == 14
