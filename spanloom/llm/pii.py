@@ -265,12 +265,12 @@ def replace_personal_data(docs: DataFrame, key: str, id_col: str = "doc_id", tex
     if not key:
         raise ValueError("a secret key is needed")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    described = _described(_mentions(F.coalesce("text", F.lit(""))))
+    # texts are searched once; what was found is stored beside them
+    found = stored(own.withColumn("found", _described(_mentions(F.coalesce("text", F.lit(""))))), "mentions")
     shown = lambda column: F.flatten(F.transform(F.filter(column, lambda e: e["kind"].isNotNull()), lambda e: e["entities"]))
-    entities = own.select(F.explode(F.array_distinct(shown(described))).alias("entity"))
+    entities = found.select(F.explode(F.array_distinct(shown(F.col("found")))).alias("entity"))
     again = stored(retries(entities, key).filter("attempt > 0 or own <> entity"), "retries")
     size = again.agg(F.count("*").alias("n"), F.sum(F.octet_length("entity") + F.octet_length("own")).alias("bytes")).first()
-    found = own.withColumn("found", described)
     if not size["n"]:
         found = found.withColumn("again", F.create_map().cast("map<string,struct<own:string,attempt:int>>"))
     else:
