@@ -98,6 +98,26 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ranked import search_documents
+
+    return search_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_OP13 = r"""
+with d as (select row_number() over () r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') t from documents),
+q as (select row_number() over () i, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') t from benchmark),
+s as (select count(*)::bigint n_docs, sum(len(t))::bigint n_terms from d where len(t) > 0),
+p as (select r, term, count(*)::bigint tf from (select r, unnest(t) term from d) group by all),
+w as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint w from p, s group by term, n_docs),
+m as (select r, doc_id, 25 + (75 * len(t)::bigint * n_docs) // n_terms m from d, s where len(t) > 0),
+qt as (select i, term, count(*)::bigint times from (select i, unnest(t) term from q) group by all),
+x as (select i, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint score from qt join w using (term) join p using (term) join m using (r) group by all),
+y as (select i, doc_id, score, row_number() over (partition by i order by score desc, doc_id) rank from x join m using (r) where score > 0)
+select item_id, rank::int rank, doc_id, score from y join q using (i) where rank <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_containment": op1_benchmark_containment,
     "op2_minhash_fingerprints": op2_minhash_fingerprints,
@@ -109,9 +129,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash_pigeonring": op10_simhash_pigeonring,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE: dict[str, str] = {
     "op1_benchmark_containment": _OP1,
     "op5_warc_histories": _OP5,
+    "op13_ranked_search": _OP13,
 }
