@@ -98,6 +98,44 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .manifest import manifest_proofs
+
+    return manifest_proofs(_table(spark, sf_dir, "documents"))
+
+
+def _op12(levels: int = 9) -> str:
+    """The SQL of op12, a step a level, for groups of up to 8 ** ``levels`` rows and fewer than 65 groups.
+
+    A CRC-32 takes eight shifts a byte, so a list of the bytes, each followed by eight marks, is folded into it.
+    """
+    field = "case when {0} is null then '-' else octet_length(encode({0}::varchar))::varchar || ':' || {0}::varchar end".format
+    row = "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {})"
+    tampered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = "list_reduce([4294967295] || flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])), lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384 * (a & 1)) end)"
+    siblings = "coalesce(string_agg(h, '' order by idx) over (partition by g, idx // 8 order by idx rows between {}), '')".format
+    steps = [
+        f"d as (select row_number() over () r, doc_id, lang, {row.format(field('text'))} leaf, case when xor({crc}, 4294967295) % 3 = 0 then {row.format(field(tampered))} end other from documents)",
+        "l0 as (select r, lang g, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 idx, count(*) over (partition by lang) n, leaf h from d)",
+    ]
+
+    def tree(name: str, height: int) -> None:
+        for k in range(height):
+            steps.append(f"{name}p{k} as (select g, idx, n, h, {siblings('unbounded preceding and 1 preceding')} a, {siblings('1 following and unbounded following')} b from {name}{k})")
+            steps.append(f"{name}{k + 1} as (select g, idx // 8 idx, (any_value(n) + 7) // 8 n, case when any_value(n) > 1 then sha256(string_agg(h, '' order by idx)) else any_value(h) end h from {name}{k} group by g, idx // 8)")
+
+    tree("l", levels)
+    steps.append(f"t0 as (select 0 g, g lang, row_number() over (order by g nulls first) - 1 idx, count(*) over () n, h, h subroot from l{levels})")
+    tree("t", 2)
+    steps.append("f0 as (select d.doc_id, d.leaf, d.lang, l0.idx, coalesce(d.other, d.leaf) h, '' proof from d join l0 using (r))")
+    for k in range(levels):
+        steps.append(f"f{k + 1} as (select f.doc_id, f.leaf, f.lang, f.idx // 8 idx, case when p.n > 1 then sha256(p.a || f.h || p.b) else f.h end h, f.proof || case when p.n > 1 then p.a || p.b else '' end proof from f{k} f join lp{k} p on f.lang is not distinct from p.g and f.idx = p.idx)")
+    steps.append(f"g0 as (select f.doc_id, f.leaf, t.subroot, t.idx, f.h, f.proof from f{levels} f join t0 t on f.lang is not distinct from t.lang)")
+    for k in range(2):
+        steps.append(f"g{k + 1} as (select f.doc_id, f.leaf, f.subroot, f.idx // 8 idx, case when p.n > 1 then sha256(p.a || f.h || p.b) else f.h end h, f.proof || case when p.n > 1 then p.a || p.b else '' end proof from g{k} f join tp{k} p on f.idx = p.idx)")
+    return "with " + ",\n".join(steps) + "\nselect doc_id, leaf, subroot, t2.h root, sha256(proof) proof_sha256, g2.h folded_root, g2.h = t2.h verified from g2, t2"
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ranked import search_documents
 
@@ -129,11 +167,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash_pigeonring": op10_simhash_pigeonring,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE: dict[str, str] = {
     "op1_benchmark_containment": _OP1,
     "op5_warc_histories": _OP5,
+    "op12_merkle_manifest": _op12(),
     "op13_ranked_search": _OP13,
 }
