@@ -63,6 +63,23 @@ def join_hot(rows: DataFrame, facts: DataFrame, key: str, total: int, n: str = "
     return rows.join(hot, key).unionByName(rest)
 
 
+def join_spread(rows: DataFrame, wide: DataFrame, key: str, most: int = 1000) -> DataFrame:
+    """``rows`` joined with ``wide``, a long row a key: a key with more than ``most`` rows is dealt to several places, its long row to each.
+
+    That makes no more copies of long rows than there are keys and a thousandth of the rows.
+    """
+    counts = rows.groupBy(key).agg(F.ceil(F.count("*") / most).cast("int").alias("__places"))
+    heavy = stored(counts.filter("__places > 1"), "heavy")
+    n = heavy.count()
+    if not n:
+        return rows.join(wide, key)
+    heavy = small_side(heavy, n)
+    place = F.pmod(F.xxhash64(*(c for c in rows.columns if c != key)), F.coalesce("__places", F.lit(1))).cast("int")
+    dealt = rows.join(heavy, key, "left").withColumn("__place", place).drop("__places")
+    copies = wide.join(heavy, key, "left").withColumn("__place", F.explode(F.sequence(F.lit(0), F.coalesce("__places", F.lit(1)) - 1))).drop("__places")
+    return dealt.join(copies, [key, "__place"]).drop("__place")
+
+
 def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
     """Lets no Arrow batch of this session hold more rows or bytes than this: rows are whole texts, and a task holds a few batches."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):

@@ -55,16 +55,16 @@ class WordHashes:
         return np.fromiter(map(kept.__getitem__, words), np.uint64, len(words))
 
 
-def shingles(word_hashes: np.ndarray) -> np.ndarray:
-    """A hash per run of WIDTH words; of all words if they are fewer."""
+def shingles(word_hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """A hash per run of ``width`` words (five at most); of all words if they are fewer."""
     n = word_hashes.size
     if not n:
         return word_hashes
-    if n < WIDTH:
+    if n < width:
         return _mixed((word_hashes * _MULTIPLY[:n]).sum(keepdims=True))
-    total = word_hashes[: n - WIDTH + 1] * _MULTIPLY[0]
-    for k in range(1, WIDTH):
-        total += word_hashes[k : n - WIDTH + 1 + k] * _MULTIPLY[k]
+    total = word_hashes[: n - width + 1] * _MULTIPLY[0]
+    for k in range(1, width):
+        total += word_hashes[k : n - width + 1 + k] * _MULTIPLY[k]
     return _mixed(total)
 
 

@@ -1,15 +1,19 @@
-"""Pairs of near copies: candidates by banded MinHash, each verified on the shingles of both whole texts.
+"""Pairs of near copies among sets of word shingles: candidates by keys of MinHash signatures, each verified on the shingles of both whole texts.
 
-A text is the set of its five-word shingles. Texts that share all MinHashes of a band meet in that band's bucket; at a likeness of
-0.8 a pair shares none of the bands with a chance of (1 - 0.8^4)^16, 0.0002. A bucket's pairs are told if their sketches (a byte
-a MinHash) don't rule them out, and a link is only what an exact count of common shingles confirms. A full bucket is read in pieces,
-and its members are first compared with a few centres; once those pairs are verified, the members that are not joined with the
-most are compared, by their sets, with all others of the bucket in blocks.
+A text is the set of its shingles, and its signature PLACES MinHashes of that set, the low-order BITS of each. A ``Scheme`` says which keys a
+signature has; texts that share one meet in that key's bucket, where only hashes travel. A pair is a candidate if its signatures differ
+in at most ``radius`` places, and a link is only what an exact count of common shingles confirms.
+
+Buckets of up to FULL sets tell all their pairs. The members of a fuller one are first compared with a few centres, by signatures. Once
+those pairs are verified, what is left are members not joined with the most of their bucket: these meet by prefixes, which misses no pair,
+as sets of which one is at least ``least`` of their union share one of their rarest shingles, each set giving 1 - ``least`` of its own and
+one more. So a bucket's work follows its members and what they share that is rare, not its pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -17,15 +21,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, join_hot, small_side, stored, utf8
+from .common import id_text, join_hot, join_spread, small_side, stored, utf8
 from .graph import connected_components
 from .minhash import WordHashes, _mixed, shingles
 
 #: Likeness from which two texts are near copies.
 LEAST = 0.8
-BANDS, ROWS = 16, 4
-#: Sketches rule a pair out if they show a likeness lower than LEAST by this: four deviations of the estimate.
-SLACK = 0.2
+#: MinHashes of a signature, and the low-order bits kept of each.
+PLACES, BITS = 64, 16
+#: Places in which the signatures of a pair may differ. At a likeness of 0.8 more than these differ with a chance of 0.000014.
+RADIUS = 27
 #: A bucket with more members than this is compared from centres first.
 FULL = 32
 CENTRES = 4
@@ -33,19 +38,43 @@ CENTRES = 4
 PIECE = 2048
 #: Hashes and pairs worked on together.
 HELD = 8192
-_HASHES = BANDS * ROWS
-_XOR, _TIMES = _mixed(np.arange(1, _HASHES + 1, dtype=np.uint64))[:, None], _mixed(np.arange(1001, _HASHES + 1001, dtype=np.uint64))[:, None] | np.uint64(1)
+#: Slots in which shingles are counted to tell rare ones from common ones; shingles that share a slot only count as less rare.
+SLOTS = 1 << 18
+_XOR, _TIMES = _mixed(np.arange(1, PLACES + 1, dtype=np.uint64))[:, None], _mixed(np.arange(1001, PLACES + 1001, dtype=np.uint64))[:, None] | np.uint64(1)
+
+
+def band_keys(signatures: np.ndarray, rows: int = 4) -> Iterator[np.ndarray]:
+    """A key for each run of ``rows`` places, all equal."""
+    for a in range(0, PLACES, rows):
+        yield folded(signatures[:, a : a + rows], a)
+
+
+def folded(columns: np.ndarray, number: int) -> np.ndarray:
+    """A hash per line of some places' values, and of the number of the key they make."""
+    key = np.full(columns.shape[0], number + 1, np.uint64)
+    for column in columns.T:
+        key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
+    return key.view(np.int64)
+
+
+class Scheme(NamedTuple):
+    """Words of a shingle, the keys of signatures (a function from an array of signatures to arrays of keys), and the likeness of a link."""
+
+    width: int = 5
+    keys: Callable[[np.ndarray], Iterator[np.ndarray]] = band_keys
+    least: float = LEAST
+    radius: int = RADIUS
 
 
 def _least_hashes(hashes: np.ndarray) -> np.ndarray:
-    least = np.full(_HASHES, np.iinfo(np.uint64).max, np.uint64)
+    least = np.full(PLACES, np.iinfo(np.uint64).max, np.uint64)
     for a in range(0, hashes.size, HELD):
         np.minimum(least, ((hashes[a : a + HELD] ^ _XOR) * _TIMES).min(axis=1), out=least)
     return least
 
 
-def _set_of(text: bytes, words: WordHashes) -> np.ndarray:
-    return np.unique(shingles(words.of(text.lower().split())))
+def _set_of(text: bytes, words: WordHashes, width: int) -> np.ndarray:
+    return np.unique(shingles(words.of(text.lower().split()), width))
 
 
 def _print(hashes: np.ndarray) -> int:
@@ -53,37 +82,26 @@ def _print(hashes: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(hashes.tobytes(), 7)
 
 
-def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long, bands array<long>, sketch binary): the text's set as one hash, its bands' keys (none without words) and sketch."""
+def prints(docs: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, h long, fp long, n long, sketch binary): a hash of the text, its set as one hash, the set's size and signature (empty without words)."""
+    width = scheme.width
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            fps, bands, sketches = [], [], []
+            fps, sizes, sketches = [], [], []
             for text in utf8(batch):
-                hashes = _set_of(text, words)
+                hashes = _set_of(text, words, width)
                 fps.append(_print(hashes))
-                if not hashes.size:
-                    bands.append(np.empty(0, np.int64))
-                    sketches.append(b"")
-                    continue
-                least = _mixed(_least_hashes(hashes))
-                key = np.arange(BANDS, dtype=np.uint64)
-                for column in least.reshape(BANDS, ROWS).T:
-                    key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
-                bands.append(key.view(np.int64))
-                sketches.append(least.astype(np.uint8).tobytes())
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": np.array(fps, np.uint64).view(np.int64), "bands": pa.array(bands, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.binary())})
-
-    return id_text(docs, id_col, text_col).mapInArrow(made, "doc_id long, fp long, bands array<long>, sketch binary")
+                sizes.append(hashes.size)
+                sketches.append(_mixed(_least_hashes(hashes)).astype(np.uint16).tobytes() if hashes.size else b"")
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "h": batch.column("h"), "fp": np.array(fps, np.uint64).view(np.int64), "n": np.array(sizes, np.int64), "sketch": pa.array(sketches, pa.binary())})
 
+    return id_text(docs, id_col, text_col).withColumn("h", F.xxhash64("text")).mapInArrow(made, "doc_id long, h long, fp long, n long, sketch binary")
 
-def _sketches(rows: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, _HASHES)
 
-
-def _pairs(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch({"u": np.minimum(u, v), "v": np.maximum(u, v), "key": np.zeros(u.size, np.int64), "sketch": pa.nulls(u.size, pa.binary())})
+def _sketches(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, PLACES)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, bool]]:
@@ -109,42 +127,49 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, bool]
         yield held, False
 
 
-def _told(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (u, v) of small buckets and of full ones' centres; also the members of full buckets, with v null."""
-    most = int((1 - least) * _HASHES)  # bytes that may differ
-    going, centres = None, []  # the key that was cut, and the centres of its first piece
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs (u, v) of buckets of up to FULL members; the members of fuller ones as (u, null, key)."""
+    going = None  # the key that was cut
     for rows, goes_on in _pieces(batches):
         key, fps = rows.column("key").to_numpy(), rows.column("fp").to_numpy()
         begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         sizes = np.diff(np.r_[begin, key.size])
-        cut = (key[begin] == going) if going is not None else np.zeros(begin.size, bool)
+        full = sizes > FULL
+        if going is not None and key[0] == going:
+            full[0] = True
         if goes_on:
-            cut[-1] = True
-        wanted = (sizes > 1) | cut
-        begin, sizes, cut = begin[wanted], sizes[wanted], cut[wanted]
-        if not begin.size:
-            continue
-        tight = (sizes <= FULL) & ~cut
-        small = np.repeat(begin[tight], sizes[tight])
-        left = small + np.arange(small.size) - np.repeat(np.cumsum(sizes[tight]) - sizes[tight], sizes[tight])
-        sketch = _sketches(rows)
+            full[-1] = True
+        going = key[-1] if goes_on else None
+        tight = (sizes > 1) & ~full
+        left = np.repeat(begin[tight], sizes[tight])
+        left = left + np.arange(left.size) - np.repeat(np.cumsum(sizes[tight]) - sizes[tight], sizes[tight])
         for step in range(1, FULL):
             left = left[left + step < key.size]
             left = left[key[left] == key[left + step]]
             for a in range(0, left.size, HELD):
-                at = left[a : a + HELD]
-                at = at[(sketch[at] != sketch[at + step]).sum(axis=1) <= most]
-                yield _pairs(fps[at], fps[at + step])
-        for a, n in zip(begin[~tight].tolist(), sizes[~tight].tolist(), strict=True):
-            own, members = sketch[a : a + n], fps[a : a + n]
-            free = np.ones(n, bool)
+                u, v = fps[left[a : a + HELD]], fps[left[a : a + HELD] + step]
+                yield pa.record_batch({"u": np.minimum(u, v), "v": np.maximum(u, v), "key": np.zeros(u.size, np.int64)})
+        at = np.repeat(full, sizes)
+        if at.any():
+            yield pa.record_batch({"u": fps[at], "v": pa.nulls(int(at.sum()), pa.int64()), "key": key[at]})
+
+
+def _centred(batches: Iterator[pa.RecordBatch], radius: int, close: float) -> Iterator[pa.RecordBatch]:
+    """Candidates (u, v) of a few centres of each bucket (rows sorted by key), which stay the same in all pieces of a bucket."""
+    going, centres = None, []
+    for rows, goes_on in _pieces(batches):
+        key, fps, sketch = rows.column("key").to_numpy(), rows.column("fp").to_numpy(), _sketches(rows.column("sketch"))
+        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), key.size], strict=True):
+            own, members = sketch[a:b], fps[a:b]
+            free = np.ones(b - a, bool)
             known = centres if key[a] == going else []
             fresh = []
             for number in range(len(known) + CENTRES):
                 at = np.flatnonzero(free)
                 if number < len(known):
                     name, centre = known[number]
-                elif at.size:
+                elif at.size and len(known) + len(fresh) < CENTRES:
                     some = own[at[:: max(1, at.size // 64)]]
                     where = at[np.argmin(sum((own[at] != s).sum(axis=1) for s in some))]
                     name, centre = int(members[where]), own[where].copy()
@@ -152,96 +177,169 @@ def _told(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Record
                 else:
                     break
                 apart = (own != centre).sum(axis=1)
-                free &= (apart > (1 - LEAST) * _HASHES / 2) & (members != name)
-                hit = np.flatnonzero((apart <= most) & (members != name))
-                yield _pairs(np.full(hit.size, name), members[hit])
-            if key[a] != going:
-                going, centres = (key[a], fresh) if goes_on and a + n == key.size else (None, [])
-            yield pa.record_batch({"u": members, "v": pa.nulls(n, pa.int64()), "key": key[a : a + n], "sketch": pa.nulls(n, pa.binary())})
-        if not goes_on:
-            going, centres = None, []
-
-
-def _compared(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Links (u, v): in each (key, piece) the rows of side 1 against those of side 0, which come first and are few, by exact counts."""
-    now, sets, names, index = None, [], [], None
-
-    def built() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-        order = np.argsort(flat, kind="stable")
-        return flat[order], owner[order], sizes, np.array(names, np.int64)
+                free &= (apart > close) & (members != name)
+                hit = members[(apart <= radius) & (members != name)]
+                yield pa.record_batch({"u": np.minimum(hit, name), "v": np.maximum(hit, name)})
+            last = b == key.size and goes_on
+            going, centres = (key[a], [*known, *fresh]) if last else (None, [])
 
-    for batch in batches:
-        u, v = [], []
-        for key, piece, side, fp, shingles in zip(*(batch.column(c).to_pylist() if c != "shingles" else [x.values.to_numpy(zero_copy_only=False) for x in batch.column(c)] for c in ("key", "piece", "side", "fp", "shingles")), strict=True):
-            if (key, piece) != now:
-                now, sets, names, index = (key, piece), [], [], None
-            if side == 0:
-                sets.append(shingles)
-                names.append(fp)
-                continue
-            index = index or (built() if sets else None)
-            if index is None:
-                continue
-            flat, owner, sizes, ids = index
-            low, high = np.searchsorted(flat, shingles), np.searchsorted(flat, shingles, side="right")
-            spread = high - low
-            at = np.repeat(low - np.r_[0, np.cumsum(spread)[:-1]], spread) + np.arange(spread.sum())
-            both = np.bincount(owner[at], minlength=sizes.size)
-            hit = ids[(both + 1e-9 >= (sizes + shingles.size - both) * least) & (ids != fp)]
-            u.append(np.minimum(hit, fp))
-            v.append(np.maximum(hit, fp))
-        if u:
-            yield pa.record_batch({"u": np.concatenate(u), "v": np.concatenate(v)})
-
-
-def _sets(docs: DataFrame, reps: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(fp, shingles) of the sets ``wanted`` (fp), from the texts of their first documents."""
-    ids = stored(wanted.join(reps.select("fp", "least_id"), "fp").select(F.col("least_id").alias("doc_id")).distinct(), "wanted")
+
+def _buckets(keyed: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs (u, v) of the buckets of ``keyed`` (key, fp), and the members (fp, key) of full ones, for which it tells none."""
+    met = stored(keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_met, "u long, v long, key long"), label)
+    return met.filter("v is not null").select("u", "v").distinct(), met.filter("v is null").select(F.col("u").alias("fp"), "key")
+
+
+def _near(pairs: DataFrame, facts: DataFrame, radius: int) -> DataFrame:
+    """The pairs (u, v) whose signatures differ in at most ``radius`` places; ``facts`` has (fp, sketch), and root where pairs of one root are to go."""
+    more = ["root"] if "root" in facts.columns else []
+    for x in ("u", "v"):
+        pairs = join_spread(pairs, facts.select(F.col("fp").alias(x), F.col("sketch").alias(f"of_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in more)), x)
+    if more:
+        pairs = pairs.filter("root_u <> root_v")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                good = pa.array((_sketches(batch.column("of_u")) != _sketches(batch.column("of_v"))).sum(axis=1) <= radius)
+                yield pa.record_batch({c: batch.column(c).filter(good) for c in ("u", "v")})
+
+    return pairs.select("u", "v", "of_u", "of_v").mapInArrow(kept, "u long, v long")
+
+
+def _sets(docs: DataFrame, reps: DataFrame, wanted: DataFrame, scheme: Scheme, id_col: str, text_col: str) -> DataFrame:
+    """(fp, shingles) of the sets ``wanted`` (fp), each from the text of its first row, which its id and its text's hash tell; one text of
+    rows that are equal in both."""
+    first = stored(wanted.join(reps.select("fp", "least_id", "h"), "fp").select("least_id", "h").distinct(), "wanted")
+    width = scheme.width
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            found = [_set_of(text, words) for text in utf8(batch)]
+            found = [_set_of(text, words, width) for text in utf8(batch)]
             yield pa.record_batch({"fp": np.array([_print(x) for x in found], np.uint64).view(np.int64), "shingles": pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))})
 
-    texts = id_text(docs, id_col, text_col).join(small_side(ids, ids.count()), "doc_id", "left_semi")
-    return stored(texts.mapInArrow(made, "fp long, shingles array<long>"), "shingles").dropDuplicates(["fp"])
+    texts = id_text(docs, id_col, text_col).withColumn("text_h", F.xxhash64("text"))
+    near = small_side(first, first.count())
+    texts = texts.join(near, (texts["text_h"] == near["h"]) & texts["doc_id"].eqNullSafe(near["least_id"]), "left_semi")
+    return stored(texts.groupBy("text_h").agg(F.first("text").alias("text")).select("text").mapInArrow(made, "fp long, shingles array<long>"), "shingles")
+
+
+def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, scheme: Scheme, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (u, v) whose sets have a Jaccard likeness of at least ``least``, counted on the whole sets."""
+    pairs = stored(pairs.distinct(), "pairs")
+    sets = _sets(docs, reps, pairs.select(F.explode(F.array("u", "v")).alias("fp")).distinct(), scheme, id_col, text_col)
+    both = pairs
+    for x in ("u", "v"):
+        both = join_spread(both, sets.select(F.col("fp").alias(x), F.col("shingles").alias(f"of_{x}")), x)
+    counted = both.select("u", "v", F.size(F.array_intersect("of_u", "of_v")).alias("n"), (F.size("of_u") + F.size("of_v")).alias("sizes"))
+    return stored(counted.filter(F.col("n") + 1e-9 >= (F.col("sizes") - F.col("n")) * scheme.least).select("u", "v"), "links")
+
+
+def _rare_first(sets: DataFrame, least: float) -> DataFrame:
+    """(key, fp): of each set its rarest shingles, as many as a set at ``least`` can't lack all of.
+
+    What is rare is counted in SLOTS slots, which the driver holds whatever there is to count. Any order that all sets share gives right
+    results; this one gives few pairs.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column("shingles").flatten().to_numpy() & (SLOTS - 1), minlength=SLOTS)
+        at = np.flatnonzero(total)
+        yield pa.record_batch({"slot": at, "n": total[at]})
+
+    counts = np.zeros(SLOTS, np.int64)
+    for row in sets.select("shingles").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():
+        counts[row["slot"]] = row["n"]
+    common = sets.sparkSession.sparkContext.broadcast(counts)
 
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for fp, own in zip(batch.column("fp").to_pylist(), batch.column("shingles"), strict=True):
+                own = own.values.to_numpy(zero_copy_only=False)
+                own = own[np.lexsort((own, common.value[own & (SLOTS - 1)]))]
+                own = own[: own.size - int(np.ceil(least * own.size - 1e-9)) + 1]
+                yield pa.record_batch({"key": own, "fp": np.full(own.size, fp)})
 
-def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, least: float, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (u, v) whose sets have a Jaccard likeness of at least ``least``."""
-    sets = _sets(docs, reps, pairs.select(F.explode(F.array("u", "v")).alias("fp")).distinct(), id_col, text_col)
-    a, b = (sets.select(F.col("fp").alias(x), F.col("shingles").alias(f"of_{x}")) for x in ("u", "v"))
-    common = F.size(F.array_intersect("of_u", "of_v"))
-    counted = pairs.join(a, "u").join(b, "v").select("u", "v", common.alias("n"), (F.size("of_u") + F.size("of_v")).alias("sizes"))
-    return stored(counted.filter(F.col("n") + 1e-9 >= (F.col("sizes") - F.col("n")) * least).select("u", "v"), "links")
+    return sets.mapInArrow(first, "key long, fp long")
 
 
-def _left_over(docs: DataFrame, reps: DataFrame, full: DataFrame, links: DataFrame, least: float, id_col: str, text_col: str) -> DataFrame:
-    """Links (u, v) between members of a full bucket, ``full`` (fp, key), of which one isn't joined with the most of the bucket yet."""
+def _blocks(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """Candidates (u, v): in each (key, piece) the rows of side 1 against those of side 0, which come first and are few, unless of one root."""
+    now, head = None, []
+    index: tuple | None = None
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("key", "piece", "side", "fp", "root")]
+        sketch = _sketches(batch.column("sketch"))
+        for k, (key, piece, side, fp, root) in enumerate(zip(*cols, strict=True)):
+            if (key, piece) != now:
+                now, head, index = (key, piece), [], None
+            if side == 0:
+                head.append((fp, root, sketch[k]))
+                continue
+            if head and index is None:
+                index = np.array([x[0] for x in head]), np.array([x[1] for x in head]), np.stack([x[2] for x in head])
+            if index is not None:
+                hit = index[0][((index[2] != sketch[k]).sum(axis=1) <= radius) & (index[1] != root)]
+                if hit.size:
+                    yield pa.record_batch({"u": np.minimum(hit, fp), "v": np.maximum(hit, fp)})
+
+
+def _left_over(docs: DataFrame, reps: DataFrame, full: DataFrame, links: DataFrame, scheme: Scheme, id_col: str, text_col: str) -> DataFrame:
+    """Links (u, v) between members of full buckets, ``full`` (fp, key), of which one isn't joined with the most of its bucket yet."""
     roots = connected_components(links).withColumnRenamed("node", "fp")
     rooted = stored(full.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
     counts = rooted.groupBy("key", "root").agg(F.count("*").alias("of_root"))
     buckets = stored(counts.groupBy("key").agg(F.sum("of_root").alias("n"), F.max_by("root", F.struct("of_root", "root")).alias("most"), F.max("of_root").alias("of_most")).filter("n > of_most").drop("of_most"), "buckets")
-    pieces = F.ceil(F.col("n_key") / PIECE).cast("int")
-    members = stored(join_hot(rooted, buckets.withColumn("n_key", F.col("n")), "key", rooted.count()).select("key", "fp", (F.col("root") != F.col("most")).alias("apart"), pieces.alias("pieces")), "members")
-    one = members.select("key", F.pmod(F.xxhash64("fp"), "pieces").cast("int").alias("piece"), F.lit(0).alias("side"), "fp")
-    other = members.filter("apart").select("key", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(1).alias("side"), "fp")
-    sets = _sets(docs, reps, members.select("fp").distinct(), id_col, text_col)
-    dealt = one.unionByName(other).join(sets, "fp").select("key", "piece", "side", "fp", "shingles")
-    found = dealt.repartition("key", "piece").sortWithinPartitions("key", "piece", "side").mapInArrow(lambda b: _compared(b, least), "u long, v long")
-    return stored(found.distinct(), "links")
-
-
-def near_copy_links(docs: DataFrame, reps: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Links (u, v) among the sets ``reps`` (fp, least_id, bands, sketch) whose components are those of all pairs that meet in a
-    bucket and have a likeness of at least ``least``."""
-    rough = least - SLACK
-    keyed = reps.select(F.explode("bands").alias("key"), "fp", "sketch")
-    told = stored(keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(lambda b: _told(b, rough), "u long, v long, key long, sketch binary"), "near")
-    pairs = stored(told.filter("v is not null").select("u", "v").distinct(), "pairs")
-    links = _verified(docs, reps, pairs, least, id_col, text_col)
-    full = told.filter("v is null").select(F.col("u").alias("fp"), "key")
-    return links if full.isEmpty() else links.unionByName(_left_over(docs, reps, full, links, least, id_col, text_col))
+    if buckets.isEmpty():
+        return links.limit(0)
+    members = join_hot(rooted, buckets, "key", rooted.count()).groupBy("fp").agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("most")).alias("apart"))
+    members = stored(members.join(reps.select("fp", "sketch"), "fp"), "members")
+    sets = _sets(docs, reps, members.select("fp"), scheme, id_col, text_col)
+    pairs, crowded = _buckets(_rare_first(sets, scheme.least), "prefixes")
+    near = _near(pairs, members, scheme.radius)
+    if not crowded.isEmpty():
+        sizes = crowded.groupBy("key").agg(F.count("*").alias("n"))
+        rows = join_hot(crowded, sizes.withColumn("pieces", F.ceil(F.col("n") / PIECE).cast("int")), "key", crowded.count()).join(members, "fp")
+        one = rows.withColumns({"piece": F.pmod(F.xxhash64("fp"), "pieces").cast("int"), "side": F.lit(0)})
+        other = rows.filter("apart").withColumns({"piece": F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)), "side": F.lit(1)})
+        dealt = one.unionByName(other).select("key", "piece", "side", "fp", "root", "sketch").repartition("key", "piece").sortWithinPartitions("key", "piece", "side")
+        near = near.unionByName(dealt.mapInArrow(lambda b, r=scheme.radius: _blocks(b, r), "u long, v long"))
+    return _verified(docs, reps, near, scheme, id_col, text_col)
+
+
+def near_copy_links(docs: DataFrame, reps: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Links (u, v) among the sets ``reps`` (fp, least_id, h, sketch) whose components are those of all pairs that share a key, differ in at most
+    ``radius`` places and have a likeness of at least ``least``."""
+
+    def keyed(batches: Iterator[pa.RecordBatch], keys=scheme.keys) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, signatures = batch.column("fp").to_numpy(), _sketches(batch.column("sketch"))
+            for key in keys(signatures):
+                yield pa.record_batch({"key": key, "fp": fps})
+
+    worded = reps.filter(F.octet_length("sketch") > 0)
+    pairs, full = _buckets(worded.select("fp", "sketch").mapInArrow(keyed, "key long, fp long"), "near")
+    near, any_full = _near(pairs, worded, scheme.radius), not full.isEmpty()
+    if any_full:
+        close = (1 - scheme.least) * PLACES / 2
+        told = full.join(worded.select("fp", "sketch"), "fp").repartition("key").sortWithinPartitions("key", "fp").mapInArrow(lambda b, r=scheme.radius: _centred(b, r, close), "u long, v long")
+        near = near.unionByName(told)
+    links = _verified(docs, reps, near, scheme, id_col, text_col)
+    return links.unionByName(_left_over(docs, reps, full, links, scheme, id_col, text_col)) if any_full else links
+
+
+def components(docs: DataFrame, rows: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored ``rows`` of ``prints`` as (doc_id, fp, n, component_id): the least doc_id of the component of each row's set."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first")
+    sets = rows.groupBy("fp").agg(first, F.first("sketch").alias("sketch"), F.count("*").alias("n_rows"))
+    reps = stored(sets.select("fp", F.col("first.doc_id").alias("least_id"), F.col("first.h").alias("h"), "sketch", "n_rows"), "reps")
+    # components of sets first: copies of one set need no edge of their own
+    roots = connected_components(near_copy_links(docs, reps, scheme, id_col, text_col))
+    rooted = stored(reps.select("fp", "least_id", "n_rows").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    first = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("n_sets"))
+    total = rows.count()
+    by_set = join_hot(rooted, first, "root", total, "n_sets").select("fp", "component_id", "n_rows")
+    return join_hot(rows.select("doc_id", "fp", "n"), by_set, "fp", total, "n_rows")

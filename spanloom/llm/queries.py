@@ -98,6 +98,23 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_minhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .multiindex import minhash_components
+
+    return minhash_components(_table(spark, sf_dir, "documents"))
+
+
+_OP11 = r"""
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+s as (select distinct doc_id, unnest(case when len(w) = 1 then w else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) s from w),
+n as (select doc_id, count(s)::bigint n from w left join s using (doc_id) group by 1),
+p as (select a.doc_id a, b.doc_id b, count(*) shared from s a join s b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+e as (select a, b from p join n x on a = x.doc_id join n y on b = y.doc_id where 100 * shared >= 80 * (x.n + y.n - shared)),
+r(doc_id, root) as (select doc_id, doc_id from n union select e.b, r.root from r join e on r.doc_id = e.a where r.root < e.b)
+select doc_id, n n_shingles, min(root) component_id, min(root) = doc_id kept from r join n using (doc_id) group by doc_id, n
+"""
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .manifest import manifest_proofs
 
@@ -167,6 +184,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash_pigeonring": op10_simhash_pigeonring,
+    "op11_minhash_multi_index": op11_minhash_multi_index,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_ranked_search": op13_ranked_search,
 }
@@ -174,6 +192,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_benchmark_containment": _OP1,
     "op5_warc_histories": _OP5,
+    "op11_minhash_multi_index": _OP11,
     "op12_merkle_manifest": _op12(),
     "op13_ranked_search": _OP13,
 }

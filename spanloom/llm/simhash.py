@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import id_text, join_hot, runs, small_side, stored, utf8
 from .graph import connected_components
-from .nearcopies import LEAST, near_copy_links, prints
+from .nearcopies import LEAST, Scheme, components, prints
 
 SEED = 42
 #: A bucket with more fingerprints than this is keyed again with a longer chain.
@@ -304,17 +304,9 @@ def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pair verified on all its shingles. With the default a pair at 0.8 isn't found with a chance of 0.0003, one at 0.85 with 0.00001.
     Null ids take no part; empty and wordless texts are copies of one another.
     """
-    rows = stored(prints(docs, id_col, text_col).filter("doc_id is not null"), "prints")
-    sets = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.count("*").alias("n"))
-    reps = stored(sets, "reps")
-    near = near_copy_links(docs, reps.drop("n"), least, id_col, text_col)
-    # components of sets first: copies of one set need no edge of their own
-    roots = connected_components(near)
-    rooted = stored(reps.select("fp", "least_id", "n").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
-    first = rooted.groupBy("root").agg(F.min("least_id").alias("kept_id"), F.count("*").alias("n_sets"))
-    total = rows.count()
-    by_set = join_hot(rooted, first, "root", total, "n_sets").select("fp", "kept_id", "n")
-    return join_hot(rows.select("doc_id", "fp"), by_set, "fp", total).filter("doc_id <> kept_id").select("doc_id").distinct()
+    scheme = Scheme(least=least)
+    rows = stored(prints(docs, scheme, id_col, text_col).filter("doc_id is not null"), "prints")
+    return components(docs, rows, scheme, id_col, text_col).filter("doc_id <> component_id").select("doc_id").distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:

@@ -70,24 +70,47 @@ def test_a_bucket_read_in_pieces_stays_connected(monkeypatch):
 
     monkeypatch.setattr(n, "PIECE", 16)
     rng = np.random.default_rng(2)
-    centre = rng.integers(0, 256, n._HASHES, dtype=np.uint8)
+    centre = rng.integers(0, 256, n.PLACES, dtype=np.uint16)
     keys = np.repeat([1, 2, 3, 4], [5, 170, 1, 40])
     sketches = []
     for _ in keys:
         own = centre.copy()
-        own[rng.integers(0, n._HASHES, 4)] = rng.integers(0, 256, 4)
+        own[rng.integers(0, n.PLACES, 4)] = rng.integers(0, 256, 4)
         sketches.append(own.tobytes())
     table = pa.table({"key": keys, "fp": np.arange(keys.size), "sketch": pa.array(sketches, pa.binary())})
-    root, full = list(range(keys.size)), set()
-    for batch in n._told(iter(table.to_batches(max_chunksize=10)), 0.6):
+    root, full, pairs = list(range(keys.size)), set(), []
+    for batch in n._met(iter(table.to_batches(max_chunksize=10))):
         for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
-            if v is None:
-                full.add(u)
-            elif root[u] != root[v]:
-                a, b = sorted((root[u], root[v]))
-                root = [a if r == b else r for r in root]
-    assert root == [0] * 5 + [5] * 170 + [175] + [176] * 40
+            (full.add(u) if v is None else pairs.append((u, v)))
     assert full == set(np.flatnonzero((keys == 2) | (keys == 4)).tolist())
+    for batch in n._centred(iter(table.filter(pa.array(np.isin(np.arange(keys.size), list(full)))).to_batches(max_chunksize=10)), 27, 6.4):
+        pairs += zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True)
+    for u, v in pairs:
+        if root[u] != root[v]:
+            a, b = sorted((root[u], root[v]))
+            root = [a if r == b else r for r in root]
+    assert root == [0] * 5 + [5] * 170 + [175] + [176] * 40
+
+
+def test_prefixes_meet_for_every_near_pair(spark):
+    from spanloom.llm.nearcopies import _rare_first
+
+    rng = random.Random(11)
+    sets = [set(rng.sample(range(400), rng.randint(1, 60))) for _ in range(60)]
+    for own in list(sets):
+        other = set(own)
+        for _ in range(rng.randint(0, 6)):
+            other.discard(rng.choice(sorted(other)) if len(other) > 1 else None)
+            other.add(rng.randrange(400, 500))
+        sets.append(other)
+    df = spark.createDataFrame([(k, sorted(s)) for k, s in enumerate(sets)], "fp long, shingles array<long>")
+    met = {}
+    for r in _rare_first(df, 0.8).collect():
+        met.setdefault(r["key"], set()).add(r["fp"])
+    for a in range(len(sets)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                assert any({a, b} <= m for m in met.values())
 
 
 def test_of_equal_ids_the_same_row_stays(spark):
