@@ -82,6 +82,16 @@ def labelled_samples(spark: SparkSession, n: int = 8000, seed: str = "train") ->
     return random.unionByName(ordinary)
 
 
+def _states(token: Column) -> Column:
+    """The state of each character; those outside printable ASCII have the last one. A token is read once, whatever its length."""
+    return F.transform(F.split(token, ""), lambda c: F.greatest(F.least(F.ascii(c) - 32, F.lit(STATES - 1)), F.lit(0)))
+
+
+def _transitions(states: Column) -> Column:
+    """The place in a table of STATES x STATES of each character's state and the next one's."""
+    return F.zip_with(F.slice(states, F.lit(1), F.size(states) - 1), F.slice(states, F.lit(2), F.size(states) - 1), lambda a, b: a * STATES + b)
+
+
 @dataclass
 class Markov:
     """log P(next | character) of random strings less that of ordinary identifiers, STATES x STATES, row by row."""
@@ -93,15 +103,13 @@ class Markov:
 
     def score(self, token: Column) -> Column:
         """The mean ratio over a token's transitions; 0 for fewer than two characters."""
-        state = lambda t, i: F.greatest(F.least(F.ascii(F.substring(t, i, F.lit(1))) - 32, F.lit(STATES - 1)), F.lit(0))
-        total = lambda t: F.aggregate(F.sequence(F.lit(1), F.length(t) - 1), F.lit(0.0), lambda acc, i: acc + F.get(self.table(), state(t, i) * STATES + state(t, i + 1)))
-        return let(token, lambda t: F.when(F.length(t) < 2, F.lit(0.0)).otherwise(total(t) / (F.length(t) - 1)))
+        total = lambda s: F.aggregate(_transitions(s), F.lit(0.0), lambda acc, pair: acc + F.get(self.table(), pair))
+        return let(_states(token), lambda s: F.when(F.size(s) < 2, F.lit(0.0)).otherwise(total(s) / (F.size(s) - 1)))
 
 
 def train(samples: DataFrame, smoothing: float = 0.5) -> Markov:
     """Counts the transitions of samples (label, token); characters outside printable ASCII count as the last state."""
-    state = lambda t, i: F.greatest(F.least(F.ascii(F.substring(t, i, F.lit(1))) - 32, F.lit(STATES - 1)), F.lit(0))
-    pairs = samples.filter("token is not null and length(token) > 1 and label in (0, 1)").select("label", F.explode(let(F.col("token"), lambda t: F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: state(t, i) * STATES + state(t, i + 1)))).alias("pair"))
+    pairs = samples.filter("token is not null and length(token) > 1 and label in (0, 1)").select("label", F.explode(let(_states(F.col("token")), _transitions)).alias("pair"))
     counts = [[smoothing] * STATES * STATES for _ in range(2)]
     for row in pairs.groupBy("label", "pair").count().collect():  # STATES * STATES rows a label at most
         counts[row["label"]][row["pair"]] += row["count"]
@@ -111,33 +119,48 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> Markov:
     return Markov([log(counts[1][k] / sums[1][k // STATES]) - log(counts[0][k] / sums[0][k // STATES]) for k in range(STATES * STATES)])
 
 
-_SPAN = "array<struct<start:int,rank:int,end:int,kind:string,match:string>>"
+_SPAN = "struct<start:int,rank:int,end:int,kind:string,match:string>"
 
 
-#: Matches placed together; a text's places are carried from one such block to the next, so that time follows a text's matches.
+#: Elements a scan gathers before it puts them aside, so that its time follows their number.
 BLOCK = 128
+#: Gaps cut from one stretch of a text; a place in a text is found by counting from the start of what is cut.
+STRETCH = 512
+
+
+def _scan(items: Column, kind: str, step) -> Column:
+    """The arrays that ``step(at, item)`` gives, as (at, array of ``kind``) from the place before and an item, one after the other; ``at`` begins at 0."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(acc: Column, x: Column) -> Column:
+        at, out = step(acc["at"], x)
+        return F.struct(at.cast("int").alias("at"), F.concat(acc["out"], out).alias("out"))
+
+    def block(acc: Column, some: Column) -> Column:
+        return let(F.aggregate(some, F.struct(acc["at"].alias("at"), none.alias("out")), one), lambda p: F.struct(p["at"].alias("at"), F.concat(acc["out"], F.array(p["out"])).alias("out")))
+
+    def whole(p: Column) -> Column:
+        return F.flatten(F.aggregate(_cut_up(p, BLOCK), F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out")), block)["out"])
+
+    return let(items, whole)
+
+
+def _cut_up(items: Column, size: int) -> Column:
+    """An array that isn't empty in slices of ``size``."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int")), lambda k: F.slice(items, k * size + 1, size))
 
 
 def spans(text: Column, pattern: str, kind: str, rank: int) -> Column:
     """The leftmost non-overlapping matches of ``pattern``: array of (start, rank, end, kind, match), code points, end exclusive."""
     pieces = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda gap, match: F.struct(F.length(gap).alias("gap"), match.alias("match")))
-    none = F.array().cast(_SPAN)
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["gap"]
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        begin = at + x["gap"]
         end = begin + F.coalesce(F.length(x["match"]), F.lit(0))
         span = F.struct(begin.cast("int").alias("start"), F.lit(rank).alias("rank"), end.cast("int").alias("end"), F.lit(kind).alias("kind"), x["match"].alias("match"))
-        return F.struct(end.cast("int").alias("at"), F.when(x["match"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span))).alias("out"))
+        return end, F.when(x["match"].isNull(), F.array().cast(f"array<{_SPAN}>")).otherwise(F.array(span))
 
-    def block(acc: Column, some: Column) -> Column:
-        placed = F.aggregate(some, F.struct(acc["at"].alias("at"), none.alias("out")), step)
-        return let(placed, lambda p: F.struct(p["at"].alias("at"), F.concat(acc["out"], F.array(p["out"])).alias("out")))
-
-    def whole(p: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")), lambda k: F.slice(p, k * BLOCK + 1, BLOCK))
-        return F.flatten(F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out")), block)["out"])
-
-    return F.when(text.rlike(pattern), let(pieces, whole)).otherwise(none)
+    return F.when(text.rlike(pattern), _scan(pieces, _SPAN, step)).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def _long_enough(kind: str, least: int):
@@ -192,14 +215,20 @@ def redact_secrets(docs: DataFrame, model: Markov | None = None, text_col: str =
     """
     found = with_secrets(docs, model, text_col, "__secret_spans")
     text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    last = F.struct(F.length(text).alias("start"), F.length(text).alias("end"))
+    bounds = F.concat(F.transform("__secret_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))), F.array(last))
+
+    def gap(at: Column, s: Column) -> tuple[Column, Column]:
+        """What stands before a span that begins after all spans so far have ended."""
+        kept = F.array(F.struct(at.alias("a"), s["start"].alias("b")))
+        return F.greatest(at, s["end"]), F.when(s["start"] >= at, kept).otherwise(F.array().cast("array<struct<a:int,b:int>>"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
+    def pieced(gaps: Column) -> Column:
+        base = gaps[0]["a"]
+        stretch = F.substring(text, base + 1, F.element_at(gaps, -1)["b"] - base)
+        return let(F.struct(stretch.alias("t"), base.alias("base")), lambda x: F.array_join(F.transform(gaps, lambda g: F.substring(x["t"], g["a"] - x["base"] + 1, g["b"] - g["a"])), mark))
 
-    cut = F.aggregate(F.col("__secret_spans"), start, step)
-    whole = let(cut, lambda c: F.concat(c["out"], F.substring(text, c["at"] + 1, F.length(text))))
+    whole = let(_scan(bounds, "struct<a:int,b:int>", gap), lambda gaps: F.array_join(F.transform(_cut_up(gaps, STRETCH), pieced), mark))
     changed = F.size("__secret_spans") > 0
     done = found.withColumn(text_col, F.when(changed, whole).otherwise(text))
     if count_col:
