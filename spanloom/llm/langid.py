@@ -30,6 +30,13 @@ SMOOTHING = 0.2
 #: Probability of a character that is no piece, the same in every language.
 UNKNOWN = 1e-9
 MARK = "▁"
+#: Words longer than this are valued in windows of WINDOW characters, BATCH of them at a time; UNKNOWN to that power is still a number.
+LONG, WINDOW, BATCH = 64, 32, 512
+#: A word's log-probabilities are kept as differences between languages, half-precision numbers of about three digits, this at least.
+LOWEST = -60_000
+#: Slots of the filter that tells most runs that are no piece, a power of two.
+SLOTS = 1 << 20
+_BASE = 0x9E3779B97F4A7C15
 
 
 def vocabulary(model_file: str | None = None) -> list[str]:
@@ -48,6 +55,7 @@ class Lattice:
         # 0: no piece; 1: a character that is no piece
         self.number = {p: k + 2 for k, p in enumerate(pieces)}
         self.longest = max(map(len, pieces), default=1)
+        self.table: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def spans(self, words: list[str], n: int) -> Iterator[tuple[int, int, np.ndarray]]:
         """(start, end, piece numbers) for the places where some word has a piece; ends ascend."""
@@ -77,6 +85,67 @@ class Lattice:
             alpha[end] += alpha[start] * probability[found]
         return logs + np.log(np.maximum(alpha[n], 1e-300))
 
+    def _pieces_in(self, word: str) -> np.ndarray:
+        """The piece numbers of all runs of a word, an array (length, end): that of 1 + length characters which ends before end + 1."""
+        codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+        if self.table is None:
+            names = np.array([self._hash(p) for p in self.number], np.uint64)
+            order = np.argsort(names)
+            seen = np.zeros(SLOTS, bool)
+            seen[(names >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)] = True
+            self.table = names[order], np.fromiter(self.number.values(), np.int32, len(self.number))[order], seen
+        names, numbers, seen = self.table
+        n = codes.size
+        powers = np.cumprod(np.r_[np.uint64(1), np.full(n, _BASE, np.uint64)])
+        sums = np.cumsum(np.r_[np.uint64(0), codes * np.cumprod(np.full(n, pow(_BASE, -1, 1 << 64), np.uint64))])
+        found = np.zeros((self.longest, n), np.int32)
+        for length in range(1, min(self.longest, n) + 1):
+            # a run's hash is the sum of code * base ** (places to its end + 1), as that of a piece
+            hashes = (sums[length:] - sums[:-length]) * powers[length:]
+            at = np.flatnonzero(seen[(hashes >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)])
+            place = np.minimum(np.searchsorted(names, hashes[at]), max(0, names.size - 1))
+            good = names[place] == hashes[at] if names.size else np.zeros(at.size, bool)
+            found[length - 1, length - 1 + at[good]] = numbers[place[good]]
+        found[0][found[0] == 0] = 1
+        return found
+
+    @staticmethod
+    def _hash(piece: str) -> int:
+        total = 0
+        for c in piece:
+            total = (total * _BASE + ord(c) + 1) % (1 << 64)
+        return total
+
+    def forward_long(self, word: str, probability: np.ndarray) -> np.ndarray:
+        """log P(word) of one long word, an array (languages): windows side by side, each as the linear map from the sums at its start to
+        those at its end, then one after the other. Time follows the word's length."""
+        languages, back = probability.shape[1], self.longest
+        found, n = self._pieces_in(word), len(word)
+        state, logs = np.zeros((back, languages)), np.zeros(languages)
+        state[0] = 1  # place k: the sum up to k characters before the window
+        size = max(8, BATCH * 4 // languages)
+        for a in range(0, n, WINDOW * size):
+            part = found[:, a : a + WINDOW * size]
+            windows = -(-part.shape[1] // WINDOW)
+            part = np.pad(part, ((0, 0), (0, windows * WINDOW - part.shape[1]))).reshape(back, windows, WINDOW)
+            last = (min(n, a + WINDOW * size) - 1) % WINDOW + 1
+            # sums (place, window, which start is 1, language); places before the window come first
+            alpha = np.zeros((back + WINDOW, windows, back, languages))
+            for k in range(back):
+                alpha[back - 1 - k, :, k] = 1
+            for end in range(WINDOW):
+                for length in range(1, back + 1):
+                    pieces = part[length - 1, :, end]
+                    if pieces.any():
+                        alpha[back + end] += alpha[back + end - length] * probability[pieces][:, None, :]
+            for w in range(windows):
+                stop = back + (last if a + (w + 1) * WINDOW > n else WINDOW)
+                state = np.einsum("psl,sl->pl", alpha[stop - back : stop, w][::-1], state)
+                scale = np.maximum(state.max(axis=0), 1e-300)
+                state /= scale
+                logs += np.log(scale)
+        return logs + np.log(np.maximum(state[0], 1e-300))
+
     def expected(self, words: list[str], n: int, counts: np.ndarray, probability: np.ndarray, into: np.ndarray) -> None:
         """Adds the expected number of uses of each piece in ``counts`` (words, languages) of the words."""
         spans = list(self.spans(words, n))
@@ -94,11 +163,12 @@ class Lattice:
                 into[:, k] += np.bincount(found, gain[:, k], into.shape[0])
 
 
-def by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray, list[str]]]:
-    """(length, places, words) for each length."""
+def by_length(words: list[str], most: int | None = None) -> Iterator[tuple[int, np.ndarray, list[str]]]:
+    """(length, places, words) for each length, up to ``most``."""
     places = defaultdict(list)
     for k, word in enumerate(words):
-        places[len(word)].append(k)
+        if most is None or len(word) <= most:
+            places[len(word)].append(k)
     for n, at in places.items():
         for a in range(0, len(at), 5_000):
             some = at[a : a + 5_000]
@@ -111,7 +181,12 @@ def train(docs: DataFrame, held_out: Callable, pieces: list[str], sample_docs: i
     labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang is not null and text is not null").filter(~held_out(F.col("doc_id")))
     total = labelled.select("doc_id").count()
     share = min(1.0, sample_docs / max(1, total))
-    sample = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    drawn = lambda of, *columns: F.pmod(F.xxhash64(*columns), F.lit(1_000_000)) < int(of * 1_000_000)
+    sample = labelled.filter(drawn(share, "doc_id"))
+    taken = sample.select("doc_id").count()
+    if taken > 2 * sample_docs:
+        # rows that share an id, or have none, are drawn all or none: one of each text, drawn from again by text
+        sample = sample.withColumn("h", F.xxhash64("text")).filter(drawn(2 * sample_docs / taken, F.lit(2), "doc_id", "h")).dropDuplicates(["doc_id", "lang", "h"]).drop("h")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter] = defaultdict(Counter)
@@ -175,7 +250,8 @@ def identify(docs: DataFrame, held_out: Callable | None = None, model_file: str
     column; by default crc32(doc_id as text) mod 4 = 2) is not true. lang_pred is ``und``, with score 0, if a text is null or
     has no letter, or if no document could be learnt from; else the language with the greatest probability (ties: the first by
     name), and score its share among the languages. Null ids are never held out. Repeated rows are returned as often as they
-    come; an empty table gives an empty result; other columns are ignored.
+    come; an empty table gives an empty result; other columns are ignored. Log-probabilities are rounded to three digits a distinct word
+    and cut at LOWEST below the likeliest language's, which only words of thousands of characters reach.
     """
     held = held_out or (lambda c: F.coalesce(F.crc32(c.cast("string").cast("binary")) % 4 == 2, F.lit(False)))
     pieces = vocabulary(model_file)
@@ -190,9 +266,15 @@ def identify(docs: DataFrame, held_out: Callable | None = None, model_file: str
         def worth(chunks: list[bytes]) -> np.ndarray:
             words = [MARK + c.decode("utf-8", "replace").lower() for c in chunks]
             out = np.zeros((len(words), width + 1))
-            for n, at, some in by_length(words):
-                logs = lattice.forward(some, n, p)
-                out[at, :width] = np.maximum(logs - logs.max(axis=1, keepdims=True), -60_000)  # only differences count
+
+            def put(at: np.ndarray, logs: np.ndarray) -> None:
+                out[at, :width] = np.maximum(logs - logs.max(axis=1, keepdims=True), LOWEST)  # only differences count
+
+            for n, at, some in by_length(words, LONG):
+                put(at, lattice.forward(some, n, p))
+            for k, word in enumerate(words):
+                if len(word) > LONG:
+                    put(np.array([k]), lattice.forward_long(word, p)[None])
             out[:, width] = [any(map(str.isalpha, w)) for w in words]
             return out
 
