@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from difflib import SequenceMatcher
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.functions.text import indel_ratio, name_words, partial_ratio
+from spanloom.functions.text import indel_ratio, partial_ratio
 
+from .align import anchored_times, ordered_blocks  # noqa: F401  once part of this module
 from .relational import small_side
 
 
@@ -76,52 +76,78 @@ def fuzzy_best(tokens: DataFrame, names: DataFrame, token: str, name: str, least
     return best.unionByName(fuzzy_unique(rest, names, token, name).select(token, name, F.lit(float(least)).alias("score")))
 
 
-def mentions(texts: DataFrame, key: str, text: str, names: DataFrame, who: str, name: str) -> DataFrame:
-    """(key, who, n): how often a text names someone, as whole words in any case; the longest of someone's names counts at a place.
+#: Names that one automaton holds; more make further passes over the texts.
+PACK_NAMES = 100_000
 
-    ``names`` has a row per person and name, of one word or several. A name's first run of letters, with the second if it has one, must be
-    a run of the text and the one after it, so candidates come from an equi-join on those; what is left is one pattern a person,
-    matched on the text.
-    """
-    known = names.select(who, F.trim(F.lower(F.col(name))).alias("__n")).filter(F.length("__n") >= 2).distinct()
-    first = F.array_join(F.slice(name_words(F.col("__n")), 1, 2), " ").alias("__w")
-    quoted = F.transform(F.reverse(F.array_sort(F.collect_set(F.struct(F.length("__n").alias("l"), F.col("__n").alias("n"))))), lambda x: F.regexp_replace(x["n"], r"([^A-Za-z0-9 ])", r"\\$1"))
-    patterns = known.groupBy(who).agg(F.concat(F.lit("(?i)(?<![A-Za-z'])(?:"), F.array_join(quoted, "|"), F.lit(")(?![A-Za-z])")).alias("__p"))
-    said = texts.select(key, name_words(F.col(text)).alias("__s"))
-    both = F.zip_with("__s", F.slice("__s", 2, 1 << 30), lambda a, b: F.concat_ws(" ", a, b))
-    runs = said.select(key, F.explode(F.array_distinct(F.concat("__s", both))).alias("__w"))
-    asked = runs.join(small_side(known.select(who, first).distinct()), "__w").select(key, who).distinct()
-    counted = texts.select(key, text).join(asked, key).join(patterns, who).withColumn("n", F.regexp_count(F.col(text), F.col("__p")))
-    return counted.filter("n > 0").select(key, who, F.col("n").cast("long").alias("n"))
-
-
-def ordered_blocks(pairs: DataFrame, key: str, a_words: str, b_words: str, least: int = 3) -> DataFrame:
-    """(key, a_at, b_at, n): the matching blocks of two word lists of a row, in order and without crossing, of ``least`` words or more.
-
-    A row's lists are an episode's words; blocks are the longest common run, then those before and after it. Rows are worked on
-    in Arrow batches, one list a time in memory.
-    """
 
-    def made(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            found = []
-            for name, a, b in zip(pdf[key], pdf[a_words], pdf[b_words], strict=True):
-                blocks = SequenceMatcher(None, list(a), list(b), autojunk=False).get_matching_blocks()
-                found += [(name, x.a, x.b, x.size) for x in blocks if x.size >= least]
-            yield pd.DataFrame(found, columns=[key, "a_at", "b_at", "n"])
+def _names_at(text: str, found: Iterator[tuple[int, list[tuple[int, int]]]]) -> dict[int, int]:
+    """How often each person of ``found`` ((last place, [(person, length)]) per place) is named: whole words, at a place the longest name, none overlapping."""
+    hits: dict[int, list[tuple[int, int]]] = {}
+    for last, people in found:
+        if last + 1 < len(text) and text[last + 1] in _LETTERS:
+            continue
+        for person, length in people:
+            start = last - length + 1
+            if not start or text[start - 1] not in _BEFORE:
+                hits.setdefault(person, []).append((start, -length))
+    counts = {}
+    for person, places in hits.items():
+        reach, n = 0, 0
+        for start, minus in sorted(places):
+            if start >= reach:
+                reach, n = start - minus, n + 1
+        counts[person] = n
+    return counts
 
-    own = pairs.filter((F.size(a_words) > 0) & (F.size(b_words) > 0)).select(key, a_words, b_words)
-    return own.mapInPandas(made, f"{key} {pairs.schema[key].dataType.simpleString()}, a_at long, b_at long, n long")
 
+#: A name doesn't begin after a letter of ASCII or an apostrophe, nor end before a letter of ASCII.
+_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz")
+_BEFORE = _LETTERS | {"'"}
 
-def anchored_times(blocks: DataFrame, key: str, cues: DataFrame, words: DataFrame, cue: str, at: str, start: str, end: str) -> DataFrame:
-    """(key, cue, t0, t1): the times of a cue's first and last word, where a block of ``ordered_blocks`` holds that word.
 
-    ``cues`` has (key, at, cue, is_first, is_last) a word, ``words`` (key, at, start, end).
+def mentions(texts: DataFrame, key: str, text: str, names: DataFrame, who: str, name: str) -> DataFrame:
+    """(key, who, n): how often a text names someone, as whole words in any case; the longest of someone's names counts at a place.
+
+    ``names`` has a row per person and name, of one word or several, in any script; names of one character don't count. They are sent to the tasks
+    as an Aho-Corasick automaton, or several of PACK_NAMES names about; each text is read where it is, once a pack, and nothing but
+    the counts moves. Null texts and names name no one.
     """
-    spread = blocks.select(key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k"), "a_at", "b_at").select(key, (F.col("a_at") + F.col("k")).alias(at), (F.col("b_at") + F.col("k")).alias("__b"))
-    timed = spread.join(words.select(key, F.col(at).alias("__b"), start, end), [key, "__b"])
-    return cues.join(timed, [key, at]).groupBy(key, cue).agg(F.min(F.when(F.col("is_first"), F.col(start))).alias("t0"), F.max(F.when(F.col("is_last"), F.col(end))).alias("t1")).filter("t0 is not null or t1 is not null")
+    import ahocorasick
+
+    spark = texts.sparkSession
+    known = names.select(F.col(who).alias("__who"), F.trim(F.lower(F.col(name))).alias("__n")).filter(F.col("__who").isNotNull() & (F.length("__n") >= 2)).distinct()
+    packs = max(1, -(-known.count() // PACK_NAMES))
+    said = texts.select(key, F.lower(F.col(text).cast("string")).alias("__t")).filter("__t is not null")
+    schema = f"`{key}` {texts.schema[key].dataType.simpleString()}, __p int, n long"
+    found = None
+    for pack in range(packs):
+        own = known.filter(F.pmod(F.xxhash64("__who"), F.lit(packs)) == pack).groupBy("__who").agg(F.collect_set("__n").alias("names")).collect()  # a pack of names
+        people = spark.sparkContext.broadcast([r["names"] for r in own])
+
+        def counted(batches: Iterator[pa.RecordBatch], people=people) -> Iterator[pa.RecordBatch]:
+            holders: dict[str, list[int]] = {}
+            for person, own_names in enumerate(people.value):
+                for x in own_names:
+                    holders.setdefault(x, []).append(person)
+            automaton = ahocorasick.Automaton()
+            for x, those in holders.items():
+                automaton.add_word(x, [(person, len(x)) for person in those])
+            automaton.make_automaton()
+            for batch in batches:
+                if not holders or not batch.num_rows:
+                    continue
+                rows, who_said, n = [], [], []
+                for k, said_text in enumerate(batch.column("__t").to_pylist()):
+                    for person, times in _names_at(said_text, automaton.iter(said_text)).items():
+                        rows.append(k)
+                        who_said.append(person)
+                        n.append(times)
+                yield pa.record_batch({key: batch.column(key).take(pa.array(rows, pa.int64())), "__p": pa.array(who_said, pa.int32()), "n": pa.array(n, pa.int64())})
+
+        ids = spark.createDataFrame([(k, r["__who"]) for k, r in enumerate(own)], f"__p int, `{who}` {names.schema[who].dataType.simpleString()}")
+        part = said.mapInArrow(counted, schema).join(F.broadcast(ids), "__p").select(key, who, "n")  # a pack of people
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def shared_blocks(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_words: Column, b_words: Column, width: int) -> DataFrame:

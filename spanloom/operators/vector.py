@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.vectors import dot, unit
 
+from .sequence import fold
+
 #: Rows a table of profiles, sent to every task, may have.
 MOST_LABELS = 200_000
 #: Items and queries of a block of a blocked search; a task holds a block's queries and streams its items.
@@ -112,20 +114,31 @@ def rank_exemplars(items: DataFrame, key: str, vector: str, exemplar_table: Data
 def rolling_profiles(labelled: DataFrame, keys: Sequence[str], period: str, vector: str, weight: Column, half_life: float = 3.0, out: str = "profile") -> DataFrame:
     """(keys, period, profile, n): for each period with labelled items, each group's unit weighted mean over all items up to and with it.
 
-    An item weighs ``weight``, halved for every ``half_life`` periods of age. A later period only scales what is older, and a
-    unit mean doesn't change with scale, so one running sum over periods serves all of them: nothing is fitted again.
+    An item weighs ``weight``, halved for every ``half_life`` periods of age. A group's sums of each period are folded in order: what is older
+    is scaled down when a period has items of its own, so a sum is never larger than what it sums, however many periods there are,
+    and a period without items keeps the profile. Nothing is fitted again; a task holds one group's state.
     """
     keys = list(keys)
-    first = labelled.agg(F.min(period).alias("__p0"))
-    aged = labelled.crossJoin(F.broadcast(first)).withColumn("__w", weight * F.pow(F.lit(2.0), (F.col(period) - F.col("__p0")) / half_life))  # one row
-    sums = weighted_sums(aged, [*keys, period], vector, F.col("__w"))
+    sums = weighted_sums(labelled.filter(F.col(vector).isNotNull() & F.col(period).isNotNull()), [*keys, period], vector, weight)
+    own = sums.groupBy(*keys, period).agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "wx"))), lambda x: x["wx"]).alias("__x"), F.max("w").alias("__w"), F.max("n").alias("__n"))
     # every group at every period of its own and of others: its state holds on
-    periods = labelled.select(period).distinct()
-    frame = sums.select(*keys, "dim").distinct().join(F.broadcast(periods))  # periods are few, a row each
-    upto = Window.partitionBy(*keys, "dim").orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
-    state = frame.join(sums, [*keys, "dim", period], "left").select(*keys, period, "dim", F.sum("wx").over(upto).alias("wx"), F.sum("w").over(upto).alias("w"), F.sum("n").over(upto).alias("n")).filter("wx is not null")
-    packed = state.withColumn("m", F.col("wx") / F.greatest(F.col("w"), F.lit(1e-300))).groupBy(*keys, period).agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "m"))), lambda x: x["m"]).alias("__m"), F.max("n").alias("n"))
-    return packed.select(*keys, period, unit(F.col("__m")).alias(out), "n")
+    periods = labelled.select(period).filter(F.col(period).isNotNull()).distinct()
+    frame = own.select(*keys).distinct().join(F.broadcast(periods)).join(own, [*keys, period], "left")  # periods are few, a row each
+
+    def state(rows: Iterator[tuple]) -> Iterator[tuple]:
+        total, last, seen = None, None, 0
+        for p, x, w, n in rows:
+            if x is not None:
+                x = np.array(x, np.float64)
+                if total is None or w > 0:
+                    total, last = (x if total is None else total * 2.0 ** (float(last - p) / half_life) + x), p
+                seen += n
+            if total is not None:
+                yield p, total.tolist(), seen
+
+    kind = labelled.schema[period].dataType.simpleString()
+    folded = fold(frame, keys, [period], [period, "__x", "__w", "__n"], state, f"{period} {kind}, __x array<double>, __n long")
+    return folded.select(*keys, period, unit(F.col("__x")).alias(out), F.col("__n").alias("n"))
 
 
 def rolling_rank(items: DataFrame, key: str, period: str, vector: str, profile_table: DataFrame, label: str, profile: str, top: int, digits: int = 6) -> DataFrame:
