@@ -9,15 +9,13 @@ is left to chance than the signatures themselves.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .nearcopies import LEAST, PLACES, RADIUS, Scheme, components, folded, prints
+from .nearcopies import LEAST, PLACES, RADIUS, Scheme, components, prints
 
 WIDTH = 2
 #: Errors that each chunk allows.
@@ -31,13 +29,9 @@ def chunks(radius: int = RADIUS, errors: int = ERRORS) -> list[range]:
     return [range(a, b) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def chunk_keys(signatures: np.ndarray, radius: int = RADIUS, errors: int = ERRORS) -> Iterator[np.ndarray]:
-    """For each chunk and each choice of ``errors`` of its places a key of the others' values."""
-    number = 0
-    for places in chunks(radius, errors):
-        for kept in combinations(places, len(places) - errors):
-            yield folded(signatures[:, list(kept)], number)
-            number += 1
+def chunk_places(radius: int = RADIUS, errors: int = ERRORS) -> tuple[tuple[int, ...], ...]:
+    """The keys' places: for each chunk and each choice of ``errors`` of its places the others."""
+    return tuple(kept for places in chunks(radius, errors) for kept in combinations(places, len(places) - errors))
 
 
 def minhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, width: int = WIDTH) -> DataFrame:
@@ -52,7 +46,7 @@ def minhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     so are rows that share an id. Rows without an id link like any other, and have a null component_id only if nothing else is reached; such
     a row is kept only then. An empty table gives an empty result; other columns are ignored.
     """
-    scheme = Scheme(width, chunk_keys, least)
+    scheme = Scheme(width, chunk_places(), least)
     rows = stored(prints(docs, scheme, id_col, text_col), "prints")
     found = components(docs, rows, scheme, id_col, text_col)
     own = found.withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))

@@ -5,14 +5,15 @@ signature has; texts that share one meet in that key's bucket, where only hashes
 in at most ``radius`` places, and a link is only what an exact count of common shingles confirms.
 
 Buckets of up to FULL sets tell all their pairs. The members of a fuller one are first compared with a few centres, by signatures. Once
-those pairs are verified, what is left are members not joined with the most of their bucket: these meet by prefixes, which misses no pair,
+those pairs are verified, what is left are members not joined with the most of their bucket. These meet by prefixes, which misses no pair,
 as sets of which one is at least ``least`` of their union share one of their rarest shingles, each set giving 1 - ``least`` of its own and
-one more. So a bucket's work follows its members and what they share that is rare, not its pairs.
+one more. Sets whose rarest shingles are common too, copies of one text with edits here and there, are counted in blocks, whole, as what
+they differ in from their crowd's centre. So a bucket's work follows its members and what they share that is rare, not its pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -43,28 +44,36 @@ SLOTS = 1 << 18
 _XOR, _TIMES = _mixed(np.arange(1, PLACES + 1, dtype=np.uint64))[:, None], _mixed(np.arange(1001, PLACES + 1001, dtype=np.uint64))[:, None] | np.uint64(1)
 
 
-def band_keys(signatures: np.ndarray, rows: int = 4) -> Iterator[np.ndarray]:
-    """A key for each run of ``rows`` places, all equal."""
-    for a in range(0, PLACES, rows):
-        yield folded(signatures[:, a : a + rows], a)
-
-
-def folded(columns: np.ndarray, number: int) -> np.ndarray:
-    """A hash per line of some places' values, and of the number of the key they make."""
-    key = np.full(columns.shape[0], number + 1, np.uint64)
-    for column in columns.T:
-        key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
-    return key.view(np.int64)
+#: The places of each key of the plainest scheme: bands of four.
+BANDS = tuple(tuple(range(a, a + 4)) for a in range(0, PLACES, 4))
+#: A key's lowest bits are its number; there may be as many keys as they tell apart.
+NUMBERED = 10
 
 
 class Scheme(NamedTuple):
-    """Words of a shingle, the keys of signatures (a function from an array of signatures to arrays of keys), and the likeness of a link."""
+    """Words of a shingle, the places that each of a signature's keys holds, the likeness of a link, and the radius of candidates."""
 
     width: int = 5
-    keys: Callable[[np.ndarray], Iterator[np.ndarray]] = band_keys
+    places: tuple[tuple[int, ...], ...] = BANDS
     least: float = LEAST
     radius: int = RADIUS
 
+    def keys(self, signatures: np.ndarray) -> Iterator[np.ndarray]:
+        """For each key a hash of its places' values, its number in the lowest bits."""
+        for number, places in enumerate(self.places):
+            key = np.full(signatures.shape[0], number + 1, np.uint64)
+            for column in signatures[:, list(places)].T:
+                key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
+            yield (key << np.uint64(NUMBERED) | np.uint64(number)).view(np.int64)
+
+    def first_shared(self, same: np.ndarray) -> np.ndarray:
+        """The number of the first key that a pair shares, from an array (pairs, places) of equal ones; past the last if there is none."""
+        held = np.zeros((PLACES, len(self.places)), np.float32)
+        for number, places in enumerate(self.places):
+            held[list(places), number] = 1
+        shared = same.astype(np.float32) @ held == held.sum(axis=0)
+        return np.where(shared.any(axis=1), shared.argmax(axis=1), len(self.places))
+
 
 def _least_hashes(hashes: np.ndarray) -> np.ndarray:
     least = np.full(PLACES, np.iinfo(np.uint64).max, np.uint64)
@@ -154,8 +163,13 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"u": fps[at], "v": pa.nulls(int(at.sum()), pa.int64()), "key": key[at]})
 
 
-def _centred(batches: Iterator[pa.RecordBatch], radius: int, close: float) -> Iterator[pa.RecordBatch]:
-    """Candidates (u, v) of a few centres of each bucket (rows sorted by key), which stay the same in all pieces of a bucket."""
+def _centred(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
+    """Candidates (u, v) of a few centres of each bucket (rows sorted by key), which stay the same in all pieces of a bucket.
+
+    A pair is told in the first bucket that it shares: a centre of near copies is one in most of their buckets, and what is lost where it
+    isn't is left over, and compared later.
+    """
+    close = (1 - scheme.least) * PLACES / 2
     going, centres = None, []
     for rows, goes_on in _pieces(batches):
         key, fps, sketch = rows.column("key").to_numpy(), rows.column("fp").to_numpy(), _sketches(rows.column("sketch"))
@@ -176,9 +190,11 @@ def _centred(batches: Iterator[pa.RecordBatch], radius: int, close: float) -> It
                     fresh.append((name, centre))
                 else:
                     break
-                apart = (own != centre).sum(axis=1)
+                same = own == centre
+                apart = PLACES - same.sum(axis=1)
                 free &= (apart > close) & (members != name)
-                hit = members[(apart <= radius) & (members != name)]
+                hit = np.flatnonzero((apart <= scheme.radius) & (members != name))
+                hit = members[hit[scheme.first_shared(same[hit]) == (key[a] & ((1 << NUMBERED) - 1))]]
                 yield pa.record_batch({"u": np.minimum(hit, name), "v": np.maximum(hit, name)})
             last = b == key.size and goes_on
             going, centres = (key[a], [*known, *fresh]) if last else (None, [])
@@ -266,25 +282,78 @@ def _rare_first(sets: DataFrame, least: float) -> DataFrame:
     return sets.mapInArrow(first, "key long, fp long")
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Candidates (u, v): in each (key, piece) the rows of side 1 against those of side 0, which come first and are few, unless of one root."""
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each set as what it lacks of its crowd's centre, a bit each, and what it has besides."""
+    for batch in batches:
+        lacks, besides = [], []
+        for own, centre in zip(batch.column("shingles"), batch.column("centre"), strict=True):
+            own, centre = own.values.to_numpy(zero_copy_only=False), centre.values.to_numpy(zero_copy_only=False)
+            lacks.append(np.packbits(~np.isin(centre, own, assume_unique=True)).tobytes())
+            besides.append(own[~np.isin(own, centre, assume_unique=True)])
+        yield pa.record_batch({
+            **{c: batch.column(c) for c in ("crowd", "pieces", "fp", "root", "apart")}, "n": pa.array([len(x) for x in batch.column("shingles")], pa.int64()), "n_centre": pa.array([len(x) for x in batch.column("centre")], pa.int64()),
+            "lacks": pa.array(lacks, pa.binary()), "besides": pa.array(besides, pa.list_(pa.int64())),
+        })
+
+
+def _crossed(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Links (u, v): in each (crowd, piece) the rows of side 1 against those of side 0, which come first and are few, counted on whole sets.
+
+    What two sets share is the centre less what either lacks, and what both have besides. Of a row's links to sets of one root, one is told.
+    """
     now, head = None, []
     index: tuple | None = None
+
+    def built() -> tuple:
+        fps, roots, sizes = (np.array([h[k] for h in head], np.int64) for k in range(3))
+        masks = np.stack([np.frombuffer(h[3], np.uint8) for h in head]) if head[0][3] else np.zeros((len(head), 0), np.uint8)
+        flat, owner = np.concatenate([h[4] for h in head]), np.repeat(np.arange(len(head)), [h[4].size for h in head])
+        order = np.argsort(flat, kind="stable")
+        return fps, roots, sizes, masks, flat[order], owner[order]
+
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("key", "piece", "side", "fp", "root")]
-        sketch = _sketches(batch.column("sketch"))
-        for k, (key, piece, side, fp, root) in enumerate(zip(*cols, strict=True)):
-            if (key, piece) != now:
-                now, head, index = (key, piece), [], None
+        u, v = [], []
+        cols = [batch.column(c).to_pylist() for c in ("crowd", "piece", "side", "fp", "root", "n", "n_centre", "lacks")]
+        for crowd, piece, side, fp, root, n, n_centre, lacks, besides in zip(*cols, batch.column("besides"), strict=True):
+            besides = besides.values.to_numpy(zero_copy_only=False)
+            if (crowd, piece) != now:
+                now, head, index = (crowd, piece), [], None
             if side == 0:
-                head.append((fp, root, sketch[k]))
+                head.append((fp, root, n, lacks, besides))
+                continue
+            if not head:
                 continue
-            if head and index is None:
-                index = np.array([x[0] for x in head]), np.array([x[1] for x in head]), np.stack([x[2] for x in head])
-            if index is not None:
-                hit = index[0][((index[2] != sketch[k]).sum(axis=1) <= radius) & (index[1] != root)]
-                if hit.size:
-                    yield pa.record_batch({"u": np.minimum(hit, fp), "v": np.maximum(hit, fp)})
+            index = index or built()
+            fps, roots, sizes, masks, flat, owner = index
+            low, high = np.searchsorted(flat, besides), np.searchsorted(flat, besides, side="right")
+            spread = high - low
+            at = np.repeat(low - np.r_[0, np.cumsum(spread)[:-1]], spread) + np.arange(spread.sum())
+            both = n_centre - np.bitwise_count(masks | np.frombuffer(lacks, np.uint8)).sum(axis=1, dtype=np.int64) + np.bincount(owner[at], minlength=fps.size)
+            hit = np.flatnonzero((both + 1e-9 >= (sizes + n - both) * least) & (roots != root))
+            hit = fps[hit[np.unique(roots[hit], return_index=True)[1]]]
+            u.append(np.minimum(hit, fp))
+            v.append(np.maximum(hit, fp))
+        if u:
+            yield pa.record_batch({"u": np.concatenate(u), "v": np.concatenate(v)})
+
+
+def _crowd_links(rooted: DataFrame, links: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (u, v) inside crowds, all buckets of which most members have one root: ``rooted`` has (most, fp, root). A crowd's sets are told by
+    what they differ in from its centre, the set of that root with most links, so that copies of whole sets needn't meet."""
+    degree = links.select(F.explode(F.array("u", "v")).alias("fp")).groupBy("fp").agg(F.count("*").alias("links"))
+    known = rooted.groupBy("fp").agg(F.first("root").alias("root")).join(degree, "fp", "left")
+    middle = known.groupBy("root").agg(F.max_by("fp", F.struct(F.coalesce("links", F.lit(0)), "fp")).alias("centre"))
+    crowds = rooted.groupBy(F.col("most").alias("crowd")).agg(F.ceil(F.count_distinct("fp") / PIECE).cast("int").alias("pieces"), F.min_by("fp", F.struct(F.col("root") != F.col("most"), "fp")).alias("some"))
+    crowds = crowds.join(middle, F.col("crowd") == F.col("root"), "left").select("crowd", "pieces", F.coalesce("centre", "some").alias("fp"))
+    centres = stored(crowds.join(sets, "fp").select("crowd", "pieces", F.col("shingles").alias("centre")), "centres")
+    rows = rooted.select(F.col("most").alias("crowd"), "fp", "root", (F.col("root") != F.col("most")).alias("apart")).distinct().join(sets, "fp")
+    coded = join_spread(rows, centres, "crowd").select("crowd", "pieces", "fp", "root", "apart", "shingles", "centre").mapInArrow(_coded, "crowd long, pieces int, fp long, root long, apart boolean, n long, n_centre long, lacks binary, besides array<long>")
+    coded = stored(coded, "coded")
+    one = coded.withColumns({"piece": F.pmod(F.xxhash64("fp"), "pieces").cast("int"), "side": F.lit(0)})
+    other = coded.filter("apart").withColumns({"piece": F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)), "side": F.lit(1)})
+    dealt = one.unionByName(other).repartition("crowd", "piece").sortWithinPartitions("crowd", "piece", "side")
+    found = dealt.select("crowd", "piece", "side", "fp", "root", "n", "n_centre", "lacks", "besides").mapInArrow(lambda b: _crossed(b, least), "u long, v long")
+    return stored(found.distinct(), "links")
 
 
 def _left_over(docs: DataFrame, reps: DataFrame, full: DataFrame, links: DataFrame, scheme: Scheme, id_col: str, text_col: str) -> DataFrame:
@@ -295,37 +364,33 @@ def _left_over(docs: DataFrame, reps: DataFrame, full: DataFrame, links: DataFra
     buckets = stored(counts.groupBy("key").agg(F.sum("of_root").alias("n"), F.max_by("root", F.struct("of_root", "root")).alias("most"), F.max("of_root").alias("of_most")).filter("n > of_most").drop("of_most"), "buckets")
     if buckets.isEmpty():
         return links.limit(0)
-    members = join_hot(rooted, buckets, "key", rooted.count()).groupBy("fp").agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("most")).alias("apart"))
-    members = stored(members.join(reps.select("fp", "sketch"), "fp"), "members")
+    crowds = stored(join_hot(rooted, buckets, "key", rooted.count()).select("most", "fp", "root").distinct(), "crowds")
+    members = stored(crowds.groupBy("fp").agg(F.first("root").alias("root")).join(reps.select("fp", "sketch"), "fp"), "members")
     sets = _sets(docs, reps, members.select("fp"), scheme, id_col, text_col)
     pairs, crowded = _buckets(_rare_first(sets, scheme.least), "prefixes")
-    near = _near(pairs, members, scheme.radius)
-    if not crowded.isEmpty():
-        sizes = crowded.groupBy("key").agg(F.count("*").alias("n"))
-        rows = join_hot(crowded, sizes.withColumn("pieces", F.ceil(F.col("n") / PIECE).cast("int")), "key", crowded.count()).join(members, "fp")
-        one = rows.withColumns({"piece": F.pmod(F.xxhash64("fp"), "pieces").cast("int"), "side": F.lit(0)})
-        other = rows.filter("apart").withColumns({"piece": F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)), "side": F.lit(1)})
-        dealt = one.unionByName(other).select("key", "piece", "side", "fp", "root", "sketch").repartition("key", "piece").sortWithinPartitions("key", "piece", "side")
-        near = near.unionByName(dealt.mapInArrow(lambda b, r=scheme.radius: _blocks(b, r), "u long, v long"))
-    return _verified(docs, reps, near, scheme, id_col, text_col)
+    found = _verified(docs, reps, _near(pairs, members, scheme.radius), scheme, id_col, text_col)
+    if crowded.isEmpty():
+        return found
+    # rare shingles that many have: those sets are compared by crowds
+    dense = crowds.join(stored(crowded.select("fp").distinct(), "dense"), "fp")
+    return found.unionByName(_crowd_links(dense, links, sets, scheme.least))
 
 
 def near_copy_links(docs: DataFrame, reps: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Links (u, v) among the sets ``reps`` (fp, least_id, h, sketch) whose components are those of all pairs that share a key, differ in at most
     ``radius`` places and have a likeness of at least ``least``."""
 
-    def keyed(batches: Iterator[pa.RecordBatch], keys=scheme.keys) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps, signatures = batch.column("fp").to_numpy(), _sketches(batch.column("sketch"))
-            for key in keys(signatures):
+            for key in scheme.keys(signatures):
                 yield pa.record_batch({"key": key, "fp": fps})
 
     worded = reps.filter(F.octet_length("sketch") > 0)
     pairs, full = _buckets(worded.select("fp", "sketch").mapInArrow(keyed, "key long, fp long"), "near")
     near, any_full = _near(pairs, worded, scheme.radius), not full.isEmpty()
     if any_full:
-        close = (1 - scheme.least) * PLACES / 2
-        told = full.join(worded.select("fp", "sketch"), "fp").repartition("key").sortWithinPartitions("key", "fp").mapInArrow(lambda b, r=scheme.radius: _centred(b, r, close), "u long, v long")
+        told = full.join(worded.select("fp", "sketch"), "fp").repartition("key").sortWithinPartitions("key", "fp").mapInArrow(lambda b: _centred(b, scheme), "u long, v long")
         near = near.unionByName(told)
     links = _verified(docs, reps, near, scheme, id_col, text_col)
     return links.unionByName(_left_over(docs, reps, full, links, scheme, id_col, text_col)) if any_full else links

@@ -30,8 +30,10 @@ def linked(spark, rows, schema="doc_id long, text string"):
 
 @pytest.mark.parametrize(("radius", "errors"), [(27, 1), (25, 2), (31, 3), (15, 0)])
 def test_signatures_within_the_radius_share_a_key(radius, errors):
-    from spanloom.llm.multiindex import chunk_keys, chunks
-    from spanloom.llm.nearcopies import PLACES
+    from spanloom.llm.multiindex import chunk_places, chunks
+    from spanloom.llm.nearcopies import PLACES, Scheme
+
+    scheme = Scheme(2, chunk_places(radius, errors))
 
     parts = chunks(radius, errors)
     assert [p for c in parts for p in c] == list(range(PLACES)) and len(parts) * (errors + 1) > radius
@@ -42,7 +44,8 @@ def test_signatures_within_the_radius_share_a_key(radius, errors):
         # the worst case spreads the errors evenly over the chunks
         places = rng.permutation(PLACES)[:radius] if trial % 2 else [c[(trial + k) % len(c)] for k in range(errors + 1) for c in parts][:radius]
         other[0, places] += 1
-        assert any((a == b).all() for a, b in zip(chunk_keys(one, radius, errors), chunk_keys(other, radius, errors), strict=True))
+        shared = [(a == b).all() for a, b in zip(scheme.keys(one), scheme.keys(other), strict=True)]
+        assert any(shared) and scheme.first_shared(one == other)[0] == shared.index(True)
 
 
 def test_nulls_repeats_and_extra_columns(spark):

@@ -71,19 +71,24 @@ def test_a_bucket_read_in_pieces_stays_connected(monkeypatch):
     monkeypatch.setattr(n, "PIECE", 16)
     rng = np.random.default_rng(2)
     centre = rng.integers(0, 256, n.PLACES, dtype=np.uint16)
-    keys = np.repeat([1, 2, 3, 4], [5, 170, 1, 40])
+    keys = np.repeat(np.array([1, 2, 3, 4]) << n.NUMBERED, [5, 170, 1, 40])
     sketches = []
     for _ in keys:
         own = centre.copy()
         own[rng.integers(0, n.PLACES, 4)] = rng.integers(0, 256, 4)
         sketches.append(own.tobytes())
     table = pa.table({"key": keys, "fp": np.arange(keys.size), "sketch": pa.array(sketches, pa.binary())})
+
+    class Everywhere(n.Scheme):
+        def first_shared(self, same):
+            return np.zeros(len(same), np.int64)  # every pair is told where it is seen
+
     root, full, pairs = list(range(keys.size)), set(), []
     for batch in n._met(iter(table.to_batches(max_chunksize=10))):
         for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
             (full.add(u) if v is None else pairs.append((u, v)))
-    assert full == set(np.flatnonzero((keys == 2) | (keys == 4)).tolist())
-    for batch in n._centred(iter(table.filter(pa.array(np.isin(np.arange(keys.size), list(full)))).to_batches(max_chunksize=10)), 27, 6.4):
+    assert full == set(np.flatnonzero(np.isin(keys >> n.NUMBERED, [2, 4])).tolist())
+    for batch in n._centred(iter(table.filter(pa.array(np.isin(np.arange(keys.size), list(full)))).to_batches(max_chunksize=10)), Everywhere()):
         pairs += zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True)
     for u, v in pairs:
         if root[u] != root[v]:
