@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -129,21 +130,73 @@ def _common(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-def _ratio(a: str, b: str) -> float:
-    return 200.0 * _common(a, b) / (len(a) + len(b)) if a or b else 100.0
+#: Pairs worked on together, and characters of a bit row.
+PAIRS, BITS = 4096, 64
 
 
-def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else _ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+def _common_many(a: list[str], b: list[str]) -> np.ndarray:
+    """``_common`` of many pairs: the shorter text of each is a row of bits in one integer, and all pairs take a character of the other at a time."""
+    out = np.zeros(len(a), np.int64)
+    short, long = [min(x, y, key=len) for x, y in zip(a, b, strict=True)], [max(y, x, key=len) for x, y in zip(a, b, strict=True)]
+    sizes, steps = np.fromiter(map(len, short), np.int64, len(a)), np.fromiter(map(len, long), np.int64, len(a))
+    for k in np.flatnonzero(sizes > BITS).tolist():
+        out[k] = _common(short[k], long[k])
+    small = np.flatnonzero(sizes <= BITS)
+    small = small[np.argsort(steps[small], kind="stable")]
+    for at in (small[k : k + PAIRS] for k in range(0, small.size, PAIRS)):
+        most = int(steps[at[-1]])
+        codes = lambda texts, width, fill: np.stack([np.frombuffer(texts[k].encode("utf-32-le"), np.uint32) if len(texts[k]) == width else np.r_[np.frombuffer(texts[k].encode("utf-32-le"), np.uint32), np.full(width - len(texts[k]), fill, np.uint32)] for k in at.tolist()])
+        # what fills up is no character, nor the same on both sides
+        left, right = codes(short, BITS, 0xFFFFFFFE), codes(long, most, 0xFFFFFFFF)
+        row = np.full(at.size, np.iinfo(np.uint64).max, np.uint64)
+        for step in range(most):
+            hit = row & np.packbits(left == right[:, step : step + 1], axis=1, bitorder="little").view("<u8")[:, 0]
+            row = (row + hit) | (row - hit)
+        held = np.where(sizes[at] == BITS, np.iinfo(np.uint64).max, (np.uint64(1) << (sizes[at] % BITS).astype(np.uint64)) - np.uint64(1))
+        out[at] = sizes[at] - np.bitwise_count(row & held).astype(np.int64)
+    return out
+
+
+def _ratio_many(a: list[str], b: list[str]) -> np.ndarray:
+    total = np.fromiter((len(x) + len(y) for x, y in zip(a, b, strict=True)), np.float64, len(a))
+    return np.where(total > 0, 200.0 * _common_many(a, b) / np.maximum(total, 1), 100.0)
 
 
-def _part(x: str, y: str) -> float:
-    short, long = sorted((x, y), key=len)
-    return max((_ratio(short, long[max(0, k) : k + len(short)]) for k in range(1 - len(short), len(long))), default=0.0 if long else 100.0)
+def _given(a: pd.Series, b: pd.Series) -> np.ndarray:
+    return np.flatnonzero(a.notna().to_numpy() & b.notna().to_numpy())
+
+
+def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    at, out = _given(a, b), pd.Series(np.full(len(a), None), dtype="float64")
+    if at.size:
+        out.iloc[at] = _ratio_many(a.iloc[at].tolist(), b.iloc[at].tolist())
+    return out
 
 
 def _parts(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else _part(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    """All stretches of the longer texts are pairs with the shorter ones, some thousand at a time."""
+    at, out = _given(a, b), pd.Series(np.full(len(a), None), dtype="float64")
+    best = np.zeros(at.size)
+    left, right, owner = [], [], []
+
+    def told() -> None:
+        np.maximum.at(best, owner, _ratio_many(left, right))
+        left.clear(), right.clear(), owner.clear()
+
+    for k, (x, y) in enumerate(zip(a.iloc[at].tolist(), b.iloc[at].tolist(), strict=True)):
+        short, long = sorted((x, y), key=len)
+        if not long:
+            best[k] = 100.0
+        for start in range(1 - len(short), len(long)):
+            left.append(short)
+            right.append(long[max(0, start) : start + len(short)])
+            owner.append(k)
+            if len(left) >= PAIRS:
+                told()
+    if left:
+        told()
+    out.iloc[at] = best
+    return out
 
 
 def indel_ratio(a: Column, b: Column) -> Column:

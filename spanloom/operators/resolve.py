@@ -57,18 +57,59 @@ def fuzzy_unique(tokens: DataFrame, names: DataFrame, token: str, name: str, dis
     return best.filter("d = 0 or n = 1").select(token, F.col(f"b.{name}").alias(name), F.col("d").alias("distance"))
 
 
+def _marked_pairs(text: Column) -> Column:
+    """The pairs of neighbouring characters of a text, ends marked; one that comes again is numbered, so that equal elements count once."""
+
+    def numbered(marked: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(1), F.length(marked) - 1), lambda i: F.substring(marked, i, F.lit(2)))
+        again = lambda p: F.transform(p, lambda x, i: F.concat(x, F.size(F.filter(F.slice(p, F.lit(1), i), lambda y: y == x)).cast("string")))
+        return F.transform(F.array(pairs), again)[0]
+
+    return F.transform(F.array(F.concat(F.lit("^"), text, F.lit("$"))), numbered)[0]
+
+
+def _least_shared(sizes: Column, least: float) -> Column:
+    """The pairs that two texts of ``sizes`` characters together share at a ratio of ``least``: of those of one, a character left out takes
+    two and one put in takes one."""
+    return F.greatest(F.lit(1), F.ceil(sizes * (0.5 - 1.5 * (1 - least / 100)) + 1 - 1e-6).cast("int"))
+
+
+def ratio_candidates(tokens: DataFrame, names: DataFrame, token: str, name: str, least: float) -> DataFrame:
+    """(token, name): pairs that a ratio of ``least`` or more may have, all such among them.
+
+    The lengths must be near enough; of either text's pairs of neighbouring characters, rarest first, so many are keys that a text which shares
+    none of them shares too few; and all in all enough pairs must be shared.
+    """
+    if least <= 200 / 3:
+        raise ValueError("below two thirds a ratio promises no shared pair")
+    ratio = least / 100
+    sides = [df.select(F.col(c).alias("x")).filter("x is not null").distinct().select("x", F.length("x").alias("l"), _marked_pairs(F.col("x")).alias("g")) for df, c in ((tokens, token), (names, name))]
+    often = sides[1].select(F.explode("g").alias("k")).groupBy("k").agg(F.count("*").alias("n"))
+    seen = small_side(often)
+
+    def keyed(df: DataFrame, x: str) -> DataFrame:
+        ranked = df.select("*", F.explode("g").alias("k")).join(seen, "k", "left").groupBy("x").agg(F.first("l").alias("l"), F.first("g").alias("g"), F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "k"))).alias("r"))
+        shortest = F.ceil(F.col("l") * (ratio / (2 - ratio)) - 1e-6)
+        keys = F.slice("r", F.lit(1), F.size("r") - _least_shared(F.col("l") + shortest, least) + 1)
+        return ranked.select(F.col("x").alias(x), F.col("l").alias(f"l_{x}"), F.col("g").alias(f"g_{x}"), F.explode(keys["k"]).alias("k"))
+
+    a, b = keyed(sides[0], "a"), keyed(sides[1], "b")
+    both = F.col("l_a") + F.col("l_b")
+    near = a.join(b, "k").filter(200 * F.least("l_a", "l_b") + 1e-6 >= least * both).dropDuplicates(["a", "b"])
+    return near.filter(F.size(F.array_intersect("g_a", "g_b")) >= _least_shared(both, least)).select(F.col("a").alias(token), F.col("b").alias(name))
+
+
 def fuzzy_best(tokens: DataFrame, names: DataFrame, token: str, name: str, least: float = 85.0, hint: str | None = None) -> DataFrame:
     """(token, name, score): the name with the best ratio of at least ``least`` (equals: the least name), else the only one within one edit, at ``least``.
 
-    Two texts with a ratio over 60 share a pair of neighbouring characters, ends marked, so candidates come from an equi-join on
-    those. ``hint`` names a column of both sides: where one's hint is in the other's to 80 or more, a score under 100 rises by 5.
+    Ratios are worked out for ``ratio_candidates`` only. ``hint`` names a column of both sides: where one's hint is in the other's to 80 or
+    more, a score under 100 rises by 5.
     """
-    marked = lambda c: F.concat(F.lit("^"), c, F.lit("$"))
-    pairs_of = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(marked(c)) - 1), lambda i: F.substring(marked(c), i, F.lit(2)))))
     left, right = tokens.select(token, *([F.col(hint).alias("__h")] if hint else [])).distinct(), names.select(name, *([F.col(hint).alias("__o")] if hint else [])).distinct()
-    near = left.select("*", pairs_of(F.col(token)).alias("__g")).join(right.select("*", pairs_of(F.col(name)).alias("__g")), "__g").drop("__g").distinct()
+    near = ratio_candidates(tokens, names, token, name, least)
     scored = near.withColumn("score", F.when(F.col(token) == F.col(name), 100.0).otherwise(indel_ratio(token, name))).filter(F.col("score") >= least)
     if hint:
+        scored = scored.join(left, token).join(right, name)
         helped = (F.col("score") < 100) & (F.length("__o") > 0) & (partial_ratio(F.coalesce("__o", F.lit("")), F.coalesce("__h", F.lit(""))) >= 80)
         scored = scored.withColumn("score", F.when(helped, F.least(F.lit(100.0), F.col("score") + 5)).otherwise(F.col("score")))
     best = scored.groupBy(token).agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col(name))).alias("b")).select(token, F.col(f"b.{name}").alias(name), (-F.col("b.minus")).alias("score"))
