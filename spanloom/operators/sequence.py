@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chained import Anchored, Capped, Changed, long_keys, units
 from .running import running
 
 
@@ -113,17 +114,25 @@ def _units(rows: Iterator[tuple], joins: Callable[[int, int, int, int], bool]) -
 def merge_capped(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, low: int, high: int, cap: int) -> DataFrame:
     """Units (keys, unit_start, unit_end, n): a row joins the open unit if its gap to the unit's end is in [low, high] and the unit would not get longer than cap.
 
-    Rows without a start or end are left out.
+    Rows without a start or end are left out. A key of very many rows is worked on by many tasks.
     """
     timed = df.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+    if long_keys(timed, keys):
+        marked = units(timed.select(*keys, *dict.fromkeys([*order, start, end])), keys, order, [start, end], Capped(low, high, cap))
+        return marked.groupBy(*keys, "__unit").agg(F.max(F.when(F.col("__first"), F.col(start))).cast("long").alias("unit_start"), F.max(end).cast("long").alias("unit_end"), F.count("*").alias("n")).drop("__unit")
     return fold(timed, keys, order, [start, end], lambda rows: _units(rows, lambda s, e, a, b: low <= a - e <= high and b - s <= cap), "unit_start long, unit_end long, n long")
 
 
 def dedupe_anchored(df: DataFrame, keys: Sequence[str], order: Sequence[str], at: str, score: str, horizon: int) -> DataFrame:
     """Kept rows (keys, at, last, best, n): a row within ``horizon`` of the first of the kept one's rows folds into it; the anchor doesn't move.
 
-    Rows without a time are left out; a missing score counts as none.
+    Rows without a time are left out; a missing score counts as none. A key of very many rows is worked on by many tasks.
     """
+    timed = df.filter(F.col(at).isNotNull())
+    if long_keys(timed, keys):
+        marked = units(timed.select(*keys, *dict.fromkeys([*order, at, score])), keys, order, [at], Anchored(horizon))
+        anchor = F.max(F.when(F.col("__first"), F.col(at))).cast("long").alias("at")
+        return marked.groupBy(*keys, "__unit").agg(anchor, F.max_by(at, "__at").cast("long").alias("last"), F.max(score).cast("double").alias("best"), F.count("*").alias("n")).drop("__unit")
 
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
         kept: list | None = None
@@ -137,11 +146,17 @@ def dedupe_anchored(df: DataFrame, keys: Sequence[str], order: Sequence[str], at
         if kept:
             yield tuple(kept)
 
-    return fold(df.filter(F.col(at).isNotNull()), keys, order, [at, score], step, "at long, last long, best double, n long")
+    return fold(timed, keys, order, [at, score], step, "at long, last long, best double, n long")
 
 
 def changes_only(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, least: float) -> DataFrame:
-    """The rows whose value is at least ``least`` away from the last kept row's; rows without a value are left out."""
+    """The rows whose value is at least ``least`` away from the last kept row's; rows without a value are left out.
+
+    A key of very many rows is worked on by many tasks.
+    """
+    valued = df.filter(F.col(value).isNotNull())
+    if long_keys(valued, keys):
+        return units(valued, keys, order, [value], Changed(least)).filter("__first").select(df.columns)
     others = [c for c in df.columns if c not in keys]
     place = others.index(value)
 
@@ -153,7 +168,7 @@ def changes_only(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
                 yield row
 
     out = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in others)
-    return fold(df.filter(F.col(value).isNotNull()), keys, order, others, step, out).select(df.columns)
+    return fold(valued, keys, order, others, step, out).select(df.columns)
 
 
 def scenes(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, gap: int, span: int) -> DataFrame:
