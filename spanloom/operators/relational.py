@@ -17,6 +17,16 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
+def spread_join(rows: DataFrame, wide: DataFrame, key: str, most: int = 100_000) -> DataFrame:
+    """``rows`` joined with ``wide``, a long row a key: a key with more than ``most`` rows is dealt to several places, its long row to each."""
+    heavy = rows.groupBy(key).agg(F.ceil(F.count("*") / most).cast("int").alias("__places")).filter("__places > 1")
+    heavy = F.broadcast(heavy)  # one for ``most`` rows at most
+    place = F.pmod(F.xxhash64(*(c for c in rows.columns if c != key)), F.coalesce("__places", F.lit(1))).cast("int")
+    dealt = rows.join(heavy, key, "left").withColumn("__place", place).drop("__places")
+    copies = wide.join(heavy, key, "left").withColumn("__place", F.explode(F.sequence(F.lit(0), F.coalesce("__places", F.lit(1)) - 1))).drop("__places")
+    return dealt.join(copies, [key, "__place"]).drop("__place")
+
+
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str = "rank_no") -> DataFrame:
     """The first ``n`` rows of each group by ``order``, numbered in ``rank``."""
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= n)

@@ -15,21 +15,167 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions.vectors import dot, unit
+from spanloom.sources.files import private_folder
 
+from .relational import spread_join
 from .sequence import fold
 
-#: Rows a table of profiles, sent to every task, may have.
-MOST_LABELS = 200_000
+#: Bytes of vectors that a table sent to every task, or a block of one, may have.
+BLOCK_BYTES = 64 << 20
+#: Rows that a table sent to every task may have.
+FEW_ROWS = 20_000
+#: Scores worked out together.
+SCORES = 4 << 20
+#: Items for each slice that meets a block.
+SLICE_ITEMS = 65_536
 #: Items and queries of a block of a blocked search; a task holds a block's queries and streams its items.
 BLOCK_ITEMS, BLOCK_QUERIES = 65_536, 4_096
 
 
-def _small_table(table: DataFrame, what: str) -> list:
-    """The rows of a table with a row a label, once it is known to have no more than MOST_LABELS."""
-    rows = table.limit(MOST_LABELS + 1).collect()
-    if len(rows) > MOST_LABELS:
-        raise ValueError(f"more than {MOST_LABELS} {what} for a matrix in every task")
-    return rows
+def _few_rows(table: DataFrame, order: Sequence[str], vector: str) -> list | None:
+    """The rows of a table in order, if they are few enough to be sent to every task; at most FEW_ROWS + 1 are looked at."""
+    rows = table.orderBy(*order).limit(FEW_ROWS + 1).collect()
+    return rows if len(rows) <= FEW_ROWS and sum(8 * len(r[vector]) + 64 for r in rows) <= BLOCK_BYTES else None
+
+
+def _blocks_of(table: DataFrame, vector: str) -> int:
+    """How many blocks of BLOCK_BYTES the vectors of a table make."""
+    size = table.select(F.sum(F.size(vector)).alias("n"), F.count("*").alias("rows")).first()
+    return max(1, -(-(8 * (size["n"] or 0) + 64 * size["rows"]) // BLOCK_BYTES))
+
+
+def _best_of(score: np.ndarray, top: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row the places of its ``top`` greatest scores, greatest first, equals by place."""
+    if score.shape[1] <= max(64, 4 * top):
+        yield from enumerate(np.argsort(-score, axis=1, kind="stable")[:, :top])
+        return
+    least = np.partition(score, score.shape[1] - top, axis=1)[:, score.shape[1] - top]
+    for k in range(score.shape[0]):
+        at = np.flatnonzero(score[k] >= least[k])
+        yield k, at[np.argsort(-score[k, at], kind="stable")[:top]]
+
+
+class _Table:
+    """Vectors of labels in order; a label's score is its vector's, its best exemplar's, or the mean of that and its profile's."""
+
+    def __init__(self, labels: list, vectors: np.ndarray, whole: np.ndarray, mode: str):
+        # rows sorted by label; ``whole`` marks profiles where mode is blend
+        self.names, first = [], []
+        kept = ~whole
+        own = [x for x, k in zip(labels, kept, strict=True) if k]
+        for k, x in enumerate(own):
+            if not k or x != own[k - 1]:
+                self.names.append(x)
+                first.append(k)
+        self.starts, self.samples = np.array(first, np.int64), vectors[kept]
+        self.plain = len(first) == len(own)
+        means = dict(zip((x for x, w in zip(labels, whole, strict=True) if w), vectors[whole], strict=True))
+        self.means = np.array([means[x] for x in self.names]) if mode == "blend" and self.names else None
+
+    def ranked(self, x: np.ndarray, top: int, digits: int) -> Iterator[tuple[np.ndarray, list, np.ndarray]]:
+        """(row, labels, scores) of the best labels of each row of ``x``, some rows' scores at a time."""
+        if not self.names:
+            return
+        step = max(1, SCORES // self.samples.shape[0])
+        for a in range(0, len(x), step):
+            some = x[a : a + step]
+            score = some @ self.samples.T
+            if not self.plain:
+                score = np.maximum.reduceat(score, self.starts, axis=1)
+            if self.means is not None:
+                score = (score + some @ self.means.T) / 2
+            score = np.round(score, digits)
+            for k, best in _best_of(score, top):
+                yield a + k, [self.names[j] for j in best], score[k, best]
+
+
+def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return np.asarray(batch.column(name).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, -1)
+
+
+def _ranked_by(items: DataFrame, key: str, vector: str, table: DataFrame, label: str, top: int, digits: int, mode: str = "exemplar", group: str | None = None) -> DataFrame:
+    """(key, rank_no, label, score): the ``top`` labels of each row of ``items`` by ``table`` (label, __v, __whole, and a ``group`` that both sides have).
+
+    A table of one block goes to all tasks. Else its labels are dealt into blocks and the items into slices; a task holds a block, streams
+    its slice's items past it and keeps each one's best; the best of the blocks are ranked together. No block or score matrix grows
+    with either side.
+    """
+    spark = items.sparkSession
+    key_type, label_type = items.schema[key].dataType.simpleString(), table.schema[label].dataType.simpleString()
+    parts = [group] if group else []
+    sized = lambda labels, kinds: pa.array(labels).cast(kinds) if labels else pa.array([], kinds)
+
+    def built(rows: list[tuple]) -> _Table:
+        return _Table([r[0] for r in rows], np.array([r[1] for r in rows], np.float64), np.array([bool(r[2]) for r in rows]), mode)
+
+    few = _few_rows(table.select(*parts, label, "__v", "__whole"), [*parts, label], "__v")
+    if few is not None:
+        found: dict = {}
+        for *g, name, v, whole in few:
+            found.setdefault(tuple(g), []).append((name, v, whole))
+        model = spark.sparkContext.broadcast(found)
+        arrow = {"int": pa.int32(), "bigint": pa.int64()}.get(label_type, pa.string())
+
+        def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tables = {g: built(rows) for g, rows in model.value.items()}
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = _matrix(batch, vector)
+                of = list(zip(batch.column(group).to_pylist(), strict=True)) if group else [()] * len(x)
+                for g in set(of) & set(tables):
+                    at = np.array([k for k, one in enumerate(of) if one == g])
+                    rows, ranks, labels, scores = [], [], [], []
+                    for k, names, score in tables[g].ranked(x[at], top, digits):
+                        rows += [at[k]] * len(names)
+                        ranks += range(1, len(names) + 1)
+                        labels += names
+                        scores.append(score)
+                    if rows:
+                        yield pa.record_batch({key: batch.column(key).take(pa.array(rows)), "rank_no": pa.array(ranks, pa.int32()), label: sized(labels, arrow), "score": np.concatenate(scores)})
+
+        return items.select(key, vector, *parts).filter(F.col(vector).isNotNull()).mapInArrow(scored, f"`{key}` {key_type}, rank_no int, `{label}` {label_type}, score double")
+
+    blocks = _blocks_of(table, "__v")
+    slices = max(1, min(items.count() // SLICE_ITEMS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    numbered = items.filter(F.col(vector).isNotNull()).select(F.monotonically_increasing_id().alias("__row"), F.col(key).alias("__key"), F.col(vector).cast("array<double>").alias("__v"), *parts)
+    right = table.select(F.pmod(F.xxhash64(label), F.lit(blocks)).cast("int").alias("__b"), every(slices).alias("__s"), F.lit(0).alias("__side"), F.col(label).alias("__l"), F.col("__v").cast("array<double>").alias("__v"), "__whole", *parts)
+    left = numbered.select(every(blocks).alias("__b"), F.pmod(F.xxhash64("__row"), F.lit(slices)).cast("int").alias("__s"), F.lit(1).alias("__side"), "__row", "__key", "__v", *parts)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, model = None, [], None
+        for batch in batches:
+            places = list(zip(*(batch.column(c).to_pylist() for c in (*parts, "__b", "__s")), strict=True))
+            side = batch.column("__side").to_pylist()
+            begin = 0
+            while begin < len(places):
+                end = begin
+                while end < len(places) and places[end] == places[begin] and side[end] == side[begin]:
+                    end += 1
+                some = batch.slice(begin, end - begin)
+                if places[begin] != now:
+                    now, held, model = places[begin], [], None
+                if side[begin] == 0:
+                    held += zip(some.column("__l").to_pylist(), some.column("__v").to_pylist(), some.column("__whole").to_pylist(), strict=True)
+                elif held:
+                    if model is None:
+                        model, held = built(held), [None]
+                    rows, labels, scores = [], [], []
+                    for k, names, score in model.ranked(_matrix(some, "__v"), top, digits):
+                        rows += [k] * len(names)
+                        labels += names
+                        scores.append(score)
+                    if rows:
+                        at = pa.array(rows)
+                        yield pa.record_batch({"__row": some.column("__row").take(at), "__key": some.column("__key").take(at), "__l": pa.array(labels, batch.schema.field("__l").type), "score": np.concatenate(scores)})
+                begin = end
+
+    dealt = right.unionByName(left, allowMissingColumns=True)
+    found = dealt.repartition(*parts, "__b", "__s").sortWithinPartitions(*parts, "__b", "__s", "__side", "__l").mapInArrow(best, f"__row long, __key {key_type}, __l {label_type}, score double")
+    order = Window.partitionBy("__row").orderBy(F.desc("score"), "__l")
+    ranked = found.withColumn("rank_no", F.row_number().over(order)).filter(F.col("rank_no") <= top)
+    return ranked.select(F.col("__key").alias(key), "rank_no", F.col("__l").alias(label), "score")
 
 
 def weighted_sums(df: DataFrame, keys: Sequence[str], vector: str, weight: Column | None = None) -> DataFrame:
@@ -47,68 +193,24 @@ def profiles(df: DataFrame, keys: Sequence[str], vector: str, weight: Column | N
 
 
 def rank_profiles(items: DataFrame, key: str, vector: str, profile_table: DataFrame, label: str, profile: str, top: int, digits: int = 6) -> DataFrame:
-    """(key, rank_no, label, score): the ``top`` profiles of each item by inner product, equals by label.
-
-    The profile table is a dimension (a row a label); it is sent to every task once its size is known to be small, and items
-    are scored a batch at a time.
-    """
-    spark = items.sparkSession
-    rows = _small_table(profile_table.select(label, profile).orderBy(label), "profiles")
-    names = [r[0] for r in rows]
-    matrix = spark.sparkContext.broadcast(np.array([r[1] for r in rows], np.float64))
-    key_type, label_type = items.schema[key].dataType.simpleString(), profile_table.schema[label].dataType.simpleString()
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            if not n or not names:
-                continue
-            x = np.asarray(batch.column(vector).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(n, -1)
-            score = np.round(x @ matrix.value.T, digits)
-            best = np.argsort(-score, axis=1, kind="stable")[:, :top]
-            k = best.shape[1]
-            yield pa.record_batch({
-                key: batch.column(key).take(pa.array(np.repeat(np.arange(n), k))),
-                "rank_no": pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), n)),
-                label: pa.array([names[j] for j in best.reshape(-1)]).cast(pa.int32() if label_type == "int" else pa.int64() if label_type == "bigint" else pa.string()),
-                "score": np.take_along_axis(score, best, axis=1).reshape(-1),
-            })
-
-    return items.select(key, vector).filter(F.col(vector).isNotNull()).mapInArrow(scored, f"{key} {key_type}, rank_no int, {label} {label_type}, score double")
+    """(key, rank_no, label, score): the ``top`` profiles of each item by inner product, equals by label; any number of profiles."""
+    table = profile_table.filter(F.col(profile).isNotNull()).select(label, F.col(profile).alias("__v"), F.lit(False).alias("__whole"))
+    return _ranked_by(items, key, vector, table, label, top, digits)
 
 
 def rank_exemplars(items: DataFrame, key: str, vector: str, exemplar_table: DataFrame, label: str, exemplar: str, profile_table: DataFrame | None, top: int, mode: str = "exemplar", digits: int = 6) -> DataFrame:
     """(key, rank_no, label, score): as ``rank_profiles``, an item's score for a label being that of the label's best exemplar (mode exemplar),
     or the mean of that and its profile's (mode blend; ``profile_table`` has (label, profile)).
 
-    All exemplars are a small table, sent to the tasks; a batch's scores are one product, reduced by label.
+    A label's exemplars are in one block, so its best is known there; any number of labels.
     """
     if mode not in ("exemplar", "blend"):
         raise ValueError(f"unknown mode {mode}")
-    spark = items.sparkSession
-    rows = _small_table(exemplar_table.select(label, exemplar).orderBy(label), "exemplars")
-    names = sorted({r[0] for r in rows})
-    number = {x: k for k, x in enumerate(names)}
-    starts = np.searchsorted([number[r[0]] for r in rows], np.arange(len(names)))
-    whole = {r[0]: r[1] for r in _small_table(profile_table, "profiles")} if mode == "blend" else {}
-    matrix = spark.sparkContext.broadcast((np.array([r[1] for r in rows], np.float64), np.array([whole.get(x, []) for x in names], np.float64) if mode == "blend" else None))
-    key_type, label_type = items.schema[key].dataType.simpleString(), exemplar_table.schema[label].dataType.simpleString()
-    arrow = pa.int32() if label_type == "int" else pa.int64() if label_type == "bigint" else pa.string()
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        samples, means = matrix.value
-        for batch in batches:
-            n = batch.num_rows
-            if not n or not names:
-                continue
-            x = np.asarray(batch.column(vector).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(n, -1)
-            score = np.maximum.reduceat(x @ samples.T, starts, axis=1)
-            score = np.round(score if means is None else (score + x @ means.T) / 2, digits)
-            best = np.argsort(-score, axis=1, kind="stable")[:, :top]
-            k = best.shape[1]
-            yield pa.record_batch({key: batch.column(key).take(pa.array(np.repeat(np.arange(n), k))), "rank_no": pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), n)), label: pa.array([names[j] for j in best.reshape(-1)]).cast(arrow), "score": np.take_along_axis(score, best, axis=1).reshape(-1)})
-
-    return items.select(key, vector).filter(F.col(vector).isNotNull()).mapInArrow(scored, f"{key} {key_type}, rank_no int, {label} {label_type}, score double")
+    table = exemplar_table.select(label, F.col(exemplar).cast("array<double>").alias("__v"), F.lit(False).alias("__whole"))
+    if mode == "blend":
+        named, value = profile_table.columns[:2]
+        table = table.unionByName(profile_table.select(F.col(named).alias(label), F.col(value).cast("array<double>").alias("__v"), F.lit(True).alias("__whole")))
+    return _ranked_by(items, key, vector, table, label, top, digits, mode)
 
 
 def rolling_profiles(labelled: DataFrame, keys: Sequence[str], period: str, vector: str, weight: Column, half_life: float = 3.0, out: str = "profile") -> DataFrame:
@@ -144,35 +246,18 @@ def rolling_profiles(labelled: DataFrame, keys: Sequence[str], period: str, vect
 def rolling_rank(items: DataFrame, key: str, period: str, vector: str, profile_table: DataFrame, label: str, profile: str, top: int, digits: int = 6) -> DataFrame:
     """(key, rank_no, label, score): each item ranked by the profiles (label, period, profile) of the last period before its own; none before the first.
 
-    The profiles of all periods are a small table, sent to the tasks; a batch is worked on period by period.
+    A period's profiles are a table of their own; any number of periods and labels.
     """
-    spark = items.sparkSession
-    rows = _small_table(profile_table.select(period, label, profile).orderBy(period, label), "profiles of periods")
-    tables: dict = {}
-    for p, name, vec in rows:
-        tables.setdefault(p, ([], []))
-        tables[p][0].append(name)
-        tables[p][1].append(vec)
-    known = sorted(tables)
-    model = spark.sparkContext.broadcast({p: (names, np.array(vectors, np.float64)) for p, (names, vectors) in tables.items()})
-    key_type, label_type = items.schema[key].dataType.simpleString(), profile_table.schema[label].dataType.simpleString()
-    arrow = pa.int32() if label_type == "int" else pa.int64() if label_type == "bigint" else pa.string()
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows or not known:
-                continue
-            x = np.asarray(batch.column(vector).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, -1)
-            at = np.searchsorted(np.array(known), batch.column(period).to_numpy(zero_copy_only=False), side="left") - 1
-            for place in np.unique(at[at >= 0]).tolist():
-                own = np.flatnonzero(at == place)
-                names, matrix = model.value[known[place]]
-                score = np.round(x[own] @ matrix.T, digits)
-                best = np.argsort(-score, axis=1, kind="stable")[:, :top]
-                k = best.shape[1]
-                yield pa.record_batch({key: batch.column(key).take(pa.array(np.repeat(own, k))), "rank_no": pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), own.size)), label: pa.array([names[j] for j in best.reshape(-1)]).cast(arrow), "score": np.take_along_axis(score, best, axis=1).reshape(-1)})
-
-    return items.filter(F.col(vector).isNotNull() & F.col(period).isNotNull()).select(key, period, vector).mapInArrow(scored, f"{key} {key_type}, rank_no int, {label} {label_type}, score double")
+    known = profile_table.select(F.col(period).alias("__p")).filter("__p is not null").distinct()
+    # the last known period before each period that items have: an as-of lookup among periods
+    asked = items.select(F.col(period).alias("__p")).filter("__p is not null").distinct()
+    both = known.select("__p", F.lit(0).alias("ask")).unionByName(asked.select("__p", F.lit(1).alias("ask"))).groupBy("__p").agg(F.max("ask").alias("ask"), F.min("ask").alias("known"))
+    # periods are few, a row each
+    last = F.last(F.when(F.col("known") == 0, F.col("__p")), ignorenulls=True).over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
+    before = both.withColumn("__of", last).filter("ask = 1 and __of is not null").select(F.col("__p").alias(period), "__of")
+    placed = items.select(key, period, vector).join(F.broadcast(before), period)
+    table = profile_table.select(label, F.col(profile).alias("__v"), F.lit(False).alias("__whole"), F.col(period).alias("__of"))
+    return _ranked_by(placed, key, vector, table, label, top, digits, group="__of")
 
 
 def left_out_profiles(labelled: DataFrame, keys: Sequence[str], period: str, vector: str, weight: Column, out: str = "profile") -> DataFrame:
@@ -206,21 +291,26 @@ def leave_one_out(items: DataFrame, key: str, label: str, vector: str, digits: i
     """(key, label, pred, sim, sim_true, margin): each item against every label's mean, its own label's without it.
 
     The mean without an item is the label's sum less the item, so nothing is fitted again; an item alone in its label has no
-    sim_true. Labels' sums are a small table, sent to the tasks.
+    sim_true. Other labels are ranked by their sums, any number of them, and the item's own meets it by label.
     """
-    spark = items.sparkSession
-    sums = weighted_sums(items.filter(F.col(vector).isNotNull()), [label], vector)
-    packed = _small_table(sums.groupBy(label).agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "wx"))), lambda x: x["wx"]).alias("s"), F.max("n").alias("n")).orderBy(label), "labels")
+    known = items.select(key, label, vector).filter(F.col(vector).isNotNull() & F.col(label).isNotNull())
+    sums = weighted_sums(known, [label], vector)
+    totals = sums.groupBy(label).agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "wx"))), lambda x: x["wx"]).alias("__s"), F.max("n").alias("__n"))
+    few = _few_rows(totals, [label], "__s")
+    return _left_out_of_many(known, totals, key, label, vector, digits) if few is None else _left_out_of_few(known, few, key, label, vector, digits)
+
+
+def _left_out_of_few(known: DataFrame, packed: list, key: str, label: str, vector: str, digits: int) -> DataFrame:
+    """``leave_one_out`` where the labels' sums are one block, sent to all tasks."""
     names = [r[0] for r in packed]
-    model = spark.sparkContext.broadcast((np.array([r[1] for r in packed], np.float64), np.array([r[2] for r in packed], np.float64)))
+    model = known.sparkSession.sparkContext.broadcast((np.array([r[1] for r in packed], np.float64), np.array([r[2] for r in packed], np.float64)))
     number = {x: k for k, x in enumerate(names)}
-    key_type, label_type = items.schema[key].dataType.simpleString(), items.schema[label].dataType.simpleString()
+    key_type, label_type = known.schema[key].dataType.simpleString(), known.schema[label].dataType.simpleString()
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, count = model.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
+        step = max(1, SCORES // max(1, len(total)))
+        for pdf in (whole.iloc[a : a + step] for whole in batches for a in range(0, len(whole), step)):
             x = np.stack(pdf[vector].to_numpy()).astype(np.float64)
             own = pdf[label].map(number).to_numpy()
             at = np.arange(len(x))
@@ -233,10 +323,30 @@ def leave_one_out(items: DataFrame, key: str, label: str, vector: str, digits: i
             second = np.partition(np.c_[score, np.full(len(x), -np.inf)], -2, axis=1)[:, -2]
             yield pd.DataFrame({key: pdf[key], label: pdf[label], "pred": [names[b] for b in best], "sim": score[at, best], "sim_true": np.where(left, score[at, own], np.nan), "margin": np.round(score[at, best] - second, digits)})
 
-    found = items.select(key, label, vector).filter(F.col(vector).isNotNull() & F.col(label).isNotNull()).mapInPandas(scored, f"{key} {key_type}, {label} {label_type}, pred {label_type}, sim double, sim_true double, margin double")
+    found = known.mapInPandas(scored, f"{key} {key_type}, {label} {label_type}, pred {label_type}, sim double, sim_true double, margin double")
     return found.withColumn("sim_true", F.when(~F.isnan("sim_true"), F.col("sim_true")))
 
 
+def _left_out_of_many(known: DataFrame, totals: DataFrame, key: str, label: str, vector: str, digits: int) -> DataFrame:
+    """``leave_one_out`` in blocks of labels: the three best of all sums hold the two best others, and the own one is worked out beside them."""
+    spark = known.sparkSession
+    path = private_folder(spark, "loo")
+    known.select(F.monotonically_increasing_id().alias("__row"), F.col(key).alias("__key"), F.col(label).alias("__l"), F.col(vector).cast("array<double>").alias("__x")).write.parquet(path)  # settles the numbers
+    rows = spark.read.parquet(path)
+    length = F.sqrt(F.aggregate("__s", F.lit(0.0), lambda acc, x: acc + x * x))
+    table = totals.select(F.col(label).alias("__o"), F.transform("__s", lambda x: x / F.greatest(length, F.lit(1e-9))).alias("__v"), F.lit(False).alias("__whole"))
+    ranked = _ranked_by(rows.select("__row", "__x"), "__row", "__x", table, "__o", 3, digits)
+    own = spread_join(rows, totals.select(F.col(label).alias("__l"), "__s", "__n"), "__l")
+    rest = F.zip_with("__s", "__x", lambda a, b: a - b)
+    own = own.withColumn("__rest", rest).select("__row", "__key", "__l", F.when(F.col("__n") > 1, F.round(dot(F.col("__x"), F.col("__rest")) / (F.sqrt(F.aggregate("__rest", F.lit(0.0), lambda acc, x: acc + x * x)) + 1e-9), digits)).alias("sim_true"))
+    told = lambda score, name: F.struct((-score).alias("minus"), name.alias("name"))
+    others = ranked.join(rows.select("__row", "__l"), "__row").filter(F.col("__o") != F.col("__l")).groupBy("__row").agg(F.slice(F.sort_array(F.collect_list(told(F.col("score"), F.col("__o")))), 1, 2).alias("__b"))
+    mine = F.when(F.col("sim_true").isNotNull(), F.array(told(F.col("sim_true"), F.col("__l")))).otherwise(F.slice("__b", 1, 0))
+    best = own.join(others, "__row").withColumn("__b", F.array_sort(F.concat("__b", mine)))
+    first, second = F.col("__b")[0], F.col("__b")[1]
+    return best.select(F.col("__key").alias(key), F.col("__l").alias(label), first["name"].alias("pred"), (-first["minus"]).alias("sim"), "sim_true", F.round(second["minus"] - first["minus"], digits).alias("margin"))
+
+
 def consistency(items: DataFrame, key: str, label: str, vector: str, duration: str, tolerance: float = 0.10, least_items: int = 5, least_duration: float = 15.0) -> DataFrame:
     """(key, first_pass, dropped): items whose own label looks wrong by leave-one-out, and those still wrong against the cleaned means.
 
