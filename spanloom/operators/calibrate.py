@@ -83,13 +83,13 @@ def audit_frame(verdicts: DataFrame, groups: DataFrame, group: str) -> DataFrame
     return groups.filter("episode >= 2").join(kept, group)
 
 
-def ranked_for_audit(trained: DataFrame, audited: DataFrame, season: str, features: list[str], l2: float = 3.0) -> DataFrame:
+def ranked_for_audit(trained: DataFrame, audited: DataFrame, season: str, features: list[str], l2: float = 3.0, beside: tuple[str, ...] = ("log_dur", "top1", "margin")) -> DataFrame:
     """``audited`` with p: the chance that a label is right, by a small model on the log odds of the run model (fitted on ``trained``, other seasons)
-    and the group's own length and scores; both leave the season out. Null where the other seasons have one verdict only."""
+    and the group's own length and scores (``beside``); both leave the season out. Null where the other seasons have one verdict only."""
     both = trained.select(season, *features, "y", F.lit(False).alias("__a")).unionByName(audited.withColumn("__a", F.lit(True)), allowMissingColumns=True)
     first = left_out_scores(both, season, features, "y", out="__p", only=~F.col("__a"))
     own = first.filter("__a").withColumn("lp", logit(F.col("__p"))).drop("__a", "__p")
-    return left_out_scores(own, season, ["lp", "log_dur", "top1", "margin"], "y", l2)
+    return left_out_scores(own, season, ["lp", *beside], "y", l2)
 
 
 def suspects(decided: DataFrame, p: str, key: str, n: int) -> DataFrame:

@@ -22,16 +22,16 @@ def _loo(spark, sf):
     return scored.withColumns({"y": (F.col("pred") == F.col("label")).cast("int"), "season": F.col("vec_id") % 3})
 
 
-def _newton(rows: str, steps: int) -> str:
+def _newton(rows: str, steps: int, ridge: float = 1, n: str = "n", z: str = "z") -> str:
     """Newton steps of a ridge logistic model on two standardised features per group f of ``rows`` (f, x1, x2, y), as recursive SQL."""
     return f"""
-z as (select f, (x1 - avg(x1) over w) / s1 x1, (x2 - avg(x2) over w) / s2 x2, y from (select *, stddev_pop(x1) over (partition by f) s1, stddev_pop(x2) over (partition by f) s2 from {rows}) window w as (partition by f)),
-n as (select distinct f, 0 it, 0.0::double b0, 0.0::double b1, 0.0::double b2 from z union all
+{z} as (select f, (x1 - avg(x1) over w) / s1 x1, (x2 - avg(x2) over w) / s2 x2, y from (select *, stddev_pop(x1) over (partition by f) s1, stddev_pop(x2) over (partition by f) s2 from {rows}) window w as (partition by f)),
+{n} as (select distinct f, 0 it, 0.0::double b0, 0.0::double b1, 0.0::double b2 from {z} union all
   select f, it + 1, b0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / d, b1 + (h00 * (g1 * h22 - g2 * h12) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / d,
     b2 + (h00 * (h11 * g2 - h12 * g1) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / d
   from (select *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) d from (
-    select f, it, b0, b1, b2, sum(y - p) g0, sum((y - p) * x1) - b1 g1, sum((y - p) * x2) - b2 g2, sum(v) h00, sum(v * x1) h01, sum(v * x2) h02, sum(v * x1 * x1) + 1 h11, sum(v * x1 * x2) h12, sum(v * x2 * x2) + 1 h22
-    from (select n.f, it, b0, b1, b2, x1, x2, y, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) p, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) * (1 - 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2)))) v from n join z on z.f = n.f where it < {steps})
+    select f, it, b0, b1, b2, sum(y - p) g0, sum((y - p) * x1) - {ridge} * b1 g1, sum((y - p) * x2) - {ridge} * b2 g2, sum(v) h00, sum(v * x1) h01, sum(v * x2) h02, sum(v * x1 * x1) + {ridge} h11, sum(v * x1 * x2) h12, sum(v * x2 * x2) + {ridge} h22
+    from (select s.f, it, b0, b1, b2, x1, x2, y, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) p, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) * (1 - 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2)))) v from {n} s join {z} t on t.f = s.f where it < {steps})
     group by f, it, b0, b1, b2)))"""
 
 
@@ -61,6 +61,22 @@ def audit_rank(spark, sf):
     return ev.bottom_share(ranked, "p", "vec_id", F.col("y") == 1, [0.1, 0.2]).select("share", "n", "wrong")
 
 
+_NESTED = _S + """, tr as (select g.season f, x1, x2, y from r0 join (select distinct season from r0) g on g.season <> r0.season where vec_id % 4 <> 0),""" + _newton("tr", 12, 1, "na", "za") + """,
+ma as (select f, avg(x1) m1, stddev_pop(x1) s1, avg(x2) m2, stddev_pop(x2) s2 from tr group by f),
+au as (select vec_id, season, b0 + b1 * (x1 - m1) / s1 + b2 * (x2 - m2) / s2 lp, x2, y from r0 join na on na.f = season and it = 12 join ma on ma.f = season where vec_id % 4 = 0),
+tb as (select g.season f, lp x1, x2, y from au join (select distinct season from au) g on g.season <> au.season),""" + _newton("tb", 14, 3, "nb", "zb") + """,
+mb as (select f, avg(x1) m1, stddev_pop(x1) s1, avg(x2) m2, stddev_pop(x2) s2 from tb group by f)
+select vec_id, round(1 / (1 + exp(-(b0 + b1 * (lp - m1) / s1 + b2 * (x2 - m2) / s2))), 5) p from au join nb on nb.f = season and it = 14 join mb on mb.f = season"""
+
+
+@register("q_audit_chances", _NESTED)
+def audit_chances(spark, sf):
+    """The two nested left-out models of an audit, on two features each, which SQL can fit too."""
+    rows = _loo(spark, sf).select("vec_id", "season", F.col("sim").alias("top1"), "margin", "y")
+    ranked = cal.ranked_for_audit(rows.filter("vec_id % 4 <> 0"), rows.filter("vec_id % 4 = 0"), "season", ["top1", "margin"], beside=("margin",))
+    return ranked.select("vec_id", F.round("p", 5).alias("p"))
+
+
 @register("q_suspects", _LOO + """, sc as (select vec_id, 1 / (1 + exp(-(sim * 8 - 3))) p from loo) select vec_id, round(p, 6) p, (select count(*) from sc) remaining from sc order by p, vec_id limit 40""")
 def suspects(spark, sf):
     scored = _loo(spark, sf).select("vec_id", (1 / (1 + F.exp(-(F.col("sim") * 8 - 3)))).alias("p"))
