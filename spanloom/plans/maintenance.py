@@ -1,11 +1,13 @@
-"""Queries that merge, compare and rewrite tables, and the stream twin of sessions."""
+"""Queries that merge, compare and rewrite tables, keep versions of them, and follow streams."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from spanloom.operators import merge as mg
+from spanloom.sources import snapshots as sn
 from spanloom.sources.files import private_folder
+from spanloom.streaming import corrections as co
 from spanloom.streaming import sessions as ss
 
 from .registry import register
@@ -104,3 +106,93 @@ def stream_sessions(spark, sf):
     base = private_folder(spark, "stream")
     found = ss.sessions(_stamped(stream), "user_id", "at", "30 minutes", late="1 hour")
     return _sessions(ss.run_available(found, f"{base}/out", f"{base}/state", "complete"))
+
+
+def _snapshot_rows(rows, version):
+    """A version of the orders: the second and third have other totals, the third no open ones."""
+    own = rows.filter("o_orderstatus <> 'O'") if version == 3 else rows
+    return own.withColumn("o_totalprice", F.col("o_totalprice") + (version - 1) * 10)
+
+
+@register("q_snapshots", """
+with v as (select 1 as version, count(*) n from orders union all select 2, count(*) from orders union all select 3, count(*) from orders where o_orderstatus <> 'O')
+select 'v' || version as version, n::bigint n, version <> 2 intact, version = 3 published, version > 1 kept, (version <> 2)::int readable from v""")
+def snapshots(spark, sf):
+    """Three versions of a table; a file of the second is lost; all are checked, read and rotated."""
+    folder = private_folder(spark, "snapshots")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice").repartition(4)
+    for version in (1, 2, 3):
+        sn.write_snapshot(_snapshot_rows(rows, version), folder, f"v{version}")
+    lost = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/v2/data/part-*.parquet")
+    files = lost.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(files.globStatus(lost)[0].getPath(), False)
+    told, published = [], sn.current(spark, folder)
+    for version in sn.versions(spark, folder):
+        bad = sn.check_snapshot(spark, folder, version).filter("state <> 'ok'").count()
+        n = spark.read.schema("n long").json(f"{folder}/{version}/manifest").agg(F.sum("n")).first()[0]
+        try:
+            readable = int(sn.read_snapshot(spark, folder, version).count() == n)
+        except ValueError:
+            readable = 0
+        told.append([version, n, not bad, version == published, readable])
+    gone = sn.rotate(spark, folder, 2)
+    shape = "version string, n long, intact boolean, published boolean, kept boolean, readable int"
+    return spark.createDataFrame([(v, n, intact, now, v not in gone, readable) for v, n, intact, now, readable in told], shape)
+
+
+_DERIVED = "k long, version int, total double, label string, carried boolean"
+
+
+def _corrected(spark, sf, folder, files):
+    """Orders as they come in: all but some at first, then late ones and corrections, and then older versions of some."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("label"))
+    parts = [
+        orders.filter("k % 5 <> 0").select("k", F.lit(1).alias("version"), "price", "label"),
+        orders.filter("k % 5 = 0 or k % 3 = 0").select("k", F.lit(3).alias("version"), (F.col("price") + 1).alias("price"), F.when(F.col("k") % 2 == 0, F.col("label")).alias("label")),
+        orders.filter("k % 7 = 0").select("k", F.lit(2).alias("version"), (F.col("price") - 1).alias("price"), "label"),
+    ]
+    for number in files:
+        parts[number].coalesce(1).write.mode("append").parquet(f"{folder}/arrived")  # a file an arrival, as the stream takes them
+    return spark.readStream.schema("k long, version int, price double, label string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/arrived")
+
+
+def _made(inputs, before):
+    """A total for each order; a label that the order lacks now is carried from what it had before."""
+    had = before.select("k", F.col("label").alias("had"))
+    both = inputs.join(had, "k", "left")
+    return both.select("k", "version", F.round(F.col("price") * 2, 2).alias("total"), F.coalesce("label", "had").alias("label"), (F.col("label").isNull() & F.col("had").isNotNull()).alias("carried"))
+
+
+_FOLLOWED = """
+with o as (select o_orderkey k, o_totalprice price, o_orderpriority label from orders),
+i as (select k, 1 as version, price, label from o where k % 5 <> 0 union all select k, 3, price + 1, case when k % 2 = 0 then label end from o where k % 5 = 0 or k % 3 = 0 union all select k, 2, price - 1, label from o where k % 7 = 0),
+n as (select *, row_number() over (partition by k order by version desc) r from i)
+select k, n.version::int as version, round(n.price * 2, 2) total, coalesce(n.label, case when n.k % 5 <> 0 then o.label end) as label, n.label is null and n.k % 5 <> 0 carried from n join o using (k) where r = 1"""
+
+
+@register("q_stream_corrected", _FOLLOWED)
+def stream_corrected(spark, sf):
+    """Late and corrected inputs, a file a micro-batch: what is derived follows the newest version and keeps labels that were lost."""
+    folder = private_folder(spark, "corrected")
+    for number in (0, 1, 2):
+        co.follow(_corrected(spark, sf, folder, [number]), folder, "k", "version", _made, _DERIVED)
+    return co.derived_rows(spark, folder, "k", "version", _DERIVED)
+
+
+@register("q_stream_resumed", _FOLLOWED)
+def stream_resumed(spark, sf):
+    """The same, stopped while the second batch is worked on, after its inputs were stored; then gone on with from the checkpoint."""
+    folder = private_folder(spark, "resumed")
+
+    def stop(number, step):
+        if number == 1 and step == "derived":
+            raise InterruptedError("stopped")
+
+    co.follow(_corrected(spark, sf, folder, [0]), folder, "k", "version", _made, _DERIVED)
+    try:
+        co.follow(_corrected(spark, sf, folder, [1]), folder, "k", "version", _made, _DERIVED, stop)
+    except Exception as error:
+        if "stopped" not in str(error):
+            raise
+    co.follow(_corrected(spark, sf, folder, [2]), folder, "k", "version", _made, _DERIVED)
+    return co.derived_rows(spark, folder, "k", "version", _DERIVED)
