@@ -144,6 +144,21 @@ def banded_round(units: DataFrame, lanes: DataFrame, seed: str = "mix") -> DataF
     return ups
 
 
+#: Rows alike that one task numbers.
+ALIKE = 100_000
+
+
+def _numbered(alike: DataFrame) -> DataFrame:
+    """A row for each of the ``n`` rows alike, with its number from 1 (``nth``); very many alike are dealt to tasks in blocks first."""
+    every = lambda low, high: F.explode(F.sequence(low, high))
+    few = alike.filter(F.col("n") <= ALIKE).withColumn("nth", every(F.lit(1).cast("long"), F.col("n")))
+    blocks = alike.filter(F.col("n") > ALIKE).withColumn("block", every(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / ALIKE)))
+    # a number of parts of one's own, so that few blocks aren't put together again
+    dealt = blocks.repartition(int(alike.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "source", "size", "block")
+    many = dealt.withColumn("nth", every(F.col("block") * ALIKE + 1, F.least((F.col("block") + 1) * ALIKE, F.col("n"))))
+    return few.unionByName(many.drop("block"))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST_COPIES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
     """(doc_id, size, source_size, target, taken) per row of ``docs``; taken is the row's copies times its size.
 
@@ -164,7 +179,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST_
     targets = targets.withColumn("share", share)
     told = small_side(targets.select(F.col("source").alias("own"), "source_size", "target", "share"), n_sources)
     lane = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
-    numbered = alike.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    numbered = _numbered(alike)
     # an id, and a hash of what tells its rows apart
     row = F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64(F.col("doc_id").isNull(), lane, F.col("size"), F.col("nth")).alias("tag"))
     joined = numbered.join(told, F.col("source").eqNullSafe(F.col("own"))).drop("own").withColumn("row", row)
