@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,11 +37,57 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+#: Folders that ``stored`` wrote and that are still there, in order.
+_written: list[str] = []
+
+
 def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: cuts the lineage, survives lost executors."""
+    """``df`` written as Parquet to the shared folder and read again: cuts the lineage, survives lost executors.
+
+    What is stored stays until ``discard``, the end of a ``scratch`` or that of the driver, as frames that are still to run may read it.
+    """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(_removed, df.sparkSession, 0)
+    _written.append(path)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _removed(spark: SparkSession, kept: int) -> None:
+    """Removes all folders but the first ``kept``; a session that is gone can't."""
+    while len(_written) > kept:
+        path = _written.pop()
+        try:
+            _remove(spark, path)
+        except Exception:  # the driver or its session ends
+            return
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes what ``stored`` gave these very frames, which nothing reads any more."""
+    for df in frames:
+        path = getattr(df, "_stored_at", None)
+        if path in _written:
+            _written.remove(path)
+            _remove(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end whatever operators stored inside it: write or collect their results within."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        _removed(spark, before)
 
 
 def small_side(df: DataFrame, rows: int, size: int = 0) -> DataFrame:

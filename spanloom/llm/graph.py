@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, stored
+from .common import discard, join_hot, stored
 
 
 def _large_star(edges: DataFrame, total: int) -> DataFrame:
@@ -39,6 +39,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         large = stored(_large_star(now, state[0]), "edges")
         after = stored(_small_star(large, state[0]), "edges")
+        discard(now, large)
         was, state, now = state, _state(after), after
         if was == state:
             break

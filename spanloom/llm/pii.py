@@ -9,10 +9,12 @@ nothing that another stem could end in, distinct stems mean distinct mentions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, small_side, stored
+from .common import discard, let, small_side, stored
 
 #: The patterns of the kinds. A number with 13 to 19 digits is a card only if its check digit is right.
 #: A mail address starts at a letter or digit, also after punctuation; inside a run of its characters only after another address, so that a
@@ -65,7 +67,7 @@ SURNAMES = {
     "greek": ("αλεξ βασ γεωργ δημ ηλι καλ λαμπ μαρ νικ παπ σταμ τσακ χρηστ".split(), ["", *"αν ατ ελ ιν ουλ".split()], "ακης ιδης οπουλος ατος".split()),
 }
 ATTEMPTS = 60
-#: From this attempt on a mail or IP address needn't keep its length, so that no format runs out of values.
+#: From this attempt on addresses, phone and social-security numbers needn't keep their length, so that no format runs out of values.
 WIDER = 8
 
 
@@ -144,12 +146,26 @@ def _script(value: Column, build) -> Column:
     return F.when(value.rlike(r"\p{IsCyrillic}"), build("cyrillic")).when(value.rlike(r"\p{IsGreek}"), build("greek")).otherwise(build("latin"))
 
 
-def _seed(entity: Column, attempt: Column, key: str) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(key), entity, attempt.cast("string")), 256)
+#: The bytes of a block of SHA-256, which a key is padded to.
+_BLOCK = 64
+
+
+def key_table(spark: SparkSession, key: str) -> DataFrame:
+    """One row (inner, outer): the key's two pads of HMAC-SHA256. As data of a table they stand in no plan, log or page of the session."""
+    raw = key.encode()
+    raw = (hashlib.sha256(raw).digest() if len(raw) > _BLOCK else raw).ljust(_BLOCK, b"\0")
+    pads = bytes(x ^ 0x36 for x in raw), bytes(x ^ 0x5C for x in raw)
+    return F.broadcast(spark.createDataFrame([(pads,)], "__key struct<inner:binary,outer:binary>"))
 
 
-def stem_of(entity: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of an entity in its plainest form: lower case, digits only."""
+def _seed(entity: Column, attempt: Column, key: Column) -> Column:
+    """HMAC-SHA256 of an entity and an attempt."""
+    inner = F.unhex(F.sha2(F.concat(key["inner"], F.concat_ws("|", entity, attempt.cast("string")).cast("binary")), 256))
+    return F.sha2(F.concat(key["outer"], inner), 256)
+
+
+def stem_of(entity: Column, attempt: Column, key: Column) -> Column:
+    """The surrogate of an entity in its plainest form: lower case, digits only. ``key`` is the column of ``key_table``."""
 
     def made(x: Column) -> Column:
         s, attempt, kind, value = x["s"], x["a"], x["k"], x["v"]
@@ -166,12 +182,14 @@ def stem_of(entity: Column, attempt: Column, key: str) -> Column:
         octet = lambda c, i: F.when(attempt >= WIDER, F.pmod(F.xxhash64(s, i), F.lit(256))).when(F.length(c) == 1, F.pmod(F.xxhash64(s, i), F.lit(10))).when(F.length(c) == 2, F.pmod(F.xxhash64(s, i), F.lit(90)) + 10).otherwise(F.pmod(F.xxhash64(s, i), F.lit(156)) + 100).cast("string")
         head = let(F.concat(F.substring(value, 1, 1), F.substring(stream(F.length(value)), F.lit(1), F.length(value) - 2)), lambda h: F.concat(h, F.pmod(-_luhn(F.concat(h, F.lit("0"))), F.lit(10)).cast("string")))
         country = F.substring_index(value, "|", 1)
+        extra = F.greatest(attempt - WIDER + 1, F.lit(0))  # digits that a wider draw puts behind
+        national = F.length(value) - F.length(country) - 1 + extra
         return (
             F.when(kind == "email", F.concat(longer, fresh, tail))
             .when(kind == "ip", F.array_join(F.transform(F.split(value, r"\."), octet), "."))
-            .when(kind == "phone", F.concat(country, F.lit("|"), digit("23456789"), F.substring(stream(F.length(value) - F.length(country) - 1), F.lit(2), F.length(value))))
+            .when(kind == "phone", F.concat(country, F.lit("|"), digit("23456789"), F.substring(stream(national), F.lit(2), national)))
             .when(kind == "card", head)
-            .when(kind == "ssn", stream(F.length(value)))
+            .when(kind == "ssn", stream(F.length(value) + extra))
             .when(kind == "given", _script(value, given))
             .when(kind == "surname", _script(value, surname))
         )
@@ -182,12 +200,12 @@ def stem_of(entity: Column, attempt: Column, key: str) -> Column:
 
 
 def _fill(mention: Column, digits: Column) -> Column:
-    """``mention`` with its digits replaced in order."""
+    """``mention`` with its digits replaced in order, and what is over of ``digits`` behind."""
     start = F.struct(F.lit(0).alias("k"), F.lit("").alias("out"))
 
     def one(x: Column) -> Column:
         step = lambda acc, c: F.struct((acc["k"] + c.rlike("[0-9]").cast("int")).alias("k"), F.concat(acc["out"], F.when(c.rlike("[0-9]"), F.substring(x["d"], acc["k"] + 1, F.lit(1))).otherwise(c)).alias("out"))
-        return F.aggregate(F.split(x["m"], ""), start, step, lambda acc: acc["out"])
+        return F.aggregate(F.split(x["m"], ""), start, step, lambda acc: F.concat(acc["out"], F.substring(x["d"], acc["k"] + 1, F.length(x["d"]))))
 
     return let(F.struct(mention.alias("m"), digits.alias("d")), one)
 
@@ -236,14 +254,19 @@ def retries(entities: DataFrame, key: str) -> DataFrame:
     value = F.regexp_replace(F.substring("own", F.length(kind) + 2, F.length("own")), F.when(kind == "given", r"\|[mfn]$").otherwise("$^x"), F.lit(""))
     now = counted.select("own").distinct().withColumn("attempt", F.lit(0))
     real = counted.select(kind.alias("kind"), value.alias("stem")).distinct().withColumn("real", F.lit(True))
+    keys, last = key_table(entities.sparkSession, key), None
     for _ in range(ATTEMPTS):
-        given = now.withColumns({"kind": kind, "stem": stem_of(F.col("own"), F.col("attempt"), key)})
+        given = now.crossJoin(keys).withColumns({"kind": kind, "stem": stem_of(F.col("own"), F.col("attempt"), F.col("__key"))}).drop("__key")  # one row
         # what keeps its attempt goes before what draws again, so that settled entities stay settled
         first = given.groupBy("kind", "stem").agg(F.min(F.struct("attempt", "own")).alias("first"), F.count("*").alias("n"))
         marked = given.join(first, ["kind", "stem"]).join(real, ["kind", "stem"], "left")
         bad = F.coalesce(F.col("real"), F.lit(False)) | ((F.col("n") > 1) & (F.col("first.own") != F.col("own")))
         after = stored(marked.select("own", "attempt", bad.alias("bad")), "attempts")
+        if last is not None:
+            discard(last)
+        last = after
         if after.filter("bad").isEmpty():
+            now = after
             break
         now = after.select("own", (F.col("attempt") + F.col("bad").cast("int")).alias("attempt"))
     else:
@@ -258,9 +281,11 @@ def replace_personal_data(docs: DataFrame, key: str, id_col: str = "doc_id", tex
     Surrogates keep kind and format: numbers and addresses their length (but where a format has too few values), cards the first
     digit and a right check digit, mail addresses the last label, names script, case, parts and gender. Equal entities get
     equal surrogates in all rows, whatever a mention's title, spacing, case or (for ten digits) country code +1; different ones get
-    different surrogates, and none gets a value that the corpus holds. A given name counts with the gender of its title, else of
+    different surrogates, and none gets a value that the corpus holds. Where a format has too few values left, numbers get longer. A given name counts with the gender of its title, else of
     the other mentions, else as a neutral one. n_entities counts the mentions. A null text stays null, with 0. Null ids and repeated
     rows are returned as they come; an empty table gives an empty result; other columns are ignored.
+
+    The result reads texts stored in the shared folder, with what was found in them; run it inside ``common.scratch``, which removes them.
     """
     if not key:
         raise ValueError("a secret key is needed")
@@ -284,10 +309,11 @@ def replace_personal_data(docs: DataFrame, key: str, id_col: str = "doc_id", tex
 
     def fresh(e: Column) -> Column:
         def stem(entity: Column) -> Column:
-            return let(F.struct(entity.alias("e"), F.try_element_at(F.col("again"), entity).alias("r")), lambda x: stem_of(F.coalesce(x["r"]["own"], x["e"]), F.coalesce(x["r"]["attempt"], F.lit(0)), key))
+            return let(F.struct(entity.alias("e"), F.try_element_at(F.col("again"), entity).alias("r")), lambda x: stem_of(F.coalesce(x["r"]["own"], x["e"]), F.coalesce(x["r"]["attempt"], F.lit(0)), F.col("__key")))
 
         return let(F.struct(e.alias("e"), F.transform(e["entities"], stem).alias("s")), lambda x: rendered(x["e"]["kind"], x["e"]["mention"], x["s"]))
 
+    found = found.crossJoin(key_table(docs.sparkSession, key))  # one row
     made = F.transform("found", lambda e: F.when(e["kind"].isNull(), e["mention"]).otherwise(fresh(e)))
     replaced = F.array_join(F.zip_with(F.split("text", ANY, -1), made, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
     number = F.size(F.filter("found", lambda e: e["kind"].isNotNull()))
