@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from .common import shared_folder, small_side, stored
 
-#: Payload bytes of an archive file, about, and its records at most; a file is read by one task.
+#: Payload bytes of an archive file at most, unless it is one record, and its records at most; a file is read by one task.
 FILE_BYTES, RECORDS = 32 << 20, 20_000
+#: Records are put into files by their size: up to so many payload bytes, and beyond the last, a record a file.
+SIZES = [1 << 10, 8 << 10, 64 << 10, 512 << 10, 4 << 20]
 #: Index rows of a range of the merged index, about.
 RANGE_ROWS = 200_000
 #: Fixed values of the format: the base32 alphabet, the revisit profile, the first capture time where the table has none.
@@ -55,8 +57,6 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, id_col: st
     sized = rows.withColumn("bytes", F.octet_length("payload"))
     first = sized.filter(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
     repeated = stored(first.filter("n > 1").drop("n"), "repeated")
-    facts = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("payload")).alias("bytes")).first()
-    records = max(1, min(RECORDS, FILE_BYTES * facts["n"] // max(1, facts["bytes"] or 0)))
     marked = sized.join(small_side(repeated, repeated.count()), "digest", "left").withColumn("revisit", F.coalesce((F.col("bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("first_id").isNotNull(), F.lit(False)))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit("\r\n\r\n"), F.when(F.col("revisit"), F.lit("")).otherwise(F.col("payload")))
     made = marked.withColumn("block", http)
@@ -76,13 +76,19 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, id_col: st
         F.col("block"),
     )
     host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
+    # as many rows in a row as records of their size may share a file: however sizes lie, no file gets longer than FILE_BYTES
+    held = F.when(F.col("revisit"), F.lit(0)).otherwise(F.col("bytes"))
+    level, share = F.lit(len(SIZES)), F.lit(1)
+    for number, most in reversed(list(enumerate(SIZES))):
+        level, share = F.when(held <= most, number).otherwise(level), F.when(held <= most, max(1, min(RECORDS, FILE_BYTES // most))).otherwise(share)
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
     (
-        made.select(record.alias("value"), host.alias("host"), "url", "at", "page_id")
-        .sortWithinPartitions("host", "url", "at", "page_id")
-        .select("value")
-        .write.option("lineSep", "\r\n\r\n")  # the end of a WARC record
+        made.select(record.alias("value"), level.alias("level"), F.floor(number / share).alias("slot"), host.alias("host"), "url", "at", "page_id")
+        .sortWithinPartitions("level", "slot", "host", "url", "at", "page_id")
+        .select("value", "level", "slot")
+        .write.partitionBy("level", "slot")
+        .option("lineSep", "\r\n\r\n")  # the end of a WARC record
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", records)
         .text(path)
     )
 
