@@ -107,7 +107,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that contain no item; rows with a null id stay."""
+    """The rows of ``docs`` that contain no item. Rows that share an id go together; a row without an id goes by its own text."""
     leaks = stored(find_leaks(docs, benchmark, threshold, id_col, text_col).select("doc_id").distinct(), "leaks")
-    leaks = small_side(leaks.withColumnRenamed("doc_id", id_col), leaks.count())
-    return docs.join(leaks, id_col, "left_anti")
+    kept = docs.join(small_side(leaks.withColumnRenamed("doc_id", id_col), leaks.count()), id_col, "left_anti").select(docs.columns)
+    nameless = docs.filter(F.col(id_col).isNull())
+    if nameless.isEmpty():
+        return kept
+    by_text = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    texts = nameless.select(by_text.alias("doc_id"), F.col(text_col).cast("string").alias("text")).dropDuplicates(["doc_id"])
+    found = stored(find_leaks(texts, benchmark, threshold).select(F.col("doc_id").alias("__h")).distinct(), "leaks")
+    clean = nameless.withColumn("__h", by_text).join(small_side(found, found.count()), "__h", "left_anti").select(docs.columns)
+    return kept.filter(F.col(id_col).isNotNull()).unionByName(clean)
