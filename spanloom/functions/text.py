@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -33,6 +33,13 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.replace(text, F.lit("’"), F.lit("'"))), F.lit("([a-z0-9']+)"), F.lit(1))
 
 
+def in_words(code: Column, words: Mapping[str, str], what: str = "code") -> Column:
+    """What a lookup says for a code; null for null, and a code that the lookup lacks is an error that names it."""
+    known = F.create_map(*(F.lit(x) for pair in words.items() for x in pair))
+    said = F.try_element_at(known, code)
+    return F.when(code.isNull() | said.isNotNull(), said).otherwise(F.raise_error(F.concat(F.lit(f"unknown {what}: "), code)).cast("string"))
+
+
 def item_id(season: Column, episode: Column, mark: str, number: Column) -> Column:
     """Positional id such as S01_E02_U0003."""
     return F.concat(season, F.lit("_E"), F.lpad(episode.cast("string"), 2, "0"), F.lit(f"_{mark}"), F.lpad(number.cast("string"), 4, "0"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def probable_cause(delta: Column, duration: Column, last: Column, listed_min: Column, late: float) -> Column:
     """Why a subtitle's times don't fit its file: the first rule that holds, as text. Times in seconds, ``listed_min`` the listed length in minutes."""
-    whole = lambda x: F.format_string("%.0f", x)
+    whole = lambda x: F.format_string("%.0f", x + F.lit(0.0))  # noqa: E731  no minus before a zero
     return (
         F.when(delta.isNull(), "unknown")
         .when((listed_min > 0) & (duration > 1.7 * listed_min * 60) & (duration > 70 * 60), F.concat(F.lit("probably a double episode ("), whole(duration / 60), F.lit(" min against "), whole(listed_min), F.lit(")")))

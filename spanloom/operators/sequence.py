@@ -304,11 +304,16 @@ def last_after_first(df: DataFrame, keys: Sequence[str], at: str, first: Column,
     return df.join(opened, list(keys)).groupBy(*keys, "first_at").agg(F.max(F.when(then & (F.col(at) > F.col("first_at")) & (F.col(at) <= F.col("first_at") + reach), F.col(at))).alias("then_at"))
 
 
-def split_on_mentions(df: DataFrame, keys: Sequence[str], order: Sequence[str], hit: str, out: str = "part") -> DataFrame:
-    """``df`` with islands of rows that mention the key's predicted name and of rows that don't; a key where all or none do stays one part."""
+def split_on_mentions(df: DataFrame, keys: Sequence[str], order: Sequence[str], hit: str, out: str = "part", confident: Column | None = None) -> DataFrame:
+    """``df`` with islands of rows that mention the key's predicted name and of rows that don't; a key where all or none do stays one part.
+
+    With ``confident``, so does a key one of whose rows lacks it: only a group whose prediction is sure is cut by what it says.
+    """
     whole = Window.partitionBy(*keys)
     flagged = F.coalesce(F.col(hit), F.lit(False)).cast("int")
     plain = F.min(flagged).over(whole) == F.max(flagged).over(whole)
+    if confident is not None:
+        plain = plain | ~F.bool_and(F.coalesce(confident, F.lit(False))).over(whole)
     cut = split_on_flags(df.withColumn("__plain", plain).withColumn("__hit", flagged), keys, order, "__hit", out)
     return cut.withColumn(out, F.when(F.col("__plain"), F.lit(1).cast("long")).otherwise(F.col(out))).drop("__plain", "__hit")
 

@@ -8,6 +8,7 @@ from spanloom.functions import text as tx
 from spanloom.functions import vectors as vx
 from spanloom.operators import report as rp
 from spanloom.operators import signal as sg
+from spanloom.operators.stages import run_stages
 from spanloom.sources import subtitles as st
 from spanloom.sources.files import private_folder
 from spanloom.streaming import sessions as ss
@@ -44,14 +45,19 @@ def inventory_frames(spark, sf):
     return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
 
 
-@register("q_causes", """
-with c as (select o_orderkey, case when o_orderkey % 11 = 0 then null else o_orderkey % 400 - 150.0 end d, 2000.0 + o_custkey % 9000 as dur, 1500.0 + o_orderkey % 3000 as last, case when o_orderkey % 4 = 0 then 42.0 end listed from orders)
-select case when d is null then 'unknown' when listed > 0 and dur > 1.7 * listed * 60 and dur > 4200 then 'probably' when d > 30 and d < 120 then 'runs' when d > 30 then 'covers' when dur > 0 and last < 0.7 * dur then 'truncated' else 'ends' end cause, count(*) n from c group by 1""")
+w = "(case when ({0})::double < 0 then '-' else '' end || floor(abs(({0})::double) + 0.5)::bigint)".format  # rounds halves away from zero
+
+
+@register("q_causes", f"""
+with c as (select o_orderkey, case when o_orderkey % 11 = 0 then null else (o_orderkey % 400 - 150)::double end d, (2000 + o_custkey % 9000)::double as dur, (1500 + o_orderkey % 3000)::double as last, case when o_orderkey % 4 = 0 then 42.0::double end listed from orders)
+select case when d is null then 'unknown' when listed > 0 and dur > 1.7 * listed * 60 and dur > 4200 then 'probably a double episode (' || {w("dur / 60")} || ' min against ' || {w("listed")} || ')'
+  when d > 30 and d < 120 then 'runs ' || {w("d")} || ' s past the end: frame-rate drift' when d > 30 then 'covers ' || {w("d / 60")} || ' min more than the file: other cut or wrong episode'
+  when dur > 0 and last < 0.7 * dur then 'truncated at ' || {w("100 * last / dur")} || ' %' else 'ends ' || {w("-d / 60")} || ' min early: different cut' end cause, count(*) n from c group by 1""")
 def causes(spark, sf):
     k = F.col("o_orderkey")
     delta = F.when(k % 11 != 0, (k % 400 - 150).cast("double"))
     cause = rp.probable_cause(delta, 2000.0 + F.col("o_custkey") % 9000, 1500.0 + k % 3000, F.when(k % 4 == 0, 42.0), 30.0)
-    return table(spark, sf, "orders").groupBy(F.split(cause, " ")[0].alias("cause")).agg(F.count("*").alias("n"))
+    return table(spark, sf, "orders").groupBy(cause.alias("cause")).agg(F.count("*").alias("n"))
 
 
 @register("q_resolution_report", """
@@ -89,6 +95,32 @@ def confident(spark, sf):
     return table(spark, sf, "orders").groupBy(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("confident"), said.alias("said")).agg(F.count("*").alias("n"))
 
 
+@register("q_relabelled", "select map_extract(map {'F': 'final', 'O': 'open', 'P': 'partly'}, o_orderstatus)[1] said, count(*) n from orders group by 1")
+def relabelled(spark, sf):
+    """Codes put in words by a lookup that must know them all."""
+    said = tx.in_words(F.col("o_orderstatus"), {"F": "final", "O": "open", "P": "partly"}, "order status")
+    return table(spark, sf, "orders").groupBy(said.alias("said")).agg(F.count("*").alias("n"))
+
+
+@register("q_stages", """
+with s as (select unnest([{'run': 1, 'a': 'ran', 'b': 'ran', 'c': 'after'}, {'run': 2, 'a': 'there', 'b': 'there', 'c': 'ran'}, {'run': 3, 'a': 'before', 'b': 'ran', 'c': 'ran'}]) s),
+c as (select o_custkey % 10 as g, sum(round(o_totalprice) * 2)::bigint total from orders where o_orderstatus <> 'P' group by 1)
+select s.run::int run, s.a big, s.b doubled, s.c summed, (select count(*) from orders where o_orderstatus <> 'P')::bigint n_doubled, (select sum(total) from c)::bigint total from s""")
+def stages(spark, sf):
+    """Three stages run up to the second, then all, then from the second by force: what became of each, and the same rows in the end."""
+    folder = private_folder(spark, "stages")
+    made = [
+        ("big", lambda df: df.filter("o_orderstatus <> 'P'")), ("doubled", lambda df: df.select((F.col("o_custkey") % 10).alias("g"), (F.round("o_totalprice") * 2).alias("x"))), ("summed", lambda df: df.groupBy("g").agg(F.sum("x").cast("long").alias("total"))),
+    ]
+    orders, told = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_totalprice"), []
+    for run, asked in enumerate(({"through": "doubled"}, {}, {"first": "doubled", "force": True}), 1):
+        rows, done = run_stages(made, orders, folder, **asked)
+        told.append((run, done["big"], done["doubled"], done["summed"]))
+    doubled = spark.read.parquet(f"{folder}/01-doubled").agg(F.count("*").alias("n_doubled"))
+    shape = spark.createDataFrame(told, "run int, big string, doubled string, summed string")
+    return shape.crossJoin(F.broadcast(doubled)).crossJoin(F.broadcast(rows.agg(F.sum("total").alias("total"))))  # one row each
+
+
 @register("q_log_rms", """
 with f as (select vec_id, unnest(range(8)) k, embedding::double[] v from embeddings) select vec_id, k::int frame, round(ln(sqrt(list_sum(list_transform(v[k * 8 + 1:k * 8 + 8], lambda x: x * x)) / 8 + 1e-12) + 1e-6), 5) level from f""")
 def log_rms(spark, sf):

@@ -8,6 +8,7 @@ from spanloom.operators import annotate as an
 from spanloom.operators import assign as asg
 from spanloom.operators import merge as mg
 from spanloom.operators import sequence as seq
+from spanloom.operators.running import zip_rows
 
 from .registry import register
 from .relational import table
@@ -216,6 +217,28 @@ def mention_split(spark, sf):
     return seq.split_on_mentions(flagged, ["conv_id"], ["turn"], "hit").select("conv_id", "turn", "part")
 
 
+@register("q_mention_split_sure", """
+with m as (select conv_id, turn, regexp_matches(text, '(?i)the') hit, avg((role = 'user')::int) over (partition by conv_id) >= 0.5 and count(*) over (partition by conv_id) > 1 sure from conversations), c as (select *, case when turn = min(turn) over (partition by conv_id) or hit is distinct from lag(hit) over (partition by conv_id order by turn) then 1 else 0 end s,
+  bool_and(hit) over (partition by conv_id) or not bool_or(hit) over (partition by conv_id) or not sure plain from m)
+select conv_id, turn, case when plain then 1 else sum(s) over (partition by conv_id order by turn) end::bigint part from c""")
+def mention_split_sure(spark, sf):
+    """Groups whose prediction is sure (its score at or over the bar) are cut by what their rows mention; the others stay whole."""
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", F.col("text").rlike("(?i)the").alias("hit"), (F.col("role") == "user").cast("int").alias("one"))
+    score = rows.groupBy("conv_id").agg(F.avg("one").alias("top1"), F.count("*").alias("n"))
+    flagged = rows.join(score, "conv_id")
+    return seq.split_on_mentions(flagged, ["conv_id"], ["turn"], "hit", confident=(F.col("top1") >= 0.5) & (F.col("n") > 1)).select("conv_id", "turn", "part")
+
+
+@register("q_zipped_frames", """
+with a as (select c_custkey, row_number() over (order by c_acctbal desc, c_custkey) k from customer), b as (select o_orderkey, row_number() over (order by o_totalprice, o_orderkey) k from orders)
+select coalesce(a.k, b.k) - 1 as at, c_custkey, o_orderkey from a full join b on a.k = b.k""")
+def zipped_frames(spark, sf):
+    """Two tables side by side, each in an order of its own."""
+    a = table(spark, sf, "customer").select("c_custkey", (-F.col("c_acctbal")).alias("x"))
+    b = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return zip_rows(a, ["x", "c_custkey"], b, ["o_totalprice", "o_orderkey"], "at").select("at", "c_custkey", "o_orderkey")
+
+
 @register("q_preview_start", """
 with l as (select *, max(turn) over (partition by conv_id) z from conversations) select conv_id, max(turn) preview_at from l where regexp_matches(text, '(?i)the') and turn >= 0.75 * z group by 1""")
 def preview_start(spark, sf):
