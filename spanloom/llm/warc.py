@@ -76,21 +76,23 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, id_col: st
         F.col("block"),
     )
     host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
-    # as many rows in a row as records of their size may share a file: however sizes lie, no file gets longer than FILE_BYTES
-    held = F.when(F.col("revisit"), F.lit(0)).otherwise(F.col("bytes"))
-    level, share = F.lit(len(SIZES)), F.lit(1)
+    # a pass for each size that payloads have: however sizes lie, no file gets longer than FILE_BYTES
+    level = F.lit(len(SIZES))
     for number, most in reversed(list(enumerate(SIZES))):
-        level, share = F.when(held <= most, number).otherwise(level), F.when(held <= most, max(1, min(RECORDS, FILE_BYTES // most))).otherwise(share)
-    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
-    (
-        made.select(record.alias("value"), level.alias("level"), F.floor(number / share).alias("slot"), host.alias("host"), "url", "at", "page_id")
-        .sortWithinPartitions("level", "slot", "host", "url", "at", "page_id")
-        .select("value", "level", "slot")
-        .write.partitionBy("level", "slot")
-        .option("lineSep", "\r\n\r\n")  # the end of a WARC record
-        .option("compression", "gzip")
-        .text(path)
-    )
+        level = F.when(F.col("bytes") <= most, number).otherwise(level)
+    for number in sorted(r["level"] for r in sized.select(level.alias("level")).distinct().collect()) or [0]:  # a few
+        share = max(1, min(RECORDS, FILE_BYTES // SIZES[number])) if number < len(SIZES) else 1
+        (
+            made.filter(level == number)
+            .select(record.alias("value"), host.alias("host"), "url", "at", "page_id")
+            .sortWithinPartitions("host", "url", "at", "page_id")
+            .select("value")
+            .write.mode("append")
+            .option("lineSep", "\r\n\r\n")  # the end of a WARC record
+            .option("compression", "gzip")
+            .option("maxRecordsPerFile", share)
+            .text(path)
+        )
 
 
 def url_key(url: str | None) -> str:
