@@ -13,7 +13,7 @@ they differ in from their crowd's centre. So a bucket's work follows its members
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -91,22 +91,29 @@ def _print(hashes: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(hashes.tobytes(), 7)
 
 
-def prints(docs: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, h long, fp long, n long, sketch binary): a hash of the text, its set as one hash, the set's size and signature (empty without words)."""
+def prints(docs: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text", mark: Callable[[np.ndarray], int] | None = None) -> DataFrame:
+    """(doc_id, h long, fp long, n long, sketch binary): a hash of the text, its set as one hash, the set's size and signature (empty without words).
+
+    With ``mark`` there is a column bits long too, the 64 bits that it gives for the set.
+    """
     width = scheme.width
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            fps, sizes, sketches = [], [], []
+            fps, sizes, sketches, bits = [], [], [], []
             for text in utf8(batch):
                 hashes = _set_of(text, words, width)
                 fps.append(_print(hashes))
                 sizes.append(hashes.size)
                 sketches.append(_mixed(_least_hashes(hashes)).astype(np.uint16).tobytes() if hashes.size else b"")
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "h": batch.column("h"), "fp": np.array(fps, np.uint64).view(np.int64), "n": np.array(sizes, np.int64), "sketch": pa.array(sketches, pa.binary())})
+                if mark:
+                    bits.append(mark(hashes))
+            marked = {"bits": np.array(bits, np.uint64).view(np.int64)} if mark else {}
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "h": batch.column("h"), "fp": np.array(fps, np.uint64).view(np.int64), "n": np.array(sizes, np.int64), "sketch": pa.array(sketches, pa.binary())} | marked)
 
-    return id_text(docs, id_col, text_col).withColumn("h", F.xxhash64("text")).mapInArrow(made, "doc_id long, h long, fp long, n long, sketch binary")
+    schema = "doc_id long, h long, fp long, n long, sketch binary" + (", bits long" if mark else "")
+    return id_text(docs, id_col, text_col).withColumn("h", F.xxhash64("text")).mapInArrow(made, schema)
 
 
 def _sketches(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -167,33 +174,34 @@ def _centred(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.R
     """Candidates (u, v) of a few centres of each bucket (rows sorted by key), which stay the same in all pieces of a bucket.
 
     A pair is told in the first bucket that it shares: a centre of near copies is one in most of their buckets, and what is lost where it
-    isn't is left over, and compared later.
+    isn't is left over, and compared later. Where rows have a root, pairs of one root aren't told.
     """
     close = (1 - scheme.least) * PLACES / 2
     going, centres = None, []
     for rows, goes_on in _pieces(batches):
         key, fps, sketch = rows.column("key").to_numpy(), rows.column("fp").to_numpy(), _sketches(rows.column("sketch"))
+        root = rows.column("root").to_numpy() if "root" in rows.column_names else fps
         begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         for a, b in zip(begin.tolist(), [*begin[1:].tolist(), key.size], strict=True):
-            own, members = sketch[a:b], fps[a:b]
+            own, members, roots = sketch[a:b], fps[a:b], root[a:b]
             free = np.ones(b - a, bool)
             known = centres if key[a] == going else []
             fresh = []
             for number in range(len(known) + CENTRES):
                 at = np.flatnonzero(free)
                 if number < len(known):
-                    name, centre = known[number]
+                    name, centre, of_centre = known[number]
                 elif at.size and len(known) + len(fresh) < CENTRES:
                     some = own[at[:: max(1, at.size // 64)]]
                     where = at[np.argmin(sum((own[at] != s).sum(axis=1) for s in some))]
-                    name, centre = int(members[where]), own[where].copy()
-                    fresh.append((name, centre))
+                    name, centre, of_centre = int(members[where]), own[where].copy(), int(roots[where])
+                    fresh.append((name, centre, of_centre))
                 else:
                     break
                 same = own == centre
                 apart = PLACES - same.sum(axis=1)
                 free &= (apart > close) & (members != name)
-                hit = np.flatnonzero((apart <= scheme.radius) & (members != name))
+                hit = np.flatnonzero((apart <= scheme.radius) & (members != name) & (roots != of_centre))
                 hit = members[hit[scheme.first_shared(same[hit]) == (key[a] & ((1 << NUMBERED) - 1))]]
                 yield pa.record_batch({"u": np.minimum(hit, name), "v": np.maximum(hit, name)})
             last = b == key.size and goes_on
@@ -376,9 +384,10 @@ def _left_over(docs: DataFrame, reps: DataFrame, full: DataFrame, links: DataFra
     return found.unionByName(_crowd_links(dense, links, sets, scheme.least))
 
 
-def near_copy_links(docs: DataFrame, reps: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copy_links(docs: DataFrame, reps: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
     """Links (u, v) among the sets ``reps`` (fp, least_id, h, sketch) whose components are those of all pairs that share a key, differ in at most
-    ``radius`` places and have a likeness of at least ``least``."""
+    ``radius`` places and have a likeness of at least ``least``. The stored links ``known`` (u, v) are among them; pairs that these join,
+    directly or over others, are not compared."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -386,23 +395,37 @@ def near_copy_links(docs: DataFrame, reps: DataFrame, scheme: Scheme, id_col: st
             for key in scheme.keys(signatures):
                 yield pa.record_batch({"key": key, "fp": fps})
 
-    worded = reps.filter(F.octet_length("sketch") > 0)
-    pairs, full = _buckets(worded.select("fp", "sketch").mapInArrow(keyed, "key long, fp long"), "near")
-    near, any_full = _near(pairs, worded, scheme.radius), not full.isEmpty()
+    worded = reps.filter(F.octet_length("sketch") > 0).select("fp", "sketch")
+    facts = worded
+    if known is not None:
+        roots = stored(connected_components(known).withColumnRenamed("node", "fp"), "roots")
+        facts = worded.join(small_side(roots, roots.count()), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    pairs, full = _buckets(worded.mapInArrow(keyed, "key long, fp long"), "near")
+    near, any_full = _near(pairs, facts, scheme.radius), not full.isEmpty()
     if any_full:
-        told = full.join(worded.select("fp", "sketch"), "fp").repartition("key").sortWithinPartitions("key", "fp").mapInArrow(lambda b: _centred(b, scheme), "u long, v long")
+        told = full.join(facts, "fp").repartition("key").sortWithinPartitions("key", "fp").mapInArrow(lambda b: _centred(b, scheme), "u long, v long")
         near = near.unionByName(told)
     links = _verified(docs, reps, near, scheme, id_col, text_col)
+    if known is not None:
+        links = known.unionByName(links)
     return links.unionByName(_left_over(docs, reps, full, links, scheme, id_col, text_col)) if any_full else links
 
 
-def components(docs: DataFrame, rows: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stored ``rows`` of ``prints`` as (doc_id, fp, n, component_id): the least doc_id of the component of each row's set."""
+def components(docs: DataFrame, rows: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text", pairs_of: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Stored ``rows`` of ``prints`` as (doc_id, fp, n, component_id): the least doc_id of the component of each row's set.
+
+    ``pairs_of`` makes candidates (u, v) of another method from the sets with words (fp, bits). They are verified first, and the scheme
+    goes on from their links.
+    """
+    marked = [F.first("bits").alias("bits")] if pairs_of else []
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first")
-    sets = rows.groupBy("fp").agg(first, F.first("sketch").alias("sketch"), F.count("*").alias("n_rows"))
-    reps = stored(sets.select("fp", F.col("first.doc_id").alias("least_id"), F.col("first.h").alias("h"), "sketch", "n_rows"), "reps")
+    sets = rows.groupBy("fp").agg(first, F.first("sketch").alias("sketch"), F.count("*").alias("n_rows"), *marked)
+    reps = stored(sets.select("fp", F.col("first.doc_id").alias("least_id"), F.col("first.h").alias("h"), "sketch", "n_rows", *(["bits"] if marked else [])), "reps")
+    known = None
+    if pairs_of:
+        known = _verified(docs, reps, pairs_of(reps.filter(F.octet_length("sketch") > 0).select("fp", "bits")), scheme, id_col, text_col)
     # components of sets first: copies of one set need no edge of their own
-    roots = connected_components(near_copy_links(docs, reps, scheme, id_col, text_col))
+    roots = connected_components(near_copy_links(docs, reps, scheme, id_col, text_col, known))
     rooted = stored(reps.select("fp", "least_id", "n_rows").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
     first = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("n_sets"))
     total = rows.count()

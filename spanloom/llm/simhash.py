@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, join_hot, runs, small_side, stored, utf8
+from .common import id_text, join_hot, join_spread, runs, small_side, stored, utf8
 from .graph import connected_components
 from .nearcopies import LEAST, Scheme, components, prints
 
@@ -27,6 +27,8 @@ SEED = 42
 FULL = 256
 #: Pairs looked at together, so that a task's memory doesn't follow a group's pairs.
 HELD = 100_000
+#: Bits in which the fingerprints of near-duplicate candidates may differ.
+NEAR = 6
 #: Stars drawn in a bucket before its remaining pairs are compared.
 STARS = 4
 
@@ -297,16 +299,31 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return join_hot(fps, by_fp, "fp", total).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def near_pairs(sets: DataFrame, radius: int = NEAR) -> DataFrame:
+    """Pairs (u, v) of ``sets`` (fp, bits) that join all whose SimHashes ``bits`` differ in at most ``radius`` bits, found by pigeonring chains.
+
+    Sets that share a SimHash are paired with the least of them, which stands for all where SimHashes differ.
+    """
+    first = stored(sets.groupBy("bits").agg(F.min("fp").alias("first"), F.count("*").alias("n")), "bits")
+    apart = links(first.select(F.lit(0).alias("table"), F.col("bits").alias("fp")), radius).select("u", "v").distinct()
+    for x in ("u", "v"):
+        apart = join_spread(apart, first.select(F.col("bits").alias(x), F.col("first").alias(f"of_{x}")), x)
+    alike = join_hot(sets, first, "bits", sets.count()).filter("fp <> first").select(F.col("first").alias("of_u"), F.col("fp").alias("of_v"))
+    return apart.select("of_u", "of_v").unionByName(alike).select(F.least("of_u", "of_v").alias("u"), F.greatest("of_u", "of_v").alias("v"))
+
+
 def near_duplicate_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
     """(doc_id): the documents that a smaller doc_id is linked to, directly or over others.
 
-    Two documents link if the Jaccard likeness of their five-word shingles is at least ``least``: candidates by MinHash bands, each
-    pair verified on all its shingles. With the default a pair at 0.8 isn't found with a chance of 0.0003, one at 0.85 with 0.00001.
+    Two documents link if the Jaccard likeness of their five-word shingles is at least ``least``. Candidates are first the pairs whose
+    SimHashes of these shingles differ in at most NEAR bits, by pigeonring chains; each is verified on all its shingles. At a
+    likeness of 0.8 SimHashes mostly differ in more bits, so documents not joined yet meet by MinHash bands, too, and are verified alike: with
+    the default a pair at 0.8 isn't found with a chance of 0.0003, one at 0.85 with 0.00001.
     Null ids take no part; empty and wordless texts are copies of one another.
     """
     scheme = Scheme(least=least)
-    rows = stored(prints(docs, scheme, id_col, text_col).filter("doc_id is not null"), "prints")
-    return components(docs, rows, scheme, id_col, text_col).filter("doc_id <> component_id").select("doc_id").distinct()
+    rows = stored(prints(docs, scheme, id_col, text_col, majority).filter("doc_id is not null"), "prints")
+    return components(docs, rows, scheme, id_col, text_col, near_pairs).filter("doc_id <> component_id").select("doc_id").distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
