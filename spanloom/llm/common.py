@@ -41,16 +41,19 @@ def shared_folder(spark: SparkSession) -> str:
 _written: list[str] = []
 
 
-def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "zstd", group: int | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: cuts the lineage, survives lost executors.
 
     What is stored stays until ``discard``, the end of a ``scratch`` or that of the driver, as frames that are still to run may read it.
+    ``group``: how many rows a row group has at most. The writer and each reader hold a row group, and the writer looks at its bytes only after a
+    hundred rows, so rows of megabytes need it.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     if not _written:
         atexit.register(_removed, df.sparkSession, 0)
     _written.append(path)
-    df.write.option("compression", compression).parquet(path)
+    options = {"compression": compression} | ({"parquet.block.row.count.limit": str(group)} if group else {})
+    df.write.options(**options).parquet(path)
     found = df.sparkSession.read.schema(df.schema).parquet(path)
     found._stored_at = path
     return found

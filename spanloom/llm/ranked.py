@@ -24,6 +24,8 @@ from .common import bounded_batches, id_text, stored, utf8
 
 #: A block ends at so many documents or so many bytes of text.
 BLOCK_DOCS, BLOCK_BYTES = 512, 2 << 20
+#: Blocks in a row group of the stored index; tasks hold that many, however many a task makes.
+GROUP_BLOCKS = 8
 #: An impact is below SCALE; a byte counts steps of impact, rounded up.
 SCALE = 1_000_000
 STEP = -(-SCALE // 255)
@@ -102,7 +104,7 @@ def _postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         if ids:
             yield block()
 
-    return stored(id_text(docs, id_col, text_col).mapInArrow(made, _EXACT), "postings")
+    return stored(id_text(docs, id_col, text_col).mapInArrow(made, _EXACT), "postings", group=GROUP_BLOCKS)
 
 
 def _array(batch: pa.RecordBatch, name: str, row: int, kind: type) -> np.ndarray:
@@ -129,7 +131,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 level = (-(-exactly // STEP)).astype(np.uint8)
                 yield pa.record_batch([*(batch.column(c).slice(k, 1) for c in batch.schema.names), pa.array([level.tobytes()], pa.binary())], names=[*batch.schema.names, "impacts"])
 
-    return Index(stored(exact.mapInArrow(quantised, _EXACT + ", impacts binary"), "index"), n_docs, n_terms)
+    return Index(stored(exact.mapInArrow(quantised, _EXACT + ", impacts binary"), "index", group=GROUP_BLOCKS), n_docs, n_terms)
 
 
 class _Queries(NamedTuple):

@@ -81,3 +81,20 @@ def test_many_copies_keep_the_smallest_ids(spark):
     got = searched(spark, docs, [(1, "two"), (2, "four two")])
     assert got == slow(docs, [(1, "two"), (2, "four two")])
     assert [d for i, _, d, _ in got if i == 1] != [] and min(d for i, _, d, _ in got if i == 1) == 601
+
+
+def test_row_groups_hold_few_blocks(spark, monkeypatch):
+    """A task may make any number of blocks; those of a row group are in memory at once."""
+    import pyarrow.parquet as pq
+
+    from spanloom.llm import ranked
+
+    monkeypatch.setattr(ranked, "BLOCK_DOCS", 1)
+    docs = spark.range(90).selectExpr("id as doc_id", "concat('one ', id) as text").coalesce(1)
+    index = ranked.build_index(docs)
+    for blocks in (ranked._postings(docs, "doc_id", "text"), index.blocks):
+        files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in blocks.inputFiles()]
+        groups = [f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)]
+        assert sum(groups) == 90 and max(groups) <= 10
+    found = ranked.search(index, spark.createDataFrame([(1, "89 one")], "item_id long, text string"), 2).orderBy("rank").collect()
+    assert [r["doc_id"] for r in found] == [89, 0]
