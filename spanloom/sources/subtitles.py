@@ -102,10 +102,16 @@ def read_turns(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(part[1].alias("uri"), part[3].cast("double").alias("start_s"), part[4].cast("double").alias("dur_s"), part[7].alias("speaker"))
 
 
-def write_spans(spans: DataFrame, path: str) -> None:
-    """Text files of annotated stretches, one folder per uri, lines sorted by start: columns uri, start_s, end_s."""
+def write_spans(spans: DataFrame, path: str, folders: bool = False) -> None:
+    """Text files of annotated stretches: columns uri, start_s, end_s. Each line names its uri; a uri's lines stand together in one file, sorted by
+    start, and a file holds many uris, so that their number doesn't make the number of files. ``folders``: one folder per uri, for readers that look
+    for a uri by its path; each costs a file."""
     line = F.format_string("%s 1 %.3f %.3f", "uri", "start_s", "end_s")
-    spans.select("uri", "start_s", line.alias("value")).repartition("uri").sortWithinPartitions("uri", "start_s").select("uri", "value").write.partitionBy("uri").text(path)
+    lines = spans.select("uri", "start_s", line.alias("value")).repartition("uri").sortWithinPartitions("uri", "start_s")
+    if folders:
+        lines.select("uri", "value").write.partitionBy("uri").text(path)
+    else:
+        lines.select("value").write.text(path)
 
 
 def read_spans(spark: SparkSession, path: str) -> DataFrame:

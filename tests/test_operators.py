@@ -231,6 +231,22 @@ def test_encodings_and_sinks(spark, tmp_path):
     assert rows(subtitles.read_word_cache(spark, str(tmp_path / "words.json")).select("word", "start_s")) == [("hi", 0.1), ("ho", 2.0), ("yo", 1.0)]
 
 
+def test_many_spans_in_few_files(spark, tmp_path):
+    spans = spark.range(600).selectExpr("concat('u', id % 200) as uri", "cast(600 - id as double) as start_s", "cast(601 - id as double) as end_s")
+    subtitles.write_spans(spans, str(tmp_path / "spans"))
+    files = [x.read_text().splitlines() for x in (tmp_path / "spans").rglob("part-*")]
+    assert len(files) <= 8
+    assert sum(len({line.split(" ")[0] for line in lines}) for lines in files) == 200
+    for lines in files:
+        order = [(uri, float(start)) for uri, _, start, _ in (line.split(" ") for line in lines)]
+        assert order == sorted(order)
+    assert rows(subtitles.read_spans(spark, str(tmp_path / "spans"))) == rows(spans)
+    few = spans.filter("uri in ('u1', 'u2')")
+    subtitles.write_spans(few, str(tmp_path / "folders"), folders=True)
+    assert len(list((tmp_path / "folders/uri=u1").glob("part-*"))) == 1
+    assert rows(subtitles.read_spans(spark, str(tmp_path / "folders"))) == rows(few)
+
+
 def test_scrub(spark):
     df = spark.sql("select 1 as id, 'x' as text, array(named_struct('text', 'y', 'n', 2)) as cues, named_struct('a', named_struct('lines', 'z', 'b', 3)) as s")
     assert subtitles.without_fields(df).schema.simpleString() == "struct<id:int,cues:array<struct<n:int>>,s:struct<a:struct<b:int>>>"
