@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions.numbers import logit
 
 from .learn import left_out_scores
-from .temporal import as_of
 
 #: The features in order, those of the run and those of its surroundings.
 RUN = "top1 top2 top3 margin gap23 n_cands log_dur log_n_utts confessional recap mention_pred host_pred log_bank_n log_bank_s log_bank_n2 log_ep top1_x_margin".split()
@@ -17,6 +19,8 @@ FEATURES = RUN + AROUND
 #: Seconds around a run in which captions, the turns beside it and cards count; captions an episode needs to have caption names.
 NEAR, TURN, CARD = 60.0, 30.0, 90.0
 LEAST_CAPTIONS = 20
+#: What a run asks of the marks near it: whether of captions (else cards), of which of its labels, and how far.
+ASKED = {"cap_pred_near": (True, "pred", NEAR), "cap_second_near": (True, "second", NEAR), "card_pred_near": (False, "pred", CARD), "card_second_near": (False, "second", CARD)}
 
 
 def run_features(runs: DataFrame) -> DataFrame:
@@ -36,14 +40,27 @@ def run_features(runs: DataFrame) -> DataFrame:
     })
 
 
-def _near(runs: DataFrame, marks: DataFrame, keys: list[str], run: str, label: str, reach: float, out: str) -> DataFrame:
-    """(keys, run, out): runs with a mark (keys, label, mark_start, mark_end, mark_run) of their ``label`` within ``reach`` seconds, other than their own."""
-    bins = lambda a, b: F.explode(F.sequence(F.floor(a / reach), F.floor(b / reach)))
-    lo, hi = F.col("start_s") - reach, F.col("end_s") + reach
-    left = runs.select(*keys, run, F.col(label).alias("label"), lo.alias("lo"), hi.alias("hi"), bins(lo, hi).alias("bin"))
-    right = marks.select(*keys, "label", "mark_start", "mark_end", "mark_run", bins(F.col("mark_start"), F.col("mark_end")).alias("bin"))
-    hits = left.join(right, [*keys, "label", "bin"]).filter((F.col("mark_end") >= F.col("lo")) & (F.col("mark_start") <= F.col("hi")) & ~F.col("mark_run").eqNullSafe(F.col(run)))
-    return hits.select(*keys, run).distinct().withColumn(out, F.lit(1.0))
+def _counted(rows: DataFrame, keys: list[str], kept: list[str]) -> DataFrame:
+    """The runs among ``rows`` with a column per near feature: how many marks of that label reach into the run's surroundings, its own among them.
+
+    Marks that reach into a stretch are those that start up to its end less those that end before it begins, so a run asks twice, and no pair of
+    run and mark is made: starts, ends and questions are a timeline per label.
+    """
+    # by code at one time: questions at a beginning (0 to 3), starts (4) and ends (5) of marks, questions at an end (6 to 9)
+    point = lambda cap, label, at, code: F.struct(cap.alias("__cap"), F.col(label).alias("__name"), at.cast("double").alias("__at"), F.lit(code).alias("__code"))
+    asked = []
+    for k, (cap, label, reach) in enumerate(ASKED.values()):
+        asked += [point(F.lit(cap), label, F.col("start_s") - reach, k), point(F.lit(cap), label, F.col("end_s") + reach, k + 6)]
+    line = F.col("__kind") == 1
+    marks = F.when(F.col("start_s").isNotNull() & F.col("end_s").isNotNull(), F.array(point(line, "__label", F.col("start_s"), 4), point(line, "__label", F.greatest("start_s", "end_s"), 5)))
+    points = rows.select(*keys, "__id", F.struct(*kept).alias("__row"), F.explode(F.when(F.col("__kind") == 0, F.array(*asked)).otherwise(marks)).alias("__p")).select(*keys, "__id", "__p.*", "__row")
+    # a run's first point brings its columns
+    points = points.filter("__name is not null or __code = 0").withColumn("__row", F.when(F.col("__code") == 0, F.col("__row")))
+    so_far = Window.partitionBy(*keys, "__cap", "__name").orderBy("__at", "__code").rowsBetween(Window.unboundedPreceding, 0)
+    n = F.when(F.col("__code") > 5, F.count_if(F.col("__code") == 4).over(so_far)).otherwise(-F.count_if(F.col("__code") == 5).over(so_far))
+    answers = points.withColumn("__n", n).filter("__code not in (4, 5)")
+    sums = [F.sum(F.when(F.col("__code") % 6 == k, F.col("__n"))).alias(name) for k, name in enumerate(ASKED)]
+    return answers.groupBy(*keys, "__id").agg(F.first("__row", ignorenulls=True).alias("__row"), *sums).select(*keys, "__row.*", *ASKED)
 
 
 def around_features(runs: DataFrame, captions: DataFrame, cards: DataFrame, keys: list[str], run: str) -> DataFrame:
@@ -51,22 +68,38 @@ def around_features(runs: DataFrame, captions: DataFrame, cards: DataFrame, keys
 
     ``captions`` has (keys, run, label, start_s, end_s) a line with an explicit name, its run among them: a run's own lines don't count.
     ``cards`` has (keys, label, t_s). Beside a run: the last line that ends up to TURN before it and the first that starts up to TURN
-    after it. Without captions or cards the features are 0, which ep_has_caps and ep_has_cards tell apart.
+    after it. Without captions or cards the features are 0, which ep_has_caps and ep_has_cards tell apart; so they are where a key is null.
+    Runs and lines end no earlier than they start. Runs, lines and cards move once, by ``keys``; all else are windows over them.
     """
-    caps = captions.select(*keys, "label", F.col("start_s").alias("mark_start"), F.col("end_s").alias("mark_end"), F.col(run).alias("mark_run"))
-    points = cards.select(*keys, "label", F.col("t_s").alias("mark_start"), F.col("t_s").alias("mark_end"), F.lit(None).cast(runs.schema[run].dataType).alias("mark_run"))
-    found = runs
-    for marks, label, reach, out in ((caps, "pred", NEAR, "cap_pred_near"), (caps, "second", NEAR, "cap_second_near"), (points, "pred", CARD, "card_pred_near"), (points, "second", CARD, "card_second_near")):
-        found = found.join(_near(runs, marks, keys, run, label, reach, out), [*keys, run], "left")
-    # a run's own lines neither end before it nor start after it
-    named = caps.select(*keys, "label", "mark_start", "mark_end")
-    before = as_of(found, named, keys, "start_s", "mark_end", "label", "__before", within=TURN)
-    after = as_of(before, named, keys, "end_s", "mark_start", "label", "__after", forward=True, within=TURN)
-    facts = caps.groupBy(*keys).agg((F.count("*") >= LEAST_CAPTIONS).cast("double").alias("ep_has_caps"))
-    carded = points.select(*keys).distinct().withColumn("ep_has_cards", F.lit(1.0))
-    whole = after.join(facts, keys, "left").join(carded, keys, "left")
-    beside = {"cap_prev_pred": F.col("__before") == F.col("pred"), "cap_next_pred": F.col("__after") == F.col("pred")}
-    return whole.withColumns({n: F.coalesce(c.cast("double"), F.lit(0.0)) for n, c in beside.items()}).na.fill(0.0, [n for n in AROUND if n not in beside]).drop("__before", "__after")
+    lines = captions.select(*keys, run, "start_s", "end_s", F.col("label").alias("__label"), F.lit(1).alias("__kind"))
+    points = cards.select(*keys, F.col("t_s").alias("start_s"), F.col("t_s").alias("end_s"), F.col("label").alias("__label"), F.lit(2).alias("__kind"))
+    rows = runs.withColumns({"__kind": F.lit(0), "__id": F.monotonically_increasing_id()}).unionByName(lines, allowMissingColumns=True).unionByName(points, allowMissingColumns=True).repartition(*keys)
+    is_run, is_line = F.col("__kind") == 0, F.col("__kind") == 1
+    # a run's own lines
+    same = Window.partitionBy(*keys, run)
+    told = rows.withColumn("__r", F.first(F.when(is_run, F.struct("start_s", "end_s", "pred", "second")), ignorenulls=True).over(same))
+    here = is_line & (F.greatest("start_s", "end_s") >= F.col("__r.start_s") - NEAR) & (F.col("start_s") <= F.col("__r.end_s") + NEAR)
+    own = {f"__own_{c}": F.count_if(here & (F.col("__label") == F.col(f"__r.{c}"))).over(same) for c in ("pred", "second")}
+    # the lines beside a run: its own neither end before it nor start after it; of lines at one time the greatest label counts
+    whole = Window.partitionBy(*keys)
+    up_to = lambda *order: whole.orderBy(*order, F.desc("__kind"), "__label").rowsBetween(Window.unboundedPreceding, 0)
+    last = lambda at, order: F.last(F.when(is_line & F.col(at).isNotNull(), F.struct(F.col(at).alias("at"), F.col("__label").alias("label"))), ignorenulls=True).over(order)
+    beside = {
+        "__before": last("end_s", up_to(F.when(is_run, F.col("start_s")).otherwise(F.col("end_s")))), "__after": last("start_s", up_to(F.desc(F.when(is_run, F.col("end_s")).otherwise(F.col("start_s"))))),
+        "__lines": F.count_if(is_line).over(whole), "__cards": F.count_if(F.col("__kind") == 2).over(whole),
+    }
+    found = told.withColumns(own).drop("__r").withColumns(beside)
+    kept = [c for c in runs.columns if c not in keys]
+    counted = _counted(found, keys, [*kept, *own, *beside])
+    near = {name: F.col(name) - (F.col(f"__own_{label}") if cap else 0) > 0 for name, (cap, label, _) in ASKED.items()}
+    near = {name: x & F.col(ASKED[name][1]).isNotNull() & F.col("start_s").isNotNull() & F.col("end_s").isNotNull() for name, x in near.items()}
+    rest = {
+        "cap_prev_pred": (F.col("__before.label") == F.col("pred")) & (F.col("__before.at") >= F.col("start_s") - TURN), "cap_next_pred": (F.col("__after.label") == F.col("pred")) & (F.col("__after.at") <= F.col("end_s") + TURN),
+        "ep_has_caps": F.col("__lines") >= LEAST_CAPTIONS, "ep_has_cards": F.col("__cards") > 0,
+    }
+    known = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    features = {n: F.coalesce((known & x).cast("double"), F.lit(0.0)) for n, x in (near | rest).items()}
+    return counted.select(*runs.columns, *(features[n].alias(n) for n in AROUND))
 
 
 def accepted(accept: float, margin: float, least_s: float) -> Column:

@@ -97,11 +97,10 @@ def _runs(spark, sf):
     from spanloom.operators import sequence as seq
 
     own = seq.runs(events(spark, sf), ["user_id"], ORDER, "t", "t", 8 * HOUR, F.lit(False)).withColumn("s", F.col("t") / F.lit(1e6))
-    counts = own.groupBy("user_id", "run_id", "event_type").agg(F.count("*").alias("n"))
-    packed = counts.groupBy("user_id", "run_id").agg(F.sum("n").alias("a"), F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "event_type"))).alias("c"))
-    ranked = packed.select("user_id", "run_id", F.slice(F.transform("c", lambda x: F.struct(x["event_type"].alias("label"), (-x["m"] / F.col("a")).alias("score"))), 1, 3).alias("candidates"))
-    facts = own.groupBy("user_id", "run_id").agg(F.min("s").alias("start_s"), (F.max("s") + 30).alias("end_s"), F.count("*").alias("n_utts"))
-    runs = facts.join(ranked, ["user_id", "run_id"]).withColumns({"pred": F.col("candidates")[0]["label"], "second": F.get("candidates", F.lit(1))["label"]})
+    counts = own.groupBy("user_id", "run_id", "event_type").agg(F.count("*").alias("n"), F.min("s").alias("a"), F.max("s").alias("b"))
+    facts = [F.min("a").alias("start_s"), (F.max("b") + 30).alias("end_s"), F.sum("n").alias("n_utts"), F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "event_type"))).alias("c")]
+    ranked = F.slice(F.transform("c", lambda x: F.struct(x["event_type"].alias("label"), (-x["m"] / F.col("n_utts")).alias("score"))), 1, 3)
+    runs = counts.groupBy("user_id", "run_id").agg(*facts).withColumn("candidates", ranked).drop("c").withColumns({"pred": F.col("candidates")[0]["label"], "second": F.get("candidates", F.lit(1))["label"]})
     captions = own.filter("event_id % 3 = 0").select("user_id", "run_id", F.col("event_type").alias("label"), F.col("s").alias("start_s"), (F.col("s") + 30).alias("end_s"))
     cards = own.filter("event_id % 11 = 0").select("user_id", F.col("event_type").alias("label"), (F.col("s") + 10).alias("t_s"))
     return runs, captions, cards
@@ -130,7 +129,8 @@ f as (select x.user_id, x.run_id,
 select user_id, run_id::bigint run_id, cap_pred_near::int::double cap_pred_near, cap_second_near::int::double cap_second_near, cap_prev_pred::int::double cap_prev_pred, cap_next_pred::int::double cap_next_pred, card_pred_near::int::double card_pred_near,
   card_second_near::int::double card_second_near, ep_has_caps::int::double ep_has_caps, ep_has_cards::int::double ep_has_cards from f""")
 def around_features(spark, sf):
-    return cal.around_features(*_runs(spark, sf), ["user_id"], "run_id").select("user_id", "run_id", *cal.AROUND)
+    runs, captions, cards = _runs(spark, sf)
+    return cal.around_features(runs.select("user_id", "run_id", "start_s", "end_s", "pred", "second"), captions, cards, ["user_id"], "run_id").select("user_id", "run_id", *cal.AROUND)
 
 
 @register("q_rule_mask", _RUNS + " select user_id, count(*) filter (s1 >= 0.5 and s1 - s2 >= 0.2 and pred <> 'error' and en - st >= 31) taken, count(*) n from x group by 1")
